@@ -158,3 +158,14 @@ class Warehouse:
     @cached_property
     def port_catchment_area(self) -> DataFrame:
         return marts.port_catchment_area(self.fct_shipment_events, self.dim_port, self.port_pairs)
+
+    # -- near-real-time twins -------------------------------------------------
+    @cached_property
+    def active_shipments(self) -> DataFrame:
+        from . import live
+        return live.active_shipments(self.stg_shipments, self.dim_port_b, self.as_of)
+
+    @cached_property
+    def port_congestion_24h(self) -> DataFrame:
+        from . import live
+        return live.port_congestion_24h(self.stg_vessel_calls, self.dim_port_b)

@@ -55,3 +55,84 @@ for _m in ["stg_vessel_calls", "stg_shipments", "stg_customs_entries", "dim_date
            "port_throughput_daily", "customs_clearance_kpi", "commodity_cost_summary",
            "congestion_delay_impact", "port_catchment_area"]:
     model_query(_m)
+
+
+# --------------------------------------------------------------- reports
+def _wh_query(name: str, fn, oracle: str | None, **kw):
+    register(name, oracle)(lambda spark, sf_dir: fn(warehouse(spark, sf_dir, **kw)))
+
+
+def _register_reports() -> None:
+    from .oracle.reports import SQL
+    from .plans import marts, monitoring, quality, reports
+
+    def models(wh):
+        names = set(quality.NOT_NULL) | set(quality.UNIQUE) | {m for m, _, _ in quality.ACCEPTED} \
+            | {m for m, _, _ in quality.EXPRESSIONS} | set(quality.GRAINS)
+        return {n: getattr(wh, n) for n in names}
+
+    simple = {
+        "active_shipments": lambda wh: wh.active_shipments,
+        "port_congestion_24h": lambda wh: wh.port_congestion_24h,
+        "fx_max_to_date": lambda wh: reports.fx_lookup(wh, "max_to_date"),
+        "fx_asof": lambda wh: reports.fx_lookup(wh, "asof"),
+        "fct_landed_cost_asof": reports.landed_cost_asof,
+        "delay_bands": reports.delay_bands,
+        "join_inner_dim": reports.join_inner_dim,
+        "percentiles": reports.percentiles,
+        "rolling_7d_dwell": reports.rolling_7d_dwell,
+        "weekly_bucket": reports.weekly_bucket,
+        "geo_cell_heatmap": reports.geo_cell_heatmap,
+        "port_distance": lambda wh: marts.port_distance(wh.dim_port),
+        "customs_tax_recompute": reports.customs_tax_recompute,
+        "dq_not_null": lambda wh: quality.dq_not_null(models(wh)),
+        "dq_unique": lambda wh: quality.dq_unique(models(wh)),
+        "dq_accepted_values": lambda wh: quality.dq_accepted_values(models(wh)),
+        "dq_expression": lambda wh: quality.dq_expression(models(wh)),
+        "dq_singular_dwell": lambda wh: quality.dq_singular_dwell(wh.fct_port_dwell),
+        "dq_grain": lambda wh: quality.dq_grain(models(wh)),
+        "source_freshness": lambda wh: quality.source_freshness(
+            {"raw_vessel_calls": wh.raw_vessel_calls, "raw_shipments": wh.raw_shipments,
+             "raw_customs_entries": wh.raw_customs_entries}, wh.as_of),
+        "outliers_iqr": lambda wh: quality.outliers_iqr(
+            {"fct_port_dwell.dwell_hours": (wh.fct_port_dwell, "dwell_hours"),
+             "fct_shipment_events.delay_hours": (wh.fct_shipment_events, "delay_hours")}),
+        "bronze_freshness": monitoring.bronze_freshness,
+        "fact_freshness": monitoring.fact_freshness,
+        "row_counts": monitoring.row_counts,
+        "layer_retention": monitoring.layer_retention,
+        "daily_load_volume": monitoring.daily_load_volume,
+        "null_rates": monitoring.null_rates,
+        "duplicate_keys": monitoring.duplicate_keys,
+        "range_checks": monitoring.range_checks,
+        "accepted_value_violations": monitoring.accepted_value_violations,
+        "orphans": monitoring.orphans,
+        "tariff_coverage": monitoring.tariff_coverage,
+        "fx_coverage": monitoring.fx_coverage,
+        "delay_distribution": monitoring.delay_distribution,
+        "port_congestion_rate": monitoring.port_congestion_rate,
+        "carrier_on_time": monitoring.carrier_on_time,
+        "cost_by_cargo_type": monitoring.cost_by_cargo_type,
+        "customs_time_by_type": monitoring.customs_time_by_type,
+        "rt_sanity": monitoring.rt_sanity,
+        "usage_daily": monitoring.usage_daily,
+        "slow_query_topk": monitoring.slow_query_topk,
+        "scan_ratio_topk": monitoring.scan_ratio_topk,
+        "active_idle_ratio": monitoring.active_idle_ratio,
+        "refresh_usage": monitoring.refresh_usage,
+        "health_summary": monitoring.health_summary,
+        "rt_freshness": monitoring.rt_freshness,
+        "dash_congestion_map": monitoring.dash_congestion_map,
+        "dash_delay_trend": monitoring.dash_delay_trend,
+        "dash_active_by_category": monitoring.dash_active_by_category,
+        "dash_cost_by_commodity": monitoring.dash_cost_by_commodity,
+        "dash_dwell_by_port": monitoring.dash_dwell_by_port,
+        "union_checks": reports.union_checks,
+    }
+    for name, fn in simple.items():
+        _wh_query(name, fn, SQL[name])
+    # rows-only: approximate percentiles have no exact oracle
+    _wh_query("percentiles_approx", lambda wh: reports.percentiles(wh, approx=True), None)
+
+
+_register_reports()
