@@ -113,10 +113,18 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
 def grid_cell(lat, lon, res: int) -> Column:
     """Stable square-grid cell id for a point.
 
-    Cell edge in degrees is ``1 / 2**res`` of latitude; the id is
+    Cell edge in degrees is ``2**(2 - res)`` (res 5: 1/8 deg, res 7: 1/32 deg); the id is
     ``r{res}:{row}:{col}``.  This is a binning key, not an H3 index.
     """
     size = 1.0 / (2 ** (res - 2))
     row = F.floor((_c(lat) + 90.0) / size).cast("long")
     col = F.floor((_c(lon) + 180.0) / size).cast("long")
     return F.concat_ws(":", F.lit(f"r{res}"), row.cast("string"), col.cast("string"))
+
+
+def lit_ntz(value) -> Column:
+    """A timestamp_ntz literal from a naive ``datetime`` (via text, so neither
+    the Python process zone nor the session zone shifts it)."""
+    if value is None:
+        return F.lit(None).cast("timestamp_ntz")
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")

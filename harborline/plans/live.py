@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import domain as d
-from ..functions.scalars import hours_between
+from ..functions.scalars import hours_between, lit_ntz
 from ..operators.latest import latest_per_key
 from .marts import pct_of, rnd
 
@@ -31,7 +31,7 @@ def active_shipments(stg_shipments: DataFrame, dim_port_b: DataFrame, as_of,
                           F.col("port_name").alias("dest_port_name"),
                           F.col("lat").alias("dest_lat"), F.col("lon").alias("dest_lon"))
     return (s.join(p, "dest_port_code", "left")
-            .withColumn("hours_to_eta", hours_between(F.lit(as_of).cast("timestamp_ntz"), F.col("eta")))
+            .withColumn("hours_to_eta", hours_between(lit_ntz(as_of), F.col("eta")))
             .select(*ACTIVE_COLUMNS))
 
 
@@ -45,7 +45,7 @@ def port_congestion_24h(calls: DataFrame, dim_port_b: DataFrame, window_end=None
     """M2: per port, calls that arrived in the ``hours`` before ``window_end``
     (default: the newest arrival), with wait, congestion share and level."""
     end = window_end if window_end is not None else congestion_window_end(calls)
-    end_c = F.lit(end).cast("timestamp_ntz")
+    end_c = lit_ntz(end)
     start_c = end_c - F.make_dt_interval(F.lit(0), F.lit(hours))
     w = calls.filter((F.col("arrival_ts") > start_c) & (F.col("arrival_ts") <= end_c))
     p = dim_port_b.select("port_code", "port_name", "lat", "lon")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import domain as d
-from ..functions.scalars import count_if, hours_between, safe_div
+from ..functions.scalars import count_if, hours_between, lit_ntz, safe_div
 from ..operators.checks import anti_join_count, count_checks, duplicate_count, null_rate_checks
 from . import live
 from .marts import dec_avg, pct_of, rnd
@@ -29,7 +29,7 @@ def _union(frames):
 
 
 def _as_of(wh):
-    return F.lit(wh.as_of).cast("timestamp_ntz")
+    return lit_ntz(wh.as_of)
 
 
 def _as_of_date(wh):

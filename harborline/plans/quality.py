@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import hours_between
+from ..functions.scalars import hours_between, lit_ntz
 from ..operators.checks import accepted_values_violations, unique_violations
 
 # FIXED VALUES — declared column tests per model.
@@ -179,7 +179,7 @@ def source_freshness(tables: dict[str, DataFrame], as_of, warn_h: float = 8, err
     out = []
     for name, df in tables.items():
         g = df.agg(F.max("_loaded_at").alias("max_loaded_at"))
-        age = F.timestamp_diff("SECOND", F.col("max_loaded_at"), F.lit(as_of).cast("timestamp_ntz")) / 3600.0
+        age = F.timestamp_diff("SECOND", F.col("max_loaded_at"), lit_ntz(as_of)) / 3600.0
         out.append(g.select(F.lit(name).alias("source_table"), "max_loaded_at",
                             F.round(age, 2).alias("age_hours"),
                             freshness_status(age, warn_h, error_h).alias("freshness_status")))

@@ -136,3 +136,31 @@ def _register_reports() -> None:
 
 
 _register_reports()
+
+
+def _register_runs() -> None:
+    from .oracle.models import model as om_model
+    from .oracle.reports import SQL
+    from .plans import incremental_runs as ir
+    from .plans import ingest_runs as gr
+    from .plans import stream_runs as sr
+
+    full_events = om_model("fct_shipment_events")
+    _wh_query("incremental_upsert", ir.incremental_upsert, full_events)
+    _wh_query("incremental_rerun_noop", ir.incremental_rerun_noop, full_events)
+    _wh_query("late_rows_lookback", ir.late_rows_lookback, full_events)
+    _wh_query("csv_null_tokens", gr.csv_null_tokens, om_model("raw_vessel_calls"))
+    _wh_query("load_audit", gr.load_audit, None)
+    _wh_query("csv_rejects", gr.csv_rejects, None)
+    _wh_query("ingest_idempotent", gr.ingest_idempotent, om_model("raw_shipments"))
+    _wh_query("seed_ports", gr.seed_ports, om_model("ph_ports"))
+    _wh_query("fx_feed_clean", gr.fx_feed_clean, SQL["fx_feed_clean"])
+    _wh_query("fx_feed_validate", gr.fx_feed_validate, SQL["fx_feed_validate"])
+    _wh_query("stream_active_shipments", sr.stream_active_shipments, SQL["active_shipments"])
+    _wh_query("stream_port_congestion", sr.stream_port_congestion, None)
+    _wh_query("stream_fact_upsert", sr.stream_fact_upsert, full_events)
+    _wh_query("stream_dedup", sr.stream_dedup, om_model("raw_shipments"))
+    _wh_query("stream_lag", sr.stream_lag, None)
+
+
+_register_runs()
