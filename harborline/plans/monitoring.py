@@ -101,8 +101,7 @@ def _count(df, name):
 def layer_retention(wh) -> DataFrame:
     """Pass-through ratios between layers, one row.
 
-    The nine counts are one-row aggregates; they are combined side by side by
-    equality on a constant key of those one-row frames."""
+    The nine counts are one-row aggregates folded into one row (no join)."""
     counts = [("bronze_vessel", wh.raw_vessel_calls), ("bronze_shipments", wh.raw_shipments),
               ("bronze_customs", wh.raw_customs_entries), ("silver_vessel", wh.stg_vessel_calls),
               ("silver_shipments", wh.stg_shipments), ("silver_customs", wh.stg_customs_entries),
@@ -121,9 +120,17 @@ def layer_retention(wh) -> DataFrame:
 
 
 def side_by_side(rows: list[DataFrame]) -> DataFrame:
-    """Combine one-row frames into one row (equi-join on a constant key)."""
-    keyed = [r.withColumn("__k", F.lit(1)) for r in rows]
-    return reduce(lambda a, b: a.join(F.broadcast(b), "__k"), keyed).drop("__k")
+    """Combine one-row aggregates into one row without a join: each frame is
+    widened with typed NULLs for the others' columns, the frames are unioned
+    and one ``max`` per column (NULLs ignored) folds them into a single row."""
+    fields = [f for r in rows for f in r.schema.fields]
+    widened = []
+    for r in rows:
+        own = set(r.columns)
+        widened.append(r.select(*[F.col(f.name) if f.name in own
+                                  else F.lit(None).cast(f.dataType).alias(f.name) for f in fields]))
+    u = reduce(lambda a, b: a.unionByName(b), widened)
+    return u.agg(*[F.max(f.name).alias(f.name) for f in fields])
 
 
 def daily_load_volume(wh, days: int = 14) -> DataFrame:
