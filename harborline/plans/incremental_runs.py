@@ -27,7 +27,7 @@ LATE_WINDOW = dt.timedelta(days=31)
 def _events_builder(wh):
     def build(raw: DataFrame) -> DataFrame:
         return facts.fct_shipment_events(staging.stg_shipments(raw, wh.clamp_category), wh.dim_shipment,
-                                         wh.dim_date, wh.dim_port_b, wh.dim_carrier)
+                                         wh.dim_date, wh.dim_port_b, wh.dim_carrier_b)
     return build
 
 

@@ -9,11 +9,13 @@ so Catalyst sees one plan per query and prunes and pushes filters end to end.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.broadcast import checked_broadcast
+from ..session import shared_dir
 from ..sources.testdata import Bronze, load_bronze
 from . import dims, facts, marts, staging
 
@@ -21,6 +23,9 @@ from . import dims, facts, marts, staging
 # reproducible (the reference uses CURRENT_TIMESTAMP()).
 DEFAULT_AS_OF = dt.datetime(2024, 2, 1, 0, 0, 0)
 SEED_MAX_ROWS = 100_000
+# Data-derived dimensions (carriers, vessels) are broadcast below this size;
+# above it the join falls back to a shuffle join.
+DIM_MAX_ROWS = 2_000_000
 
 
 class Warehouse:
@@ -34,6 +39,15 @@ class Warehouse:
         self.clamp_category = clamp_category
         self.vessel_source = vessel_source
         self._bronze = bronze
+        self._run_id = uuid.uuid4().hex[:12]
+
+    def materialize(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a model once per warehouse to the shared checkpoint folder and
+        read it back: the lineage is cut and the planner sees the real size
+        (as the reference materialises its dimensions as tables)."""
+        path = shared_dir(self.spark, f"warehouse/{self._run_id}/{name}")
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
 
     # -- bronze + seeds -------------------------------------------------------
     @cached_property
@@ -62,7 +76,7 @@ class Warehouse:
 
     @cached_property
     def tariffs_b(self) -> DataFrame:
-        return checked_broadcast(self.ph_tariff_rates, SEED_MAX_ROWS)
+        return checked_broadcast(self.materialize("ph_tariff_rates", self.ph_tariff_rates), SEED_MAX_ROWS)
 
     # -- silver ---------------------------------------------------------------
     @cached_property
@@ -97,11 +111,20 @@ class Warehouse:
     @cached_property
     def dim_vessel(self) -> DataFrame:
         src = self.stg_vessel_calls if self.vessel_source == "silver" else self.raw_vessel_calls
-        return dims.dim_vessel(src)
+        return self.materialize("dim_vessel", dims.dim_vessel(src))
+
+    @cached_property
+    def dim_vessel_b(self) -> DataFrame:
+        """Broadcast only while the materialised vessel table is small."""
+        return checked_broadcast(self.dim_vessel, DIM_MAX_ROWS)
 
     @cached_property
     def dim_carrier(self) -> DataFrame:
-        return dims.dim_carrier(self.stg_shipments)
+        return self.materialize("dim_carrier", dims.dim_carrier(self.stg_shipments))
+
+    @cached_property
+    def dim_carrier_b(self) -> DataFrame:
+        return checked_broadcast(self.dim_carrier, DIM_MAX_ROWS)
 
     @cached_property
     def dim_shipment(self) -> DataFrame:
@@ -114,13 +137,13 @@ class Warehouse:
     # -- facts ----------------------------------------------------------------
     @cached_property
     def fct_port_dwell(self) -> DataFrame:
-        return facts.fct_port_dwell(self.stg_vessel_calls, self.dim_vessel, self.dim_date,
+        return facts.fct_port_dwell(self.stg_vessel_calls, self.dim_vessel_b, self.dim_date,
                                     self.dim_port_b)
 
     @cached_property
     def fct_shipment_events(self) -> DataFrame:
         return facts.fct_shipment_events(self.stg_shipments, self.dim_shipment, self.dim_date,
-                                         self.dim_port_b, self.dim_carrier)
+                                         self.dim_port_b, self.dim_carrier_b)
 
     @cached_property
     def fct_landed_cost(self) -> DataFrame:
@@ -130,7 +153,7 @@ class Warehouse:
     # -- marts ----------------------------------------------------------------
     @cached_property
     def carrier_performance(self) -> DataFrame:
-        return marts.carrier_performance(self.fct_shipment_events, self.dim_carrier,
+        return marts.carrier_performance(self.fct_shipment_events, self.dim_carrier_b,
                                          self.dim_shipment, self.dim_port_b)
 
     @cached_property

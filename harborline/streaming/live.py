@@ -147,7 +147,7 @@ def stream_fact_upsert(spark: SparkSession, src: str, state_path: str, checkpoin
         if table.has_tag(tag):
             return
         rows = facts.fct_shipment_events(staging.stg_shipments(batch), wh.dim_shipment, wh.dim_date,
-                                         wh.dim_port_b, wh.dim_carrier)
+                                         wh.dim_port_b, wh.dim_carrier_b)
         cur = table.read()
         table.commit(rows if cur is None else upsert(cur, rows, ["shipment_id"]), tag)
 

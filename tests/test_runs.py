@@ -46,7 +46,7 @@ def test_incremental_k_splits_equal_full_refresh(spark):
     def build(r):
         from harborline.plans import facts
         return facts.fct_shipment_events(staging.stg_shipments(r), wh.dim_shipment, wh.dim_date,
-                                         wh.dim_port_b, wh.dim_carrier)
+                                         wh.dim_port_b, wh.dim_carrier_b)
     from pyspark.sql import functions as F
     for cut in ["2024-01-01", "2025-06-01", "2027-01-01", "2031-01-01"]:
         run_incremental(t, build, raw.filter(F.col("_loaded_at") <= F.lit(cut).cast("timestamp_ntz")),
