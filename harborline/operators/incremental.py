@@ -124,3 +124,31 @@ def run_incremental(table: VersionedTable, build, source: DataFrame, keys: list[
     mx = watermark_value(cur, wm_col)
     delta = build(watermark_filter(source, wm_col, mx, lookback))
     return table.commit(upsert(cur, delta, keys, [wm_col]), tag)
+
+
+class ChangelogTable:
+    """Append-only change log for streaming sinks.
+
+    Each micro-batch writes only its own rows into its own folder (overwritten
+    if the batch is replayed, so the sink is idempotent); readers fold the log
+    with a latest-row-per-key partial aggregate (later batch wins, then the
+    ``order_cols``).  A batch costs O(its rows), not O(table)."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+
+    def write_batch(self, df: DataFrame, batch_id: int) -> None:
+        (df.withColumn("_batch", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").parquet(f"{self.path}/batch_{batch_id:010d}"))
+
+    def read_all(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/batch_*")
+
+    def read_latest(self, keys: list[str], order_cols: list[str] | None = None) -> DataFrame:
+        log = self.read_all()
+        has_key = F.lit(True)
+        for k in keys:
+            has_key = has_key & F.col(k).isNotNull()
+        keyed = latest_per_key(log.filter(has_key), keys, ["_batch"] + (order_cols or []))
+        return keyed.unionByName(log.filter(~has_key)).drop("_batch")

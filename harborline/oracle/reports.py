@@ -432,3 +432,19 @@ select count(*) row_count, cast(count(*) - count(distinct rate_date) as bigint)
                      + sum(case when usd_php_close is null then 1 else 0 end), 0) > 0 then 'WARN'
        else 'OK' end status
 from fx_feed_clean""")
+
+# Sliding 24 h windows every 15 minutes: each call belongs to the 96 windows
+# whose start lies in (arrival - 24 h, arrival], aligned to 15 minutes.
+add("stream_port_congestion", f"""
+select window_start, window_start + interval 24 hours window_end, port_code, port_name, lat, lon,
+  count(*) vessels_in_port, round(sum(anchorage_wait_h) / nullif(count(anchorage_wait_h), 0), 1) avg_wait_hours,
+  {cnt('coalesce(anchorage_wait_h > 24, false)')} congested_vessels,
+  {pct(cnt('coalesce(anchorage_wait_h > 24, false)'), 'count(*)')} congestion_pct,
+  case when {pct(cnt('coalesce(anchorage_wait_h > 24, false)'), 'count(*)')} >= 60 then 'CRITICAL'
+       when {pct(cnt('coalesce(anchorage_wait_h > 24, false)'), 'count(*)')} >= 35 then 'HIGH'
+       when {pct(cnt('coalesce(anchorage_wait_h > 24, false)'), 'count(*)')} >= 15 then 'MODERATE'
+       else 'NORMAL' end congestion_level
+from (select v.port_code, p.port_name, p.lat, p.lon, v.anchorage_wait_h,
+        time_bucket(interval 15 minutes, v.arrival_ts) - k * interval 15 minutes window_start
+      from stg_vessel_calls v join dim_port p on v.port_code = p.port_code, range(96) t(k)) w
+group by window_start, port_code, port_name, lat, lon""")

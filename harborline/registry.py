@@ -157,7 +157,7 @@ def _register_runs() -> None:
     _wh_query("fx_feed_clean", gr.fx_feed_clean, SQL["fx_feed_clean"])
     _wh_query("fx_feed_validate", gr.fx_feed_validate, SQL["fx_feed_validate"])
     _wh_query("stream_active_shipments", sr.stream_active_shipments, SQL["active_shipments"])
-    _wh_query("stream_port_congestion", sr.stream_port_congestion, None)
+    _wh_query("stream_port_congestion", sr.stream_port_congestion, SQL["stream_port_congestion"])
     _wh_query("stream_fact_upsert", sr.stream_fact_upsert, full_events)
     _wh_query("stream_dedup", sr.stream_dedup, om_model("raw_shipments"))
     _wh_query("stream_lag", sr.stream_lag, None)

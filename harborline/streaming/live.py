@@ -4,9 +4,10 @@ incremental fact (survey M1-M6, L3).
 * Sources are file streams over bronze folders (Parquet), so a new file is a
   new micro-batch; ``trigger(processingTime=...)`` gives the target lag in
   production, ``availableNow`` drains what is there (tests, catch-up).
-* Every sink is ``foreachBatch`` into a ``VersionedTable`` upsert tagged with
-  the batch id: a batch replayed after a failure is skipped, so the sinks are
-  exactly-once on top of the checkpoint.
+* Every sink is ``foreachBatch`` into a ``ChangelogTable``: each micro-batch
+  writes only its rows, into a folder named by its batch id (a replayed batch
+  overwrites its own folder, so the sinks are exactly-once on top of the
+  checkpoint); readers fold the log to the latest row per key.
 * ``dt_port_congestion`` is a sliding event-time window aggregation with a
   watermark (state is dropped once a window can no longer change).
 """
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions import domain as d
-from ..operators.incremental import VersionedTable, upsert
+from ..operators.incremental import ChangelogTable
 from ..plans import facts, live, staging
 from ..plans.marts import pct_of, rnd
 
@@ -73,18 +74,14 @@ def stream_active_shipments(spark: SparkSession, src: str, state_path: str, chec
     table is that state filtered to shipments without ATA.  A later row with
     an ATA therefore removes the shipment."""
     from ..sources import schemas
-    table = VersionedTable(spark, state_path)
+    log = ChangelogTable(spark, state_path)
     stg = staging.stg_shipments(file_stream(spark, src, schemas.RAW_SHIPMENTS, 2))
+    q = _run(stg.writeStream.foreachBatch(log.write_batch), checkpoint, trigger, "dt_active_shipments")
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        tag = f"batch-{batch_id}"
-        if table.has_tag(tag):
-            return
-        cur = table.read()
-        table.commit(batch if cur is None else upsert(cur, batch, ["shipment_id"]), tag)
-
-    q = _run(stg.writeStream.foreachBatch(sink), checkpoint, trigger, "dt_active_shipments")
-    return q, (lambda: live.active_shipments(table.read(), dim_port_b, as_of, keep_latest=True))
+    def result() -> DataFrame:
+        latest = log.read_latest(["shipment_id"], ["_loaded_at"])
+        return live.active_shipments(latest, dim_port_b, as_of, keep_latest=False)
+    return q, result
 
 
 def stream_port_congestion(spark: SparkSession, src: str, state_path: str, checkpoint: str,
@@ -110,21 +107,12 @@ def stream_port_congestion(spark: SparkSession, src: str, state_path: str, check
                    F.col("w.end").cast("timestamp_ntz").alias("window_end"),
                    "port_code", "port_name", "lat", "lon", "vessels_in_port", "wait_sum", "wait_n",
                    "congested_vessels"))
-    table = VersionedTable(spark, state_path)
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        tag = f"batch-{batch_id}"
-        if table.has_tag(tag):
-            return
-        b = batch.withColumn("_batch", F.lit(batch_id))
-        cur = table.read()
-        table.commit(b if cur is None else upsert(cur, b, ["port_code", "window_end"], ["_batch"]), tag)
-
-    q = _run(agg.writeStream.outputMode("update").foreachBatch(sink), checkpoint, trigger,
+    log = ChangelogTable(spark, state_path)
+    q = _run(agg.writeStream.outputMode("update").foreachBatch(log.write_batch), checkpoint, trigger,
              "dt_port_congestion")
 
     def result() -> DataFrame:
-        t = table.read()
+        t = log.read_latest(["port_code", "window_end"])
         return t.select("window_start", "window_end", "port_code", "port_name", "lat", "lon",
                         "vessels_in_port",
                         rnd(F.col("wait_sum") / F.nullif(F.col("wait_n"), F.lit(0)), 1).alias("avg_wait_hours"),
@@ -139,20 +127,16 @@ def stream_fact_upsert(spark: SparkSession, src: str, state_path: str, checkpoin
     """M4: ``fct_shipment_events`` maintained per micro-batch (upsert by
     shipment_id, latest ``_loaded_at`` wins); equals the batch model."""
     from ..sources import schemas
-    table = VersionedTable(spark, state_path)
+    log = ChangelogTable(spark, state_path)
     raw = file_stream(spark, src, schemas.RAW_SHIPMENTS, 2)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        tag = f"batch-{batch_id}"
-        if table.has_tag(tag):
-            return
         rows = facts.fct_shipment_events(staging.stg_shipments(batch), wh.dim_shipment, wh.dim_date,
                                          wh.dim_port_b, wh.dim_carrier_b)
-        cur = table.read()
-        table.commit(rows if cur is None else upsert(cur, rows, ["shipment_id"]), tag)
+        log.write_batch(rows, batch_id)
 
     q = _run(raw.writeStream.foreachBatch(sink), checkpoint, trigger, "fct_shipment_events_stream")
-    return q, table.read
+    return q, (lambda: log.read_latest(["shipment_id"], ["_loaded_at"]))
 
 
 def stream_dedup(spark: SparkSession, src: str, out_path: str, checkpoint: str,
