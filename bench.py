@@ -76,7 +76,7 @@ def main() -> None:
     wh = warehouse(spark, SF_DIR)
     raw = wh.raw_shipments
     cut = raw.select(F.datediff(F.to_date("_loaded_at"), F.lit("1970-01-01").cast("date")).cast("double")
-                     .alias("d")).approxQuantile("d", [0.99], 0.0)[0]
+                     .alias("d")).approxQuantile("d", [0.99], 0.001)[0]
     base_rows = raw.filter(F.datediff(F.to_date("_loaded_at"), F.lit("1970-01-01").cast("date")) <= int(cut))
 
     def build(r):

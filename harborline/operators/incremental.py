@@ -15,7 +15,7 @@ import datetime as dt
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import lit_ntz
@@ -62,27 +62,54 @@ def upsert(target: DataFrame, delta: DataFrame, keys: list[str],
     return kept.unionByName(d_keyed).unionByName(d_null)
 
 
+LOG_SCHEMA = "version long, tag string, committed_at string, watermark string"
+
+
 class VersionedTable:
-    """A Parquet table stored as numbered versions plus a commit log."""
+    """A Parquet table stored as numbered versions plus a commit log.
+
+    The log row of a version also carries its watermark (``MAX`` of the
+    incremental column), so the next run reads one small JSON row instead of
+    scanning the whole table for it."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
+    def _exists_locally(self) -> bool | None:
+        """True/False for local paths, None when only the reader can tell."""
+        if "://" in self.path and not self.path.startswith("file:"):
+            return None
+        import os
+        local = self.path[len("file:"):] if self.path.startswith("file:") else self.path
+        return os.path.isdir(os.path.join(local, "_log"))
+
     def _log(self) -> DataFrame | None:
+        if self._exists_locally() is False:
+            return None
         try:
-            return self.spark.read.schema("version long, tag string, committed_at string") \
-                .json(f"{self.path}/_log")
+            return self.spark.read.schema(LOG_SCHEMA).json(f"{self.path}/_log")
         except AnalysisException:
             return None
 
-    def current(self) -> tuple[int, str] | None:
+    def _head(self):
         log = self._log()
         if log is None:
             return None
-        row = log.orderBy(F.col("version").desc()).select("version", "tag").first()
+        return log.orderBy(F.col("version").desc()).first()
+
+    def current(self) -> tuple[int, str] | None:
+        row = self._head()
         return (row["version"], row["tag"]) if row else None
 
+    def current_watermark(self):
+        """The stored watermark of the current version (None if unknown)."""
+        row = self._head()
+        if not row or row["watermark"] is None:
+            return None
+        text = row["watermark"]
+        return dt.datetime.fromisoformat(text) if "T" in text or ":" in text else dt.date.fromisoformat(text)
+
     def has_tag(self, tag: str) -> bool:
         log = self._log()
         return log is not None and log.filter(F.col("tag") == tag).limit(1).count() > 0
@@ -93,14 +120,22 @@ class VersionedTable:
             return None
         return self.spark.read.parquet(f"{self.path}/v={cur[0]:06d}")
 
-    def commit(self, df: DataFrame, tag: str | None = None) -> int:
-        """Write ``df`` as the next version, then append the log row."""
+    def commit(self, df: DataFrame, tag: str | None = None, watermark_col: str | None = None) -> int:
+        """Write ``df`` as the next version, then append the log row.  With
+        ``watermark_col`` the version's ``MAX`` of it is observed during the
+        write itself (no extra pass) and stored in the log."""
         cur = self.current()
         version = 1 if cur is None else cur[0] + 1
+        obs = None
+        if watermark_col is not None:
+            obs = Observation(f"wm_{uuid.uuid4().hex[:8]}")
+            df = df.observe(obs, F.max(watermark_col).alias("wm"))
         df.write.mode("overwrite").parquet(f"{self.path}/v={version:06d}")
+        value = obs.get.get("wm") if obs is not None else None
+        wm = None if value is None else value.isoformat()
         entry = self.spark.createDataFrame(
-            [(version, tag or uuid.uuid4().hex, dt.datetime.now(dt.timezone.utc).isoformat())],
-            "version long, tag string, committed_at string")
+            [(version, tag or uuid.uuid4().hex, dt.datetime.now(dt.timezone.utc).isoformat(), wm)],
+            LOG_SCHEMA)
         entry.coalesce(1).write.mode("append").json(f"{self.path}/_log")
         return version
 
@@ -120,10 +155,12 @@ def run_incremental(table: VersionedTable, build, source: DataFrame, keys: list[
         return None
     cur = None if full_refresh else table.read()
     if cur is None:
-        return table.commit(build(source), tag)
-    mx = watermark_value(cur, wm_col)
+        return table.commit(build(source), tag, wm_col)
+    mx = table.current_watermark()
+    if mx is None:                       # table written without a stored watermark
+        mx = watermark_value(cur, wm_col)
     delta = build(watermark_filter(source, wm_col, mx, lookback))
-    return table.commit(upsert(cur, delta, keys, [wm_col]), tag)
+    return table.commit(upsert(cur, delta, keys, [wm_col]), tag, wm_col)
 
 
 class ChangelogTable:

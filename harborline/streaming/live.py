@@ -42,7 +42,7 @@ def stage_batches(df: DataFrame, path: str, order_col: str, n_batches: int = 3,
     the next batch (duplicate delivery)."""
     day = F.datediff(F.to_date(order_col), F.lit("1970-01-01").cast("date")).cast("double")
     bounds = df.select(day.alias("__d")).approxQuantile(
-        "__d", [i / n_batches for i in range(1, n_batches)], 0.0) if n_batches > 1 else []
+        "__d", [i / n_batches for i in range(1, n_batches)], 0.001) if n_batches > 1 else []
     edges = [None] + bounds + [None]
     prev = None
     for i in range(n_batches):
