@@ -58,7 +58,7 @@ def upsert(target: DataFrame, delta: DataFrame, keys: list[str],
         has_key = has_key & F.col(k).isNotNull()
     d_keyed = latest_per_key(delta.filter(has_key), keys, order_cols)
     d_null = delta.filter(~has_key)
-    kept = target.join(d_keyed.select(*keys).distinct(), keys, "left_anti")
+    kept = target.join(d_keyed.select(*keys).distinct(), keys, "left_anti").select(*target.columns)
     return kept.unionByName(d_keyed).unionByName(d_null)
 
 
@@ -264,7 +264,7 @@ class PartitionedTable:
         touched = target.filter(F.col(self.part).isin(parts) if None not in parts
                                 else F.col(self.part).isin([p for p in parts if p is not None])
                                 | F.col(self.part).isNull())
-        kept = touched.join(d_all.select(*keys).distinct(), keys, "left_anti")
+        kept = touched.join(d_all.select(*keys).distinct(), keys, "left_anti").select(*target.columns)
         staged = f"{self.path}/_staging/{run}/rewrite"
         kept.unionByName(d_all.select(*target.columns)).write.partitionBy(self.part).parquet(staged)
         obs = Observation(f"wm_{run}") if wm_col else None

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
     """Keep, per ``keys``, the row with the largest ``order_cols`` (ties broken
     by the remaining columns, so the pick is deterministic)."""
-    rest = [c for c in df.columns if c not in keys and c not in order_cols]
-    packed = F.struct(*[F.col(c) for c in order_cols + rest]).alias("__r")
+    order = [c for c in order_cols if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    packed = F.struct(*[F.col(c) for c in order + rest]).alias("__r")
     out = df.groupBy(*keys).agg(F.max(packed).alias("__r"))
-    return out.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in order_cols + rest]) \
+    return out.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in order + rest]) \
         .select(*df.columns)
