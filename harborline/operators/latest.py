@@ -21,3 +21,12 @@ def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> Dat
     out = df.groupBy(*keys).agg(F.max(packed).alias("__r"))
     return out.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in order + rest]) \
         .select(*df.columns)
+
+
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """One row per ``key`` (deterministic: the largest remaining columns).
+
+    Used on the dimension side of a join whose natural key should be unique:
+    a duplicated key then cannot multiply fact rows (a hot duplicated key
+    would otherwise emit all pairs within it)."""
+    return latest_per_key(df, [key], [])

@@ -1,9 +1,10 @@
 """Gold facts (survey J10-J12).
 
 Dimension joins: the calendar and the port seed are broadcast behind a size
-check; data-derived dimensions (vessel, carrier, shipment) are joined without
-a hint so the planner/AQE picks broadcast or a shuffle join from measured
-sizes.  Only the columns a fact needs are taken from each dimension.
+check; the small data-derived dimensions (vessel, carrier) arrive already
+materialised and size-checked (``Warehouse``); the shipment dimension, as
+large as the fact, is a shuffle join on the id, reduced to one row per id
+first.  Only the columns a fact needs are taken from each dimension.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from ..functions import domain as d
 from ..functions.scalars import ts_key_text
 from ..operators.asof import attach_daily_rate
 from ..operators.broadcast import checked_broadcast
+from ..operators.latest import one_per_key
 from .dims import CALENDAR_ROWS
 
 
@@ -54,7 +56,9 @@ def fct_shipment_events(shipments: DataFrame, dim_shipment: DataFrame, dim_date:
     """One row per staged shipment; date x3 and port x2 role-playing."""
     s = shipments.select("*", F.to_date("etd").alias("__etd_d"), F.to_date("eta").alias("__eta_d"),
                          F.to_date("ata").alias("__ata_d"))
-    sh = dim_shipment.select("shipment_id", "shipment_key")
+    # one row per id (the key is MD5(id)), grouped by the id alone so the
+    # aggregate's partitioning is the join's: duplicated ids cannot fan out
+    sh = one_per_key(dim_shipment.select("shipment_id", "shipment_key"), "shipment_id")
     de, da, dt_ = (_dates(dim_date, n) for n in ("etd_date_key", "eta_date_key", "ata_date_key"))
     po = dim_port_b.select(F.col("port_code").alias("__po"), F.col("port_key").alias("origin_port_key"))
     pd_ = dim_port_b.select(F.col("port_code").alias("__pd"), F.col("port_key").alias("dest_port_key"))

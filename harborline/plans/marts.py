@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import domain as d
 from ..functions.scalars import count_if, haversine_km, safe_div, week_start
+from ..operators.latest import one_per_key
 from ..operators.spatial import pairs_within
 
 
@@ -52,7 +53,8 @@ def carrier_performance(fse: DataFrame, dim_carrier: DataFrame, dim_shipment: Da
     # ``shipment_key = MD5(shipment_id)`` on both sides, so equal keys mean equal
     # ids: joining on the id keeps the partitioning of the fact's own join with
     # the shipment dimension (one shuffle of the shipments instead of two).
-    sh = dim_shipment.select(F.col("shipment_id").alias("__sid"), "origin_port_code", "dest_port_code")
+    sh = one_per_key(dim_shipment.select(F.col("shipment_id").alias("__sid"), "origin_port_code",
+                                         "dest_port_code"), "__sid")
     p = dim_port_b.select(F.col("port_key").alias("dest_port_key"),
                           F.col("port_name").alias("dest_port_name"))
     s = (fse.filter(F.col("shipment_key").isNotNull())
@@ -152,7 +154,7 @@ def commodity_cost_summary(landed: DataFrame, dim_shipment: DataFrame, tariffs_b
     """Landed-cost statistics per commodity x cargo type x destination."""
     lc = landed.select("shipment_id", "dest_port_code", "cif_usd", "duty_rate_pct",
                        "duties_usd", "vat_usd", "total_landed_cost_php", "usd_php_rate")
-    s = dim_shipment.select("shipment_id", "cargo_type", "commodity_code")
+    s = one_per_key(dim_shipment.select("shipment_id", "cargo_type", "commodity_code"), "shipment_id")
     t = tariffs_b.select("commodity_code", F.col("description").alias("commodity_desc"),
                          "atiga_rate_pct")
     p = dim_port_b.select(F.col("port_code").alias("dest_port_code"),

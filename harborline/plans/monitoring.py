@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import domain as d
 from ..functions.scalars import count_if, hours_between, lit_ntz, safe_div
+from ..operators.latest import latest_per_key, one_per_key
 from ..operators.checks import anti_join_count, count_checks, duplicate_count, null_rate_checks
 from . import live
 from .marts import dec_avg, pct_of, rnd
@@ -270,7 +271,7 @@ def carrier_on_time(wh) -> DataFrame:
 
 def cost_by_cargo_type(wh) -> DataFrame:
     """Landed cost statistics per cargo type."""
-    s = wh.dim_shipment.select("shipment_id", "cargo_type")
+    s = one_per_key(wh.dim_shipment.select("shipment_id", "cargo_type"), "shipment_id")
     f = wh.fct_landed_cost.join(s, "shipment_id")
     return (f.groupBy("cargo_type")
             .agg(F.count(F.lit(1)).alias("shipment_count"),
@@ -380,8 +381,9 @@ def health_summary(wh) -> DataFrame:
 
 def rt_freshness(wh, max_age_h: float = 0.25) -> DataFrame:
     """K7: age of the newest row of the live shipments table vs. 15 minutes."""
-    a = wh.active_shipments.join(wh.stg_shipments.select("shipment_id", "_loaded_at"), "shipment_id")
-    g = a.agg(F.max("_loaded_at").alias("latest_ts"))
+    live_rows = latest_per_key(wh.stg_shipments.select("shipment_id", "_loaded_at", "ata"),
+                               ["shipment_id"], ["_loaded_at"]).filter(F.col("ata").isNull())
+    g = live_rows.agg(F.max("_loaded_at").alias("latest_ts"))
     age = F.timestamp_diff("SECOND", F.col("latest_ts"), _as_of(wh)) / 3600.0
     return g.select(F.lit("realtime.dt_active_shipments").alias("table_name"), "latest_ts",
                     F.round(age, 2).alias("age_hours"),

@@ -182,3 +182,16 @@ def test_spatial_join_matches_brute_force(spark):
         return 2 * 6371.0088 * math.asin(min(1.0, math.sqrt(h)))
     want = {(a[0], b[0]) for a in pts for b in pts if a[0] != b[0] and hav(a, b) <= 500.0}
     assert got == want and ("q1", "q2") in got and ("q3", "q4") in got
+
+
+def test_duplicated_dimension_key_does_not_fan_out(spark):
+    from harborline.plans import dims as dm
+    T2 = dt.datetime
+    rows = [(T2(2026, 1, 1), T2(2026, 1, 1))] * 50
+    s = staging.stg_shipments(_ship(spark, rows).withColumn("shipment_id", F.lit("HOT")))
+    ports = spark.createDataFrame([("MICT", "Port of MICT", "r", "domestic", 10.0, 120.0)],
+                                  "port_code string, port_name string, region string, port_type string, "
+                                  "lat double, lon double")
+    f = facts.fct_shipment_events(s, dm.dim_shipment(s), dm.dim_date(spark), dm.dim_port(ports),
+                                  dm.dim_carrier(s))
+    assert f.count() == 50                      # the fact keeps its grain, not 50 x 50
