@@ -16,7 +16,6 @@ from ..functions import domain as d
 from ..functions.scalars import ts_key_text
 from ..operators.asof import attach_daily_rate
 from ..operators.broadcast import checked_broadcast
-from ..operators.latest import one_per_key
 from .dims import CALENDAR_ROWS
 
 
@@ -56,14 +55,16 @@ def fct_shipment_events(shipments: DataFrame, dim_shipment: DataFrame, dim_date:
     """One row per staged shipment; date x3 and port x2 role-playing."""
     s = shipments.select("*", F.to_date("etd").alias("__etd_d"), F.to_date("eta").alias("__eta_d"),
                          F.to_date("ata").alias("__ata_d"))
-    # one row per id (the key is MD5(id)), grouped by the id alone so the
-    # aggregate's partitioning is the join's: duplicated ids cannot fan out
-    sh = one_per_key(dim_shipment.select("shipment_id", "shipment_key"), "shipment_id")
+    # The dimension's key is MD5(id): the join only has to say whether the id
+    # exists there.  Distinct ids (a hash aggregate partitioned like the join)
+    # keep duplicated ids from fanning out; the key is then derived.
+    sh = dim_shipment.select(F.col("shipment_id").alias("__sid")).distinct()
     de, da, dt_ = (_dates(dim_date, n) for n in ("etd_date_key", "eta_date_key", "ata_date_key"))
     po = dim_port_b.select(F.col("port_code").alias("__po"), F.col("port_key").alias("origin_port_key"))
     pd_ = dim_port_b.select(F.col("port_code").alias("__pd"), F.col("port_key").alias("dest_port_key"))
     c = dim_carrier.select("carrier_code", "carrier_key")
-    j = (s.join(sh, "shipment_id", "left")
+    j = (s.join(sh, s["shipment_id"] == sh["__sid"], "left")
+         .withColumn("shipment_key", F.when(F.col("__sid").isNotNull(), F.md5("shipment_id")))
          .join(de, s["__etd_d"] == de["etd_date_key"], "left")
          .join(da, s["__eta_d"] == da["eta_date_key"], "left")
          .join(dt_, s["__ata_d"] == dt_["ata_date_key"], "left")

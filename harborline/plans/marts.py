@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import domain as d
 from ..functions.scalars import count_if, haversine_km, safe_div, week_start
 from ..operators.latest import one_per_key
+from ..operators.percentile import exact_percentiles, null_safe_join
 from ..operators.spatial import pairs_within
 
 
@@ -150,8 +151,14 @@ def customs_clearance_kpi(dim_customs: DataFrame, dim_port_b: DataFrame,
 
 
 def commodity_cost_summary(landed: DataFrame, dim_shipment: DataFrame, tariffs_b: DataFrame,
-                           dim_port_b: DataFrame, approx: bool = False) -> DataFrame:
-    """Landed-cost statistics per commodity x cargo type x destination."""
+                           dim_port_b: DataFrame, approx: bool = False,
+                           distributed_median: bool = True) -> DataFrame:
+    """Landed-cost statistics per commodity x cargo type x destination.
+
+    Landed cost is a continuous amount (nearly one distinct value per row),
+    so its exact median is computed by ``exact_percentiles`` (value-range
+    partitioned) instead of a per-group value map, then joined to the other
+    aggregates on the group keys (both sides are one row per group)."""
     lc = landed.select("shipment_id", "dest_port_code", "cif_usd", "duty_rate_pct",
                        "duties_usd", "vat_usd", "total_landed_cost_php", "usd_php_rate")
     s = one_per_key(dim_shipment.select("shipment_id", "cargo_type", "commodity_code"), "shipment_id")
@@ -162,8 +169,9 @@ def commodity_cost_summary(landed: DataFrame, dim_shipment: DataFrame, tariffs_b
     cb = lc.join(s, "shipment_id").join(t, "commodity_code", "left").join(p, "dest_port_code", "left")
     cif, du, vat, tot = (F.col(c) for c in ("cif_usd", "duties_usd", "vat_usd", "total_landed_cost_php"))
     burden = safe_div((du + vat).cast("double"), (cif + du + vat).cast("double"))
-    return (cb.groupBy("commodity_code", "commodity_desc", "cargo_type", "dest_port_code",
-                       "dest_port_name")
+    keys = ["commodity_code", "commodity_desc", "cargo_type", "dest_port_code", "dest_port_name"]
+    median = [] if (distributed_median and not approx) else [pctl(tot, 0.5, approx).alias("p50_landed_cost_php")]
+    g = (cb.groupBy(*keys)
             .agg(F.count(F.lit(1)).alias("shipment_count"),
                  rnd(dec_avg(cif), 2).alias("avg_cif_usd"),
                  rnd(dec_avg(du), 2).alias("avg_duties_usd"),
@@ -173,11 +181,15 @@ def commodity_cost_summary(landed: DataFrame, dim_shipment: DataFrame, tariffs_b
                  F.sum(tot).cast("decimal(38,2)").alias("total_landed_cost_php"),
                  F.min(tot).alias("min_landed_cost_php"),
                  F.max(tot).alias("max_landed_cost_php"),
-                 pctl(tot, 0.5, approx).alias("p50_landed_cost_php"),
+                 *median,
                  rnd(dec_avg(F.col("duty_rate_pct")), 2).alias("avg_duty_rate_pct"),
                  F.max("atiga_rate_pct").alias("atiga_preferential_rate_pct"),
                  rnd(F.avg(burden) * 100, 1).alias("avg_tax_burden_pct"),
                  rnd(dec_avg(F.col("usd_php_rate")), 4).alias("avg_usd_php_rate")))
+    if median:
+        return g
+    med = exact_percentiles(cb, keys, "total_landed_cost_php", {"p50_landed_cost_php": 0.5})
+    return null_safe_join(g, med, keys, "left")
 
 
 def weekly_dwell(fpd: DataFrame, dim_port_b: DataFrame) -> DataFrame:

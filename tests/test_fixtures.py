@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from harborline.functions import domain as d
@@ -195,3 +196,23 @@ def test_duplicated_dimension_key_does_not_fan_out(spark):
     f = facts.fct_shipment_events(s, dm.dim_shipment(s), dm.dim_date(spark), dm.dim_port(ports),
                                   dm.dim_carrier(s))
     assert f.count() == 50                      # the fact keeps its grain, not 50 x 50
+
+
+def test_distributed_exact_percentile_matches_numpy(spark):
+    import numpy as np
+
+    from harborline.operators.percentile import exact_percentiles
+    rng = np.random.default_rng(3)
+    rows = [("hot", float(x)) for x in rng.normal(100, 30, 3000).round(3)]        # one hot group
+    rows += [(f"g{i % 7}", float(x)) for i, x in enumerate(rng.exponential(50, 400).round(2))]
+    rows += [("hot", None), (None, 5.0), (None, 7.0), ("single", 42.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: (r.p50, r.p90) for r in exact_percentiles(df, ["k"], "v", {"p50": 0.5, "p90": 0.9},
+                                                            partitions=8).collect()}
+    groups = {}
+    for k, v in rows:
+        if v is not None:
+            groups.setdefault(k, []).append(v)
+    for k, vals in groups.items():
+        want = (round(float(np.percentile(vals, 50)), 6), round(float(np.percentile(vals, 90)), 6))
+        assert got[k] == pytest.approx(want, abs=2e-6), k
