@@ -24,10 +24,13 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 REPS = int(os.environ.get("BENCH_REPS", "5"))
 
-HEADLINE = ["port_throughput_daily", "carrier_performance", "customs_clearance_kpi", "fct_landed_cost",
-            "fct_landed_cost_asof", "port_catchment_area", "commodity_cost_summary",
-            "congestion_delay_impact", "active_shipments", "port_congestion_24h", "dq_not_null",
-            "union_checks", "health_summary"]
+# marts and reports, run on the stored layers of one warehouse run
+HEADLINE = ["port_throughput_daily", "carrier_performance", "customs_clearance_kpi",
+            "port_catchment_area", "commodity_cost_summary", "congestion_delay_impact",
+            "active_shipments", "port_congestion_24h", "dq_not_null", "union_checks", "health_summary"]
+# models timed end to end from the raw feeds (no stored layer)
+FROM_RAW = ["fct_landed_cost", "fct_landed_cost_asof", "fct_shipment_events", "fct_port_dwell",
+            "port_throughput_daily", "carrier_performance"]
 
 
 def _sf_of(path: str) -> float | str:
@@ -67,9 +70,26 @@ def main() -> None:
             runs.append(time.perf_counter() - t0)
         timings[name] = round(statistics.median(runs), 3)
 
+    # one scheduled build of the stored layers (silver, dimensions, facts), cold each time
+    from harborline.plans.warehouse import Warehouse
+
+    def build_layers():
+        w = Warehouse(spark, SF_DIR, store_layers=True)
+        for layer in ["fct_shipment_events", "fct_port_dwell", "fct_landed_cost", "dim_customs_entry",
+                      "stg_customs_entries"]:
+            getattr(w, layer)
+    measure("layer_build", build_layers)
+
     for name in HEADLINE:
         measure(name, lambda n=name: QUERIES[n](spark, SF_DIR).write.format("noop").mode("overwrite").save())
 
+    from harborline.plans import reports
+    raw_wh = warehouse(spark, SF_DIR, store_layers=False)
+    raw_models = {n: (lambda n=n: getattr(raw_wh, n)) for n in FROM_RAW if n != "fct_landed_cost_asof"}
+    raw_models["fct_landed_cost_asof"] = lambda: reports.landed_cost_asof(raw_wh)
+    for name in FROM_RAW:
+        measure(f"raw:{name}", lambda n=name: raw_models[n]().write.format("noop").mode("overwrite").save())
+
     # incremental upsert of a ~1 % delta (partitioned table, dynamic partition
     # overwrite) vs. the full refresh of the same fact
     from harborline.operators.incremental import PartitionedTable, run_incremental_partitioned
@@ -109,8 +129,8 @@ def main() -> None:
     spark.stop()
 
     shuffle = shuffle_bytes(events)
-    total = round(sum(v for k, v in timings.items() if k in HEADLINE), 3)
-    print(json.dumps({"metric": "headline_queries_total_median", "value": total, "unit": "sec",
+    total = round(timings["layer_build"] + sum(v for k, v in timings.items() if k in HEADLINE), 3)
+    print(json.dumps({"metric": "layer_build_plus_headline_marts_median", "value": total, "unit": "sec",
                       "queries": timings, "shuffle_bytes": shuffle, "stream_window_rows": n_state,
                       "incremental_partitions_rewritten": f"{touched[-1]}/{n_parts}",
                       "sf": _sf_of(SF_DIR), "cpus": int(CPUS), "reps": REPS}))
@@ -138,7 +158,7 @@ def shuffle_bytes(log_dir: str) -> dict[str, int]:
     out: dict[str, list[int]] = {}
     for grp, b in per_group.items():
         if grp.startswith("bench:"):
-            name = grp.split(":")[1]
+            name = grp[len("bench:"):].rsplit(":", 1)[0]
             out.setdefault(name, []).append(b)
     return {k: int(statistics.median(v)) for k, v in out.items()}
 

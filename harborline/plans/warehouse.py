@@ -31,7 +31,8 @@ DIM_MAX_ROWS = 2_000_000
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: dt.datetime = DEFAULT_AS_OF,
                  bronze: Bronze | None = None, fx_mode: str = "max_to_date",
-                 clamp_category: bool = False, vessel_source: str = "silver"):
+                 clamp_category: bool = False, vessel_source: str = "silver",
+                 store_layers: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
@@ -40,6 +41,13 @@ class Warehouse:
         self.vessel_source = vessel_source
         self._bronze = bronze
         self._run_id = uuid.uuid4().hex[:12]
+        # store_layers: silver, the large dimensions and the facts are written
+        # once per warehouse (like a scheduled run) and every later query reads
+        # the stored tables instead of re-deriving them from the raw feeds.
+        self.store_layers = store_layers
+
+    def _layer(self, name: str, df: DataFrame) -> DataFrame:
+        return self.materialize(name, df) if self.store_layers else df
 
     def materialize(self, name: str, df: DataFrame) -> DataFrame:
         """Write a model once per warehouse to the shared checkpoint folder and
@@ -81,15 +89,15 @@ class Warehouse:
     # -- silver ---------------------------------------------------------------
     @cached_property
     def stg_vessel_calls(self) -> DataFrame:
-        return staging.stg_vessel_calls(self.raw_vessel_calls)
+        return self._layer("stg_vessel_calls", staging.stg_vessel_calls(self.raw_vessel_calls))
 
     @cached_property
     def stg_shipments(self) -> DataFrame:
-        return staging.stg_shipments(self.raw_shipments, self.clamp_category)
+        return self._layer("stg_shipments", staging.stg_shipments(self.raw_shipments, self.clamp_category))
 
     @cached_property
     def stg_customs_entries(self) -> DataFrame:
-        return staging.stg_customs_entries(self.raw_customs_entries)
+        return self._layer("stg_customs_entries", staging.stg_customs_entries(self.raw_customs_entries))
 
     # -- dimensions -----------------------------------------------------------
     @cached_property
@@ -128,27 +136,27 @@ class Warehouse:
 
     @cached_property
     def dim_shipment(self) -> DataFrame:
-        return dims.dim_shipment(self.stg_shipments)
+        return self._layer("dim_shipment", dims.dim_shipment(self.stg_shipments))
 
     @cached_property
     def dim_customs_entry(self) -> DataFrame:
-        return dims.dim_customs_entry(self.stg_customs_entries)
+        return self._layer("dim_customs_entry", dims.dim_customs_entry(self.stg_customs_entries))
 
     # -- facts ----------------------------------------------------------------
     @cached_property
     def fct_port_dwell(self) -> DataFrame:
-        return facts.fct_port_dwell(self.stg_vessel_calls, self.dim_vessel_b, self.dim_date,
-                                    self.dim_port_b)
+        return self._layer("fct_port_dwell", facts.fct_port_dwell(
+            self.stg_vessel_calls, self.dim_vessel_b, self.dim_date, self.dim_port_b))
 
     @cached_property
     def fct_shipment_events(self) -> DataFrame:
-        return facts.fct_shipment_events(self.stg_shipments, self.dim_shipment, self.dim_date,
-                                         self.dim_port_b, self.dim_carrier_b)
+        return self._layer("fct_shipment_events", facts.fct_shipment_events(
+            self.stg_shipments, self.dim_shipment, self.dim_date, self.dim_port_b, self.dim_carrier_b))
 
     @cached_property
     def fct_landed_cost(self) -> DataFrame:
-        return facts.fct_landed_cost(self.stg_shipments, self.tariffs_b, self.usd_php_rates,
-                                     self.as_of.date(), self.fx_mode)
+        return self._layer("fct_landed_cost", facts.fct_landed_cost(
+            self.stg_shipments, self.tariffs_b, self.usd_php_rates, self.as_of.date(), self.fx_mode))
 
     # -- marts ----------------------------------------------------------------
     @cached_property

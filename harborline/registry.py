@@ -23,6 +23,7 @@ _WH: dict = {}
 def warehouse(spark: SparkSession, sf_dir: str, **kw) -> Warehouse:
     """One Warehouse per (session, dir, options): DataFrames are reused
     between queries of a run, never results."""
+    kw.setdefault("store_layers", True)
     key = (id(spark), sf_dir, tuple(sorted(kw.items())))
     wh = _WH.get(key)
     if wh is None or wh.spark is not spark:

@@ -28,19 +28,24 @@ def test_no_bad_operators(spark, name):
         assert bad not in p, f"{name}: {bad}"
 
 
+def _raw_wh(spark):
+    from harborline.registry import warehouse
+    return warehouse(spark, SF_SMALL, store_layers=False)
+
+
 def test_landed_cost_uses_hash_join_for_fx(spark):
-    p = plan(queries()["fct_landed_cost"](spark, SF_SMALL))
+    p = plan(_raw_wh(spark).fct_landed_cost)
     assert "BroadcastHashJoin" in p and "Generate" in p and "explode(" in p
 
 
 def test_scan_prunes_columns(spark):
-    p = plan(queries()["port_throughput_daily"](spark, SF_SMALL))
+    p = plan(_raw_wh(spark).port_throughput_daily)
     # the events scan reads only what the vessel-call binding needs
     line = [ln for ln in p.splitlines() if "ReadSchema" in ln and "event_id" in ln][0]
     assert "props" not in line and "value" not in line
 
 
 def test_facts_never_broadcast(spark):
-    p = plan(queries()["carrier_performance"](spark, SF_SMALL))
+    p = plan(_raw_wh(spark).carrier_performance)
     # the shipment dimension is as large as the fact: joined by shuffle/AQE, not hinted
     assert "ObjectHashAggregate" in p or "SortAggregate" in p
