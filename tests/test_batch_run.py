@@ -30,6 +30,8 @@ def test_batch_run_twice_is_idempotent(spark):
     assert os.path.isdir(os.path.join(out, "gold", "dim_port"))
     batch_run.run(spark, SF_SMALL, out)
     assert _same(ev.read().drop("etd_month"), first_ev)
+    dwell = PartitionedTable(spark, batch_run.layer_path(out, "fct_port_dwell"), "arrival_month")
+    assert _same(dwell.read().drop("arrival_month"), wh.fct_port_dwell)
     assert _same(ptd.read(), first_ptd)
     # the planted traps show up as failing declared tests (e.g. duplicate entry numbers)
     failing = {(t["model"], t["column_name"], t["test"]) for t in r1["failing_tests"]}
