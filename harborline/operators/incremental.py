@@ -174,13 +174,35 @@ class ChangelogTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.bases = VersionedTable(spark, f"{self.path}/_base")
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         (df.withColumn("_batch", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").parquet(f"{self.path}/batch_{batch_id:010d}"))
 
     def read_all(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/batch_*")
+        """The newest compacted base (if any) plus the batches after it."""
+        batches = self.spark.read.parquet(f"{self.path}/batch_*")
+        cur = self.bases.current()
+        if cur is None:
+            return batches
+        upto = int(cur[1].split("-")[1])
+        base = self.bases.read().select(*batches.columns)
+        return base.unionByName(batches.filter(F.col("_batch") > upto))
+
+    def compact(self, keys: list[str], order_cols: list[str] | None = None) -> int:
+        """Fold the log into a new base (latest row per key), so readers scan
+        the base plus only the batches written after it."""
+        log = self.read_all()
+        upto = log.agg(F.max("_batch")).first()[0]
+        if upto is None:
+            return -1
+        has_key = F.lit(True)
+        for k in keys:
+            has_key = has_key & F.col(k).isNotNull()
+        folded = latest_per_key(log.filter(has_key), keys, ["_batch"] + (order_cols or []))
+        self.bases.commit(folded.unionByName(log.filter(~has_key)), tag=f"upto-{upto}")
+        return upto
 
     def read_latest(self, keys: list[str], order_cols: list[str] | None = None) -> DataFrame:
         log = self.read_all()

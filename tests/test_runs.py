@@ -134,3 +134,16 @@ def test_partitioned_upsert_k_splits_equal_full_refresh(spark):
     assert wh.fct_shipment_events.exceptAll(got).count() == 0
     total = t.read().select(PART_COL).distinct().count()
     assert all(len(p) < total for p in touched[1:])      # later runs rewrite only some partitions
+
+
+def test_changelog_compaction_keeps_latest(spark):
+    from harborline.operators.incremental import ChangelogTable
+    log = ChangelogTable(spark, os.path.join(tempfile.mkdtemp(), "log"))
+    ddl = "k string, v int"
+    log.write_batch(spark.createDataFrame([("a", 1), ("b", 1)], ddl), 0)
+    log.write_batch(spark.createDataFrame([("a", 2)], ddl), 1)
+    assert log.compact(["k"]) == 1
+    log.write_batch(spark.createDataFrame([("b", 3), ("c", 1)], ddl), 2)
+    log.write_batch(spark.createDataFrame([("b", 3), ("c", 1)], ddl), 2)      # replayed batch
+    got = {r.k: r.v for r in log.read_latest(["k"]).collect()}
+    assert got == {"a": 2, "b": 3, "c": 1}
