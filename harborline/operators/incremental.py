@@ -82,13 +82,13 @@ class VersionedTable:
             return None
         import os
         local = self.path[len("file:"):] if self.path.startswith("file:") else self.path
-        return os.path.isdir(os.path.join(local, "_log"))
+        return os.path.isdir(os.path.join(local, "commit_log"))
 
     def _log(self) -> DataFrame | None:
         if self._exists_locally() is False:
             return None
         try:
-            return self.spark.read.schema(LOG_SCHEMA).json(f"{self.path}/_log")
+            return self.spark.read.schema(LOG_SCHEMA).json(f"{self.path}/commit_log")
         except AnalysisException:
             return None
 
@@ -136,7 +136,7 @@ class VersionedTable:
         entry = self.spark.createDataFrame(
             [(version, tag or uuid.uuid4().hex, dt.datetime.now(dt.timezone.utc).isoformat(), wm)],
             LOG_SCHEMA)
-        entry.coalesce(1).write.mode("append").json(f"{self.path}/_log")
+        entry.coalesce(1).write.mode("append").json(f"{self.path}/commit_log")
         return version
 
 
@@ -174,7 +174,7 @@ class ChangelogTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.bases = VersionedTable(spark, f"{self.path}/_base")
+        self.bases = VersionedTable(spark, f"{self.path}/base")
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         (df.withColumn("_batch", F.lit(batch_id).cast("long"))
@@ -222,7 +222,7 @@ class PartitionedTable:
     written, so a 1 % delta costs about the partitions it touches, not the
     table.  The set of touched partition values is small (months) and is
     applied as a literal filter, so the scan prunes partitions.  The rows to
-    rewrite are first staged under ``<path>/_staging/<run>`` (a table is not
+    rewrite are first staged under ``<path>/staging/<run>`` (a table is not
     overwritten while being read), then swapped in by one dynamic-overwrite
     job; the watermark is kept in a small JSON log like ``VersionedTable``.
     """
@@ -231,7 +231,7 @@ class PartitionedTable:
         self.spark = spark
         self.path = path.rstrip("/")
         self.part = partition_col
-        self.log = VersionedTable(spark, f"{self.path}/_meta")
+        self.log = VersionedTable(spark, f"{self.path}/meta")
 
     def exists(self) -> bool:
         return self.log.current() is not None
@@ -274,7 +274,7 @@ class PartitionedTable:
         d_keyed = latest_per_key(delta.filter(has_key), keys, order_cols)
         d_all = d_keyed.unionByName(delta.filter(~has_key))
         run = uuid.uuid4().hex[:12]
-        staged_delta = f"{self.path}/_staging/{run}/delta"
+        staged_delta = f"{self.path}/staging/{run}/delta"
         d_all.write.parquet(staged_delta)                   # model the delta once
         d_all = self.spark.read.parquet(staged_delta)
         # partitions where the delta's keys live today + partitions of the delta rows
@@ -287,7 +287,7 @@ class PartitionedTable:
                                 else F.col(self.part).isin([p for p in parts if p is not None])
                                 | F.col(self.part).isNull())
         kept = touched.join(d_all.select(*keys).distinct(), keys, "left_anti").select(*target.columns)
-        staged = f"{self.path}/_staging/{run}/rewrite"
+        staged = f"{self.path}/staging/{run}/rewrite"
         kept.unionByName(d_all.select(*target.columns)).write.partitionBy(self.part).parquet(staged)
         obs = Observation(f"wm_{run}") if wm_col else None
         new = self.spark.read.parquet(staged)

@@ -15,6 +15,11 @@ from ..session import shared_dir
 from ..streaming import live as sl
 
 
+def _parts(spark) -> int:
+    """State partitions of the registered streams: one per core of the cluster."""
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
 def _dirs(spark, name: str) -> tuple[str, str, str]:
     root = shared_dir(spark, f"streams/{name}-{uuid.uuid4().hex[:12]}")
     return f"{root}/source", f"{root}/sink", f"{root}/checkpoint"
@@ -23,36 +28,38 @@ def _dirs(spark, name: str) -> tuple[str, str, str]:
 def stream_active_shipments(wh) -> DataFrame:
     src, sink, ckpt = _dirs(wh.spark, "active_shipments")
     sl.stage_batches(wh.raw_shipments, src, "_loaded_at")
-    _, result = sl.stream_active_shipments(wh.spark, src, sink, ckpt, wh.dim_port_b, wh.as_of)
+    _, result = sl.stream_active_shipments(wh.spark, src, sink, ckpt, wh.dim_port_b, wh.as_of,
+        state_partitions=_parts(wh.spark))
     return result()
 
 
 def stream_port_congestion(wh) -> DataFrame:
     src, sink, ckpt = _dirs(wh.spark, "port_congestion")
     sl.stage_batches(wh.raw_vessel_calls, src, "_loaded_at")
-    _, result = sl.stream_port_congestion(wh.spark, src, sink, ckpt, wh.dim_port_b)
+    _, result = sl.stream_port_congestion(wh.spark, src, sink, ckpt, wh.dim_port_b, state_partitions=_parts(wh.spark))
     return result()
 
 
 def stream_fact_upsert(wh) -> DataFrame:
     src, sink, ckpt = _dirs(wh.spark, "fct_shipment_events")
     sl.stage_batches(wh.raw_shipments, src, "_loaded_at")
-    _, result = sl.stream_fact_upsert(wh.spark, src, sink, ckpt, wh)
+    _, result = sl.stream_fact_upsert(wh.spark, src, sink, ckpt, wh, state_partitions=_parts(wh.spark))
     return result()
 
 
 def stream_dedup(wh) -> DataFrame:
     src, sink, ckpt = _dirs(wh.spark, "dedup")
     sl.stage_batches(wh.raw_shipments, src, "_loaded_at", redeliver_share=5)
-    _, result = sl.stream_dedup(wh.spark, src, sink, ckpt)
+    _, result = sl.stream_dedup(wh.spark, src, sink, ckpt, state_partitions=_parts(wh.spark))
     return result()
 
 
 def stream_lag(wh) -> DataFrame:
     src, sink, ckpt = _dirs(wh.spark, "lag_active")
     sl.stage_batches(wh.raw_shipments, src, "_loaded_at")
-    q1, _ = sl.stream_active_shipments(wh.spark, src, sink, ckpt, wh.dim_port_b, wh.as_of)
+    q1, _ = sl.stream_active_shipments(wh.spark, src, sink, ckpt, wh.dim_port_b, wh.as_of,
+        state_partitions=_parts(wh.spark))
     src2, sink2, ckpt2 = _dirs(wh.spark, "lag_congestion")
     sl.stage_batches(wh.raw_vessel_calls, src2, "_loaded_at")
-    q2, _ = sl.stream_port_congestion(wh.spark, src2, sink2, ckpt2, wh.dim_port_b)
+    q2, _ = sl.stream_port_congestion(wh.spark, src2, sink2, ckpt2, wh.dim_port_b, state_partitions=_parts(wh.spark))
     return sl.progress_rows(wh.spark, [q1, q2], {"dt_active_shipments": 5.0, "dt_port_congestion": 15.0})

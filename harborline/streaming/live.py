@@ -60,23 +60,38 @@ def stage_batches(df: DataFrame, path: str, order_col: str, n_batches: int = 3,
         prev = part
 
 
-def _run(query_builder, checkpoint: str, trigger: dict | None, name: str):
+def _run(query_builder, checkpoint: str, trigger: dict | None, name: str,
+         spark: SparkSession | None = None, state_partitions: int | None = None):
+    """Start a stream; ``state_partitions`` fixes its shuffle/state partition
+    count (kept in the checkpoint for the query's life).  The session conf is
+    changed only while the query starts: the stream runs on a clone."""
     q = query_builder.option("checkpointLocation", checkpoint).queryName(name)
-    q = q.trigger(**(trigger or {"availableNow": True})).start()
+    q = q.trigger(**(trigger or {"availableNow": True}))
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key) if (spark is not None and state_partitions) else None
+    try:
+        if old is not None:
+            spark.conf.set(key, str(state_partitions))
+        q = q.start()
+    finally:
+        if old is not None:
+            spark.conf.set(key, old)
     if (trigger or {}).get("availableNow", True):
         q.awaitTermination()
     return q
 
 
 def stream_active_shipments(spark: SparkSession, src: str, state_path: str, checkpoint: str,
-                            dim_port_b: DataFrame, as_of: dt.datetime, trigger: dict | None = None):
+                            dim_port_b: DataFrame, as_of: dt.datetime, trigger: dict | None = None,
+                            state_partitions: int | None = None):
     """M1: the latest row per shipment is upserted per micro-batch; the live
     table is that state filtered to shipments without ATA.  A later row with
     an ATA therefore removes the shipment."""
     from ..sources import schemas
     log = ChangelogTable(spark, state_path)
     stg = staging.stg_shipments(file_stream(spark, src, schemas.RAW_SHIPMENTS, 2))
-    q = _run(stg.writeStream.foreachBatch(log.write_batch), checkpoint, trigger, "dt_active_shipments")
+    q = _run(stg.writeStream.foreachBatch(log.write_batch), checkpoint, trigger, "dt_active_shipments",
+             spark, state_partitions)
 
     def result() -> DataFrame:
         latest = log.read_latest(["shipment_id"], ["_loaded_at"])
@@ -87,7 +102,7 @@ def stream_active_shipments(spark: SparkSession, src: str, state_path: str, chec
 def stream_port_congestion(spark: SparkSession, src: str, state_path: str, checkpoint: str,
                            dim_port_b: DataFrame, trigger: dict | None = None,
                            window: str = "24 hours", slide: str = "15 minutes",
-                           watermark: str = "24 hours"):
+                           watermark: str = "24 hours", state_partitions: int | None = None):
     """M2: rolling 24 h window per port, sliding every 15 minutes; each
     micro-batch upserts the windows it changed (update mode)."""
     from ..sources import schemas
@@ -109,7 +124,7 @@ def stream_port_congestion(spark: SparkSession, src: str, state_path: str, check
                    "congested_vessels"))
     log = ChangelogTable(spark, state_path)
     q = _run(agg.writeStream.outputMode("update").foreachBatch(log.write_batch), checkpoint, trigger,
-             "dt_port_congestion")
+             "dt_port_congestion", spark, state_partitions)
 
     def result() -> DataFrame:
         t = log.read_latest(["port_code", "window_end"])
@@ -123,7 +138,7 @@ def stream_port_congestion(spark: SparkSession, src: str, state_path: str, check
 
 
 def stream_fact_upsert(spark: SparkSession, src: str, state_path: str, checkpoint: str, wh,
-                       trigger: dict | None = None):
+                       trigger: dict | None = None, state_partitions: int | None = None):
     """M4: ``fct_shipment_events`` maintained per micro-batch (upsert by
     shipment_id, latest ``_loaded_at`` wins); equals the batch model."""
     from ..sources import schemas
@@ -135,12 +150,13 @@ def stream_fact_upsert(spark: SparkSession, src: str, state_path: str, checkpoin
                                          wh.dim_port_b, wh.dim_carrier_b)
         log.write_batch(rows, batch_id)
 
-    q = _run(raw.writeStream.foreachBatch(sink), checkpoint, trigger, "fct_shipment_events_stream")
+    q = _run(raw.writeStream.foreachBatch(sink), checkpoint, trigger, "fct_shipment_events_stream",
+             spark, state_partitions)
     return q, (lambda: log.read_latest(["shipment_id"], ["_loaded_at"]))
 
 
 def stream_dedup(spark: SparkSession, src: str, out_path: str, checkpoint: str,
-                 trigger: dict | None = None, delay: str = "400 days"):
+                 trigger: dict | None = None, delay: str = "400 days", state_partitions: int | None = None):
     """M6: duplicate deliveries dropped within the watermark; append sink."""
     from ..sources import schemas
     raw = file_stream(spark, src, schemas.RAW_SHIPMENTS, 2)
@@ -148,7 +164,7 @@ def stream_dedup(spark: SparkSession, src: str, out_path: str, checkpoint: str,
              .withWatermark("__event_ts", delay).dropDuplicatesWithinWatermark(["shipment_id"])
              .drop("__event_ts"))
     q = _run(dedup.writeStream.format("parquet").option("path", out_path).outputMode("append"),
-             checkpoint, trigger, "raw_shipments_dedup")
+             checkpoint, trigger, "raw_shipments_dedup", spark, state_partitions)
     return q, (lambda: spark.read.parquet(out_path))
 
 
