@@ -1,11 +1,11 @@
 """Gold analytics marts (survey J13-J18).
 
-Aggregates are partial (map-side) except the exact percentiles, which Spark
-runs as an object-hash aggregate whose buffer is a value -> count map: for the
-integer measures used here (hours, days) the buffer is bounded by the number
-of distinct values, not by the group size, so a hot port or carrier does not
-pile its rows into one task.  ``approx`` switches to ``percentile_approx``
-(bounded sketch) for high-cardinality measures.
+Every aggregate is partial (map-side).  Marts with exact percentiles of an
+integer measure (hours, days) aggregate in two levels: per (group, value),
+then per group with the percentiles read from that histogram
+(``operators.histogram``): one scan, code-generated hash aggregates, memory
+bounded by distinct values.  The continuous landed cost uses the
+value-range partitioned ``operators.percentile``.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import domain as d
 from ..functions.scalars import count_if, haversine_km, safe_div, week_start
+from ..operators.histogram import COUNT, VALUE, histogram_aggregate, nonnull_count
 from ..operators.latest import one_per_key
 from ..operators.percentile import exact_percentiles, null_safe_join
 from ..operators.spatial import pairs_within
@@ -47,9 +48,14 @@ def pctl(x: Column, p: float, approx: bool = False) -> Column:
     return F.round(v, 6)
 
 
+def _avg_v() -> Column:
+    """Level-2 mean of the histogram measure: exact sums, one division."""
+    return F.sum(F.col(VALUE) * F.col(COUNT)) / F.sum(nonnull_count())
+
+
 def carrier_performance(fse: DataFrame, dim_carrier: DataFrame, dim_shipment: DataFrame,
-                        dim_port_b: DataFrame, approx: bool = False) -> DataFrame:
-    """KPIs per carrier x lane."""
+                        dim_port_b: DataFrame) -> DataFrame:
+    """KPIs per carrier x lane (two-level aggregation on delay hours)."""
     c = dim_carrier.select("carrier_key", "carrier_code", "carrier_name", "alliance")
     # ``shipment_key = MD5(shipment_id)`` on both sides, so equal keys mean equal
     # ids: joining on the id keeps the partitioning of the fact's own join with
@@ -63,31 +69,38 @@ def carrier_performance(fse: DataFrame, dim_carrier: DataFrame, dim_shipment: Da
                  "delay_category", "declared_value_usd"))
     j = (s.join(c, "carrier_key").join(sh, s["shipment_id"] == sh["__sid"])
          .join(p, "dest_port_key", "left"))
-    dh, cat = F.col("delay_hours"), F.col("delay_category")
-    return (j.groupBy("carrier_code", "carrier_name", "alliance", "origin_port_code",
-                      "dest_port_code", "dest_port_name")
-            .agg(F.count(F.lit(1)).alias("total_shipments"),
-                 pct_of(count_if(cat == d.ON_TIME), F.count(F.lit(1))).alias("on_time_pct"),
-                 count_if(cat == d.MINOR).alias("minor_delay_count"),
-                 count_if(cat == d.MODERATE).alias("moderate_delay_count"),
-                 count_if(cat == d.SEVERE).alias("severe_delay_count"),
-                 rnd(F.avg(dh), 1).alias("avg_delay_hours"),
-                 rnd(F.avg(F.when(dh > 0, dh)), 1).alias("avg_delay_hours_when_late"),
-                 F.max(dh).alias("max_delay_hours"),
-                 pctl(dh, 0.5, approx).alias("p50_delay_hours"),
-                 pctl(dh, 0.9, approx).alias("p90_delay_hours"),
-                 rnd(F.sum(dh * F.col("declared_value_usd")).cast("double")
-                     / F.nullif(F.sum("declared_value_usd").cast("double"), F.lit(0.0)), 1)
-                 .alias("value_weighted_delay_hours"))
-            .withColumn("origin_port_name", F.col("origin_port_code")))
+    keys = ["carrier_code", "carrier_name", "alliance", "origin_port_code", "dest_port_code",
+            "dest_port_name"]
+    cat, v, n = F.col("delay_category"), F.col(VALUE), F.col(COUNT)
+    dh, val = F.col("delay_hours"), F.col("declared_value_usd")
+    total = F.sum(n)
+    out = histogram_aggregate(
+        j, keys, dh, {"p50_delay_hours": 0.5, "p90_delay_hours": 0.9},
+        level1={"on_time": count_if(cat == d.ON_TIME), "minor": count_if(cat == d.MINOR),
+                "moderate": count_if(cat == d.MODERATE), "severe": count_if(cat == d.SEVERE),
+                "s_dv": F.sum(dh * val), "s_val": F.sum(val)},
+        level2={"total_shipments": total,
+                "on_time_pct": pct_of(F.sum("on_time"), total),
+                "minor_delay_count": F.sum("minor").cast("long"),
+                "moderate_delay_count": F.sum("moderate").cast("long"),
+                "severe_delay_count": F.sum("severe").cast("long"),
+                "avg_delay_hours": rnd(_avg_v(), 1),
+                "avg_delay_hours_when_late": rnd(F.sum(F.when(v > 0, v * n))
+                                                 / F.sum(F.when(v > 0, n)), 1),
+                "max_delay_hours": F.max(v).cast("long"),
+                "value_weighted_delay_hours": rnd(F.sum("s_dv").cast("double")
+                                                  / F.nullif(F.sum("s_val").cast("double"), F.lit(0.0)), 1)})
+    return out.withColumn("origin_port_name", F.col("origin_port_code"))
 
 
 def port_throughput_daily(fpd: DataFrame, dim_port_b: DataFrame, dim_date_b: DataFrame,
-                          after_date=None, approx: bool = False) -> DataFrame:
+                          after_date=None) -> DataFrame:
     """Daily KPIs per port plus a 7-row rolling mean of the daily mean.
 
-    The window runs over the aggregated rows (one per port and day), so a
-    partition holds at most one port's calendar, whatever the fact size.
+    One scan: level 1 aggregates per (port, day, dwell value), level 2 per
+    (port, day) with exact dwell percentiles from that histogram.  The window
+    runs over the aggregated rows (one per port and day), so a partition
+    holds at most one port's calendar, whatever the fact size.
     ``after_date`` is the incremental watermark (strict ``>``).
     """
     p = dim_port_b.select("port_key", "port_code", "port_name", "region", "port_type")
@@ -98,20 +111,23 @@ def port_throughput_daily(fpd: DataFrame, dim_port_b: DataFrame, dim_date_b: Dat
     if after_date is not None:
         f = f.filter(F.col("arrival_date_key") > F.lit(after_date).cast("date"))
     j = f.join(p, "port_key").join(dd, "arrival_date_key")
-    dw = F.col("dwell_hours")
-    g = (j.groupBy("port_code", "port_name", "region", "port_type", "arrival_date_key",
-                   "year_num", "month_num", "week_num", "year_month")
-         .agg(F.count(F.lit(1)).alias("vessel_calls"),
-              F.sum("teu_count").cast("long").alias("total_teu"),
-              rnd(F.avg("teu_count"), 0).alias("avg_teu_per_call"),
-              F.avg(dw).alias("__avg_dwell"),
-              F.min(dw).alias("min_dwell_hours"),
-              F.max(dw).alias("max_dwell_hours"),
-              pctl(dw, 0.5, approx).alias("p50_dwell_hours"),
-              pctl(dw, 0.9, approx).alias("p90_dwell_hours"),
-              rnd(F.avg("anchorage_wait_h"), 1).alias("avg_anchorage_wait_hours"),
-              count_if(F.col("is_congested")).alias("congested_vessel_calls"),
-              pct_of(count_if(F.col("is_congested")), F.count(F.lit(1))).alias("congestion_rate_pct")))
+    keys = ["port_code", "port_name", "region", "port_type", "arrival_date_key",
+            "year_num", "month_num", "week_num", "year_month"]
+    v, n = F.col(VALUE), F.col(COUNT)
+    g = histogram_aggregate(
+        j, keys, F.col("dwell_hours"), {"p50_dwell_hours": 0.5, "p90_dwell_hours": 0.9},
+        level1={"s_teu": F.sum("teu_count"), "n_teu": F.count("teu_count"),
+                "s_wait": F.sum("anchorage_wait_h"), "n_wait": F.count("anchorage_wait_h"),
+                "cong": count_if(F.col("is_congested"))},
+        level2={"vessel_calls": F.sum(n),
+                "total_teu": F.sum("s_teu").cast("long"),
+                "avg_teu_per_call": rnd(F.sum("s_teu") / F.sum("n_teu"), 0),
+                "__avg_dwell": _avg_v(),
+                "min_dwell_hours": F.min(v).cast("long"),
+                "max_dwell_hours": F.max(v).cast("long"),
+                "avg_anchorage_wait_hours": rnd(F.sum("s_wait") / F.sum("n_wait"), 1),
+                "congested_vessel_calls": F.sum("cong").cast("long"),
+                "congestion_rate_pct": pct_of(F.sum("cong"), F.sum(n))})
     w = Window.partitionBy("port_code").orderBy("arrival_date_key").rowsBetween(-6, 0)
     return (g.withColumn("rolling_7d_avg_dwell_hours", rnd(F.avg("__avg_dwell").over(w), 1))
             .withColumn("avg_dwell_hours", rnd(F.col("__avg_dwell"), 1))
@@ -119,35 +135,43 @@ def port_throughput_daily(fpd: DataFrame, dim_port_b: DataFrame, dim_date_b: Dat
             .drop("__avg_dwell"))
 
 
-def customs_clearance_kpi(dim_customs: DataFrame, dim_port_b: DataFrame,
-                          approx: bool = False) -> DataFrame:
-    """Clearance KPIs per port x entry type x payment mode."""
-    pdays = F.col("processing_days")
+def customs_clearance_kpi(dim_customs: DataFrame, dim_port_b: DataFrame) -> DataFrame:
+    """Clearance KPIs per port x entry type x payment mode (two-level
+    aggregation on processing days: SLA flag and band are functions of it)."""
+    p = dim_port_b.select("port_code", "port_name")
     b = (dim_customs.filter(F.col("entry_number").isNotNull())
          .select("port_code", "entry_type", "payment_mode", "processing_days",
-                 "tariff_rate_pct", "total_tax_usd", "declared_value_usd",
-                 d.is_sla_breach(pdays).alias("is_sla_breach"),
-                 d.clearance_band(pdays).alias("clearance_band")))
-    p = dim_port_b.select("port_code", "port_name")
-    j = b.join(p, "port_code", "left")
-    band = F.col("clearance_band")
-    return (j.groupBy("port_code", "port_name", "entry_type", "payment_mode")
-            .agg(F.count(F.lit(1)).alias("total_entries"),
-                 rnd(F.avg(pdays), 1).alias("avg_processing_days"),
-                 F.min(pdays).alias("min_processing_days"),
-                 F.max(pdays).alias("max_processing_days"),
-                 pctl(pdays, 0.5, approx).alias("p50_processing_days"),
-                 pctl(pdays, 0.9, approx).alias("p90_processing_days"),
-                 count_if(F.col("is_sla_breach")).alias("sla_breach_count"),
-                 pct_of(count_if(F.col("is_sla_breach")), F.count(F.lit(1))).alias("sla_breach_pct"),
-                 count_if(band == "FAST").alias("fast_count"),
-                 count_if(band == "STANDARD").alias("standard_count"),
-                 count_if(band == "SLOW").alias("slow_count"),
-                 count_if(band == "CRITICAL").alias("critical_count"),
-                 rnd(dec_avg(F.col("tariff_rate_pct")), 2).alias("avg_tariff_rate_pct"),
-                 rnd(dec_avg(F.col("total_tax_usd")), 2).alias("avg_total_tax_usd"),
-                 F.round(F.sum("total_tax_usd"), 2).cast("decimal(38,2)").alias("total_tax_collected_usd"),
-                 rnd(dec_avg(F.col("declared_value_usd")), 2).alias("avg_declared_value_usd")))
+                 "tariff_rate_pct", "total_tax_usd", "declared_value_usd")
+         .join(p, "port_code", "left"))
+    v, n = F.col(VALUE), F.col(COUNT)
+    band = d.clearance_band(v)
+    breach = F.sum(F.when(d.is_sla_breach(v), n).otherwise(0))
+    total = F.sum(n)
+
+    def band_count(name):
+        return F.sum(F.when(band == name, n).otherwise(0)).cast("long")
+
+    def avg_of(col):
+        return rnd(F.sum(f"s_{col}").cast("double") / F.sum(f"n_{col}"), 2)
+    level1 = {}
+    for col in ["tariff_rate_pct", "total_tax_usd", "declared_value_usd"]:
+        level1[f"s_{col}"] = F.sum(col)
+        level1[f"n_{col}"] = F.count(col)
+    return histogram_aggregate(
+        b, ["port_code", "port_name", "entry_type", "payment_mode"], F.col("processing_days"),
+        {"p50_processing_days": 0.5, "p90_processing_days": 0.9}, level1=level1,
+        level2={"total_entries": total,
+                "avg_processing_days": rnd(_avg_v(), 1),
+                "min_processing_days": F.min(v).cast("int"),
+                "max_processing_days": F.max(v).cast("int"),
+                "sla_breach_count": breach.cast("long"),
+                "sla_breach_pct": pct_of(breach, total),
+                "fast_count": band_count("FAST"), "standard_count": band_count("STANDARD"),
+                "slow_count": band_count("SLOW"), "critical_count": band_count("CRITICAL"),
+                "avg_tariff_rate_pct": avg_of("tariff_rate_pct"),
+                "avg_total_tax_usd": avg_of("total_tax_usd"),
+                "total_tax_collected_usd": F.round(F.sum("s_total_tax_usd"), 2).cast("decimal(38,2)"),
+                "avg_declared_value_usd": avg_of("declared_value_usd")})
 
 
 def commodity_cost_summary(landed: DataFrame, dim_shipment: DataFrame, tariffs_b: DataFrame,
