@@ -84,7 +84,7 @@ class Warehouse:
 
     @cached_property
     def tariffs_b(self) -> DataFrame:
-        return checked_broadcast(self.materialize("ph_tariff_rates", self.ph_tariff_rates), SEED_MAX_ROWS)
+        return checked_broadcast(self.ph_tariff_rates, SEED_MAX_ROWS)
 
     # -- silver ---------------------------------------------------------------
     @cached_property
@@ -136,11 +136,12 @@ class Warehouse:
 
     @cached_property
     def dim_shipment(self) -> DataFrame:
-        return self._layer("dim_shipment", dims.dim_shipment(self.stg_shipments))
+        # a projection (MD5 + lookup) of stored silver: not worth storing again
+        return dims.dim_shipment(self.stg_shipments)
 
     @cached_property
     def dim_customs_entry(self) -> DataFrame:
-        return self._layer("dim_customs_entry", dims.dim_customs_entry(self.stg_customs_entries))
+        return dims.dim_customs_entry(self.stg_customs_entries)
 
     # -- facts ----------------------------------------------------------------
     @cached_property
