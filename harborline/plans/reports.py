@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import count_if, hours_between
 from ..operators.asof import attach_daily_rate
+from ..operators.histogram import COUNT, histogram_aggregate
 from . import facts, marts, monitoring
 from .marts import pctl, rnd
 
@@ -41,9 +42,19 @@ def join_inner_dim(wh) -> DataFrame:
 
 
 def percentiles(wh, approx: bool = False) -> DataFrame:
-    """exact (or approximate) continuous percentiles of dwell and wait per port."""
+    """exact (or approximate) continuous percentiles of dwell and wait per port.
+
+    Exact: two histogram aggregations (one per measure) joined on the port;
+    approximate: ``percentile_approx`` sketches."""
     p = wh.dim_port_b.select("port_key", "port_code")
     f = wh.fct_port_dwell.join(p, "port_key")
+    if not approx:
+        dwell = histogram_aggregate(f, ["port_code"], F.col("dwell_hours"),
+                                    {"p50_dwell_hours": 0.5, "p90_dwell_hours": 0.9}, {},
+                                    {"calls": F.sum(COUNT)})
+        wait = histogram_aggregate(f, ["port_code"], F.col("anchorage_wait_h"),
+                                   {"p50_wait_hours": 0.5, "p90_wait_hours": 0.9}, {}, {})
+        return dwell.join(wait, "port_code")
     return (f.groupBy("port_code")
             .agg(F.count(F.lit(1)).alias("calls"),
                  pctl(F.col("dwell_hours"), 0.5, approx).alias("p50_dwell_hours"),
