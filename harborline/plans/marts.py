@@ -15,12 +15,17 @@ from pyspark.sql import functions as F
 
 from ..functions import domain as d
 from ..functions.scalars import count_if, haversine_km, safe_div, week_start
+from ..operators.broadcast import checked_broadcast
 from ..operators.histogram import COUNT, VALUE, histogram_aggregate, nonnull_count
 from ..operators.latest import one_per_key
 from ..operators.percentile import exact_percentiles, null_safe_join
 from ..operators.spatial import pairs_within
 
 
+# Row bound under which the port seed (and tables derived from it) is broadcast.
+SEED_ROWS = 100_000
+
+
 def rnd(x: Column, n: int) -> Column:
     """Round a double half away from zero on its binary value.
 
@@ -262,7 +267,7 @@ def port_pairs(dim_port: DataFrame, radius_km: float = 200.0) -> DataFrame:
     pts = dim_port.select(F.col("port_key").alias("id"), "lat", "lon")
     pr = pairs_within(pts, "id", "lat", "lon", radius_km)
     names = dim_port.select(F.col("port_key").alias("id_b"), F.col("port_name").alias("alt_name"))
-    return pr.join(F.broadcast(names), "id_b").select("id_a", "id_b", "distance_km", "alt_name")
+    return pr.join(checked_broadcast(names, SEED_ROWS), "id_b").select("id_a", "id_b", "distance_km", "alt_name")
 
 
 def port_catchment_area(fse: DataFrame, dim_port: DataFrame, pairs_b: DataFrame) -> DataFrame:
@@ -273,7 +278,7 @@ def port_catchment_area(fse: DataFrame, dim_port: DataFrame, pairs_b: DataFrame)
          .select("shipment_id", "dest_port_key"))
     p = dim_port.select(F.col("port_key").alias("dest_port_key"),
                         F.col("port_code").alias("dest_port_code"), "port_name")
-    j = (s.join(F.broadcast(p), "dest_port_key")
+    j = (s.join(checked_broadcast(p, SEED_ROWS), "dest_port_key")
          .join(pairs_b, F.col("dest_port_key") == F.col("id_a")))
     return j.select("shipment_id", "dest_port_code", "port_name", "distance_km",
                     F.col("alt_name").alias("nearest_alt_port"))
@@ -285,7 +290,7 @@ def port_distance(dim_port: DataFrame, radius_km: float = 200.0) -> DataFrame:
     pr = pairs_within(pts, "id", "lat", "lon", radius_km)
     a = dim_port.select(F.col("port_key").alias("id_a"), F.col("port_code").alias("port_code"))
     b = dim_port.select(F.col("port_key").alias("id_b"), F.col("port_code").alias("alt_port_code"))
-    return (pr.join(F.broadcast(a), "id_a").join(F.broadcast(b), "id_b")
+    return (pr.join(checked_broadcast(a, SEED_ROWS), "id_a").join(checked_broadcast(b, SEED_ROWS), "id_b")
             .select("port_code", "alt_port_code", "distance_km"))
 
 

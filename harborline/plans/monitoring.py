@@ -224,8 +224,8 @@ def orphans(wh) -> DataFrame:
 
 def tariff_coverage(wh) -> DataFrame:
     """Commodity codes of shipments without a tariff row."""
-    t = wh.ph_tariff_rates.select("commodity_code")
-    return (wh.stg_shipments.join(F.broadcast(t), "commodity_code", "left_anti")
+    t = wh.tariffs_b.select("commodity_code")
+    return (wh.stg_shipments.join(t, "commodity_code", "left_anti")
             .groupBy("commodity_code").agg(F.count(F.lit(1)).alias("shipment_count"))
             .withColumn("note", F.lit("no tariff rate match — duty defaults to 0%")))
 
