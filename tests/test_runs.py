@@ -147,3 +147,24 @@ def test_changelog_compaction_keeps_latest(spark):
     log.write_batch(spark.createDataFrame([("b", 3), ("c", 1)], ddl), 2)      # replayed batch
     got = {r.k: r.v for r in log.read_latest(["k"]).collect()}
     assert got == {"a": 2, "b": 3, "c": 1}
+
+
+def test_bronze_sink_table_and_missing_input(spark, capsys):
+    from harborline.sources import bronze_csv, schemas
+    wh = warehouse(spark, SF_SMALL)
+    root = os.path.join(tempfile.mkdtemp(), uuid.uuid4().hex)
+    # A missing input is skipped with a warning
+    assert bronze_csv.read_if_exists(spark, f"{root}/nope.csv", lambda s, p: s.read.csv(p)) is None
+    assert "not found" in capsys.readouterr().out
+    # Append-only bronze sink partitioned by load date (two appends add up)
+    calls = wh.raw_vessel_calls
+    bronze_csv.append_bronze(calls, f"{root}/bronze")
+    bronze_csv.append_bronze(calls, f"{root}/bronze")
+    stored = spark.read.parquet(f"{root}/bronze")
+    assert stored.count() == 2 * calls.count()
+    assert "load_date" in stored.columns
+    # Table created once from the declared schema; a second call is a no-op
+    name = f"raw_calls_{uuid.uuid4().hex[:8]}"
+    bronze_csv.create_table_if_absent(spark, name, schemas.RAW_VESSEL_CALLS, f"{root}/table")
+    bronze_csv.create_table_if_absent(spark, name, schemas.RAW_VESSEL_CALLS, f"{root}/table")
+    assert [f.name for f in spark.table(name).schema.fields] == [f.name for f in schemas.RAW_VESSEL_CALLS.fields]
