@@ -79,8 +79,10 @@ def main() -> None:
             getattr(w, layer)
     measure("layer_build", build_layers)
 
+    plans = {}
     for name in HEADLINE:
         measure(name, lambda n=name: QUERIES[n](spark, SF_DIR).write.format("noop").mode("overwrite").save())
+        plans[name] = plan_hash(QUERIES[name](spark, SF_DIR))
 
     from harborline.plans import reports
     raw_wh = warehouse(spark, SF_DIR, store_layers=False)
@@ -132,9 +134,25 @@ def main() -> None:
     print(json.dumps({"metric": "layer_build_plus_headline_marts_median", "value": total, "unit": "sec",
                       "queries": timings, "shuffle_bytes": shuffle, "stream_window_rows": n_state,
                       "incremental_partitions_rewritten": f"{touched[-1]}/{n_parts}",
+                      "plan_hashes": plans,
                       "sf": _sf_of(SF_DIR), "cpus": int(CPUS), "reps": REPS}))
 
 
+def plan_hash(df) -> str:
+    """Short hash of the physical plan text with expression ids and plan ids
+    removed, so the same plan hashes the same across runs."""
+    import contextlib
+    import hashlib
+    import io
+    import re
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    text = buf.getvalue().split("\n\n")[0]
+    text = re.sub(r"#\d+L?|plan_id=\d+|\[id=#?\d+\]", "", text)
+    return hashlib.md5(text.encode()).hexdigest()[:10]
+
+
 def shuffle_bytes(log_dir: str) -> dict[str, int]:
     """Shuffle bytes written per query (median run) from the event log."""
     stage_group: dict[int, str] = {}
