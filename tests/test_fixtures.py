@@ -216,3 +216,23 @@ def test_distributed_exact_percentile_matches_numpy(spark):
     for k, vals in groups.items():
         want = (round(float(np.percentile(vals, 50)), 6), round(float(np.percentile(vals, 90)), 6))
         assert got[k] == pytest.approx(want, abs=2e-6), k
+
+
+def test_null_berth_call_processed_twice_is_one_row(spark):
+    """Fixture 19: the null-safe dwell key makes the re-run replace, not add."""
+    a = T(2026, 1, 1)
+    rows = [("V1", "MICT", a, None, a + dt.timedelta(hours=30), 30, 0, "FCL", 10, a)]
+    calls = staging.stg_vessel_calls(spark.createDataFrame(rows, CALL_DDL))
+    keyed = calls.select(facts.dwell_key("vessel_imo", "berth_ts", "arrival_ts").alias("dwell_key"), "_loaded_at")
+    once = upsert(keyed.limit(0), keyed, ["dwell_key"])
+    twice = upsert(once, keyed, ["dwell_key"])
+    assert twice.count() == 1
+
+
+def test_ports_zero_and_just_over_radius(spark):
+    """Fixture 24: two distinct ports 0 km apart are a pair; 200.1 km apart are not."""
+    from harborline.operators.spatial import KM_PER_DEG, pairs_within
+    pts = spark.createDataFrame([("a", 10.0, 120.0), ("b", 10.0, 120.0), ("c", 10.0 + 200.1 / KM_PER_DEG, 120.0)],
+                                "id string, lat double, lon double")
+    got = {(r.id_a, r.id_b): r.distance_km for r in pairs_within(pts, "id", "lat", "lon", 200.0).collect()}
+    assert got == {("a", "b"): 0.0, ("b", "a"): 0.0}
