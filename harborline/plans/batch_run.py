@@ -28,9 +28,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.incremental import (PartitionedTable, VersionedTable, run_incremental_partitioned,
-                                     upsert, watermark_filter)
-from . import dims, facts, marts, quality, staging
+from ..operators.incremental import PartitionedTable, VersionedTable, run_incremental_partitioned, upsert
+from . import facts, marts, quality, staging
 from .warehouse import DEFAULT_AS_OF, Warehouse
 
 LAYER_OF = {"ph_ports": "gold", "ph_tariff_rates": "gold", "usd_php_rates": "gold",
@@ -152,4 +151,4 @@ def _incremental_mart(table: VersionedTable, build, wm_col: str, keys: list[str]
     return table.commit(upsert(cur, delta, keys, [wm_col]), watermark_col=wm_col)
 
 
-__all__ = ["run", "layer_path", "watermark_filter", "dims"]
+__all__ = ["run", "layer_path"]

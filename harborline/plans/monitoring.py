@@ -4,7 +4,6 @@ returns a DataFrame; several checks on one table share one aggregate."""
 
 from __future__ import annotations
 
-import datetime as dt
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -14,7 +13,6 @@ from ..functions import domain as d
 from ..functions.scalars import count_if, hours_between, lit_ntz, safe_div
 from ..operators.latest import latest_per_key, one_per_key
 from ..operators.checks import anti_join_count, count_checks, duplicate_count, null_rate_checks
-from . import live
 from .marts import dec_avg, pct_of, rnd
 
 # FIXED VALUES — accepted lists used by the monitoring checks (narrower than
@@ -431,6 +429,3 @@ def dash_dwell_by_port(wh) -> DataFrame:
             .agg(rnd(F.avg("dwell_hours"), 2).alias("avg_dwell_hours"))
             .orderBy(F.col("avg_dwell_hours").desc_nulls_first(), F.col("port_code")))
 
-
-__all__ = [n for n in dir() if not n.startswith("_")]
-__all__ += ["dt", "live"]

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import hours_between, lit_ntz
+from ..functions.scalars import lit_ntz
 from ..operators.checks import accepted_values_violations, unique_violations
 
 # FIXED VALUES — declared column tests per model.
@@ -215,4 +215,4 @@ def outliers_iqr(columns: dict[str, tuple[DataFrame, str]], k: float = 1.5) -> D
 
 
 __all__ = ["dq_not_null", "dq_unique", "dq_accepted_values", "dq_expression", "dq_singular_dwell",
-           "dq_grain", "source_freshness", "outliers_iqr", "hours_between"]
+           "dq_grain", "source_freshness", "outliers_iqr"]
