@@ -152,3 +152,24 @@ def _incremental_mart(table: VersionedTable, build, wm_col: str, keys: list[str]
 
 
 __all__ = ["run", "layer_path"]
+
+
+def main(argv: list[str]) -> int:
+    """``python -m harborline.plans.batch_run SF_DIR OUT_ROOT [--full-refresh]``"""
+    import json
+
+    from ..session import build_session
+    if len(argv) < 2:
+        print(main.__doc__)
+        return 2
+    spark = build_session(app="harborline-batch-run")
+    report = run(spark, argv[0], argv[1], full_refresh="--full-refresh" in argv)
+    print(json.dumps({"tables": {k: (v if isinstance(v, (int, type(None))) else len(v))
+                                 for k, v in report["tables"].items()},
+                      "failing_tests": len(report["failing_tests"])}))
+    return 0
+
+
+if __name__ == "__main__":
+    import sys
+    sys.exit(main(sys.argv[1:]))
