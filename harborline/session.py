@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -37,25 +36,26 @@ def build_session(master: str | None = None, app: str = "harborline",
     return spark
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A folder under the cluster's shared checkpoint location.
+def shared_root(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one.  Only when it is
-    unset (local tests) a private folder under the system temp dir is created
-    and registered, so ``checkpoint()`` works the same way.
+    Only a local session may leave it unset: then a private folder under the
+    system temp dir is registered, so ``checkpoint()`` works the same way.  On
+    a cluster each executor has a disk of its own, so an unset folder raises.
     """
     sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and "
+                               "executors share; machine-local folders do not work here")
         root = tempfile.mkdtemp(prefix="harborline-ckpt-")
         sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
     elif not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
-    root = root.rstrip("/")
-    path = f"{root}/{name}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    elif "://" not in path:
-        os.makedirs(path, exist_ok=True)
-    return path
+    return root.rstrip("/")
+
+
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A folder under the shared checkpoint folder; Spark's writers create it."""
+    return f"{shared_root(spark)}/{name}"
