@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import external_shuffle, extendible_index
+from . import external_shuffle, extendible_index, simhash_lines
 from .oracle import ORACLE  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@register
+def op1_simhash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_lines.fuzzy_line_groups(spark, table(spark, sf_dir, "documents"))
+
+
 @register
 def op7_extendible_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extendible_index.exact_duplicates(spark, table(spark, sf_dir, "documents")).drop("bucket", "chain")
