@@ -103,8 +103,8 @@ def list_links(spark: SparkSession, members: DataFrame, verify: Callable[[DataFr
             links = stored(spark, links.unionByName(verify(_pairs(met, "id", "center"))).distinct(), "links")
 
     g = F.ceil(F.col("n") / BLOCK).cast("int")
-    sides = (apart.join(payload, "id").withColumn("g", g)
-             .withColumn("block", F.pmod(F.xxhash64("id"), F.col("g")).cast("int")))
+    sides = (apart.select("key", "id", "component", g.alias("g"))
+             .withColumn("block", F.pmod(F.xxhash64("id"), F.col("g")).cast("int")).join(payload, "id"))
     other = [c for c in payload.columns if c != "id"]
     left = sides.withColumn("to", F.explode(F.sequence("block", F.col("g") - 1))).select(
         "key", F.col("block").alias("i"), F.col("to").alias("j"), F.col("id").alias("a"),

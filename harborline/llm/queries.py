@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import external_shuffle, extendible_index, simhash_lines
+from . import (bottom_k, byte_cnn, divergence_rules, external_shuffle, extendible_index, simhash_lines,
+               window_packing)
 from .oracle import ORACLE  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +29,31 @@ def op1_simhash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_lines.fuzzy_line_groups(spark, table(spark, sf_dir, "documents"))
 
 
+@register
+def op2_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence_rules.divergence(spark, table(spark, sf_dir, "documents"))
+
+
+@register
+def op4_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    scored = byte_cnn.score(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@register
+def op5_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    packed = window_packing.pack(spark, table(spark, sf_dir, "documents"),
+                                 public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@register
+def op6_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bottom_k.near_duplicates(spark, table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 @register
 def op7_extendible_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extendible_index.exact_duplicates(spark, table(spark, sf_dir, "documents")).drop("bucket", "chain")
