@@ -101,6 +101,14 @@ def span_hashes(data: np.ndarray, *spans: tuple[np.ndarray, np.ndarray]) -> list
     return [mix((sums[e] - sums[s]) * inverse[s]) for s, e in spans]
 
 
+def sequence_hashes(values: np.ndarray, first: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the runs ``values[first:after]``."""
+    power, inverse = _powers(len(values) + 1)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(mix(values) * power[:len(values)], out=sums[1:])
+    return mix((sums[after] - sums[first]) * inverse[first])
+
+
 def counted(flags: np.ndarray, off: np.ndarray) -> np.ndarray:
     """How many flagged bytes each document has."""
     sums = np.zeros(len(flags) + 1, np.int64)

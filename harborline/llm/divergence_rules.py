@@ -35,6 +35,8 @@ SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 CLASSES = ("blank", "line", "lower", "upper", "digit", "mark", "symbol", "other")
 MIN_SHARE = 0.001
+MIN_CHARS, MAX_CLASS = 200, 0.26   # length from which classes count, and the largest distance kept
+MIN_JUDGED, MAX_WORD = 100, 0.38   # the same for words
 COMMON = 50
 POOLED = "*"
 
@@ -198,8 +200,8 @@ RESULT_DDL = ("n_words long, word_chars long, n_symbols long, n_dup_lines long,
 
 
 def divergence(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               lang_col: str = "lang", min_chars: int = 200, min_words: int = 100,
-               max_class_distance: float = 0.26, max_word_distance: float = 0.38) -> DataFrame:
+               lang_col: str = "lang", min_chars: int = MIN_CHARS, min_words: int = MIN_JUDGED,
+               max_class_distance: float = MAX_CLASS, max_word_distance: float = MAX_WORD) -> DataFrame:
     """One row per document: the id, the base columns, the distances and ``kept``."""
     references = fit_references(spark, docs, text_col, lang_col)
 
@@ -216,3 +218,20 @@ def divergence(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", tex
     d = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
                     F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("")).alias("lang"))
     return d.mapInArrow(run, f"doc_id {dict(d.dtypes)['doc_id']}, {RESULT_DDL}")
+
+
+def only_kept(spark: SparkSession, docs: DataFrame, text_col: str = "text", lang_col: str = "lang", **bounds) -> DataFrame:
+    """The rows of ``docs``, all columns, that the rules keep: one pass, no join."""
+    references = fit_references(spark, docs, text_col, lang_col)
+    limits = {"min_chars": MIN_CHARS, "min_words": MIN_JUDGED, "max_class_distance": MAX_CLASS, "max_word_distance": MAX_WORD,
+              **bounds}
+    text, lang = docs.columns.index(text_col), docs.columns.index(lang_col)
+
+    def run(batches):
+        for b in batches:
+            data, offsets = bt.flat(b.column(text))
+            langs = np.array(["" if v is None else str(v) for v in b.column(lang).to_pylist()], object)
+            kept = [judge(part, off, langs[i:j], references, **limits)["kept"] for i, j, part, off in bt.slices(data, offsets)]
+            yield b.filter(pa.array(np.concatenate(kept) if kept else np.zeros(0, bool), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (bottom_k, byte_cnn, divergence_rules, external_shuffle, extendible_index, simhash_lines,
-               window_packing)
+               soft_mixing, unit_hashing, warc_chain, window_packing)
 from .oracle import ORACLE  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,12 @@ def op2_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence_rules.divergence(spark, table(spark, sf_dir, "documents"))
 
 
+@register
+def op3_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return soft_mixing.mix(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                           targets=(0.97, 0.02, 0.01))
+
+
 @register
 def op4_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
@@ -59,6 +65,11 @@ def op7_extendible_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extendible_index.exact_duplicates(spark, table(spark, sf_dir, "documents")).drop("bucket", "chain")
 
 
+@register
+def op8_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_chain.read_archives(spark, warc_chain.write_archives(spark, table(spark, sf_dir, "pages")))
+
+
 @register
 def op9_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = external_shuffle.two_pass_shuffle(spark, table(spark, sf_dir, "documents"), n_shards=8)
@@ -66,3 +77,8 @@ def op9_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.select("record.doc_id", external_shuffle.record_bytes("record`.`text").alias("size"),
                          F.crc32(text).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register
+def op10_unit_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unit_hashing.repeated_units(spark, table(spark, sf_dir, "documents"))
