@@ -46,7 +46,7 @@ CACHED_WORDS = 200_000
 _UNSAFE = re.compile(r" (?:\s|\Z)")
 
 # before the blank that follows a sentence's end, or before a line break between two texts
-_CUT = re.compile(r"(?<=[.!?…]) (?=\S)|(?<=\S)\n(?=\S)")
+_CUT = re.compile(r"[ \n](?<=[.!?…] |\S\n)(?=\S)")  # one literal set first: fast to search
 
 
 class Tokens:
@@ -65,20 +65,22 @@ class Tokens:
                                          special_tokens={}).encode_ordinary
         self._words: dict[str, list[int]] = {}
 
-    def __call__(self, text: str) -> np.ndarray:
-        if _UNSAFE.search(text):
-            return np.array(self._encode(text), np.uint32)
-        words = text.split(" ")
-        known, out = self._words, []
+    def whole(self, text: str) -> list[int]:
+        return self._encode(text)
+
+    def extend(self, out: list[int], part: str) -> None:
+        """Append the ids of a part whose blanks all stand before a word."""
+        known = self._words
         if len(known) > CACHED_WORDS:
             known.clear()
-        out.extend(self._encode(words[0]))
+        words = part.split(" ")
+        if words[0]:
+            out += self._encode(words[0])
         for w in words[1:]:
-            ids = known.get(w)
-            if ids is None:
-                ids = known[w] = self._encode(" " + w)
-            out += ids
-        return np.array(out, np.uint32)
+            try:
+                out += known[w]
+            except KeyError:
+                out += known.setdefault(w, self._encode(" " + w))
 
 
 def cuts(ends: np.ndarray, penalty: np.ndarray, window: int) -> list[int]:
@@ -107,9 +109,11 @@ def cuts(ends: np.ndarray, penalty: np.ndarray, window: int) -> list[int]:
 
 def stops(n: int, marks: np.ndarray, prices: tuple[float, float]) -> tuple[np.ndarray, np.ndarray]:
     """The possible cuts of a document's ``n`` tokens and their prices."""
-    at = np.union1d(marks, np.append(np.arange(GRAIN, n, GRAIN), n))
-    price = np.full(len(at), prices[1])
-    price[np.isin(at, marks)] = prices[0]
+    place, mark = np.zeros(n + 1, bool), np.zeros(n + 1, bool)
+    mark[marks] = True
+    place[GRAIN::GRAIN] = place[n] = True
+    at = np.flatnonzero(place | mark)
+    price = np.where(mark[at], prices[0], prices[1])
     price[-1] = 0.0
     return at, price
 
@@ -164,16 +168,18 @@ def sentence_tokens(text: str, tokens: Tokens, end_id: int) -> tuple[np.ndarray,
     A sentence ends before a blank or at a line break followed by text, where
     the tokenizer cuts as well, so the parts' tokens are the whole's.
     """
-    parts, marks, n, last = [], [], 0, 0
-    if not _UNSAFE.search(text):
+    out: list[int] = []
+    marks, last = [], 0
+    if _UNSAFE.search(text):
+        out = list(tokens.whole(text))
+    else:
         for m in _CUT.finditer(text):
-            ids = tokens(text[last:m.start()])
-            parts.append(ids)
-            n, last = n + len(ids), m.start()
-            marks.append(n)
-    parts.append(tokens(text[last:]))
-    parts.append(np.array([end_id], np.uint32))
-    return np.concatenate(parts), np.array(marks, np.int64)
+            tokens.extend(out, text[last:m.start()])
+            last = m.start()
+            marks.append(len(out))
+        tokens.extend(out, text[last:])
+    out.append(end_id)
+    return np.array(out, np.uint32), np.array(marks, np.int64)
 
 
 def pack(spark: SparkSession, docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
