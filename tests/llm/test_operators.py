@@ -81,7 +81,7 @@ def test_simhash_bits_of_wide_lines(spark):
     words = [f"word{i}" for i in range(400)]
     df = spark.createDataFrame([(" ".join(words[:n]),) for n in (1, 90, 400)], "t string")
     from pyspark.sql import functions as F
-    got = df.select(simhash_lines.simhash(F.split("t", " ")).alias("s"), F.transform(F.split("t", " "), F.xxhash64).alias("h")).collect()
+    got = df.select(simhash_lines.simhash(F.split("t", " ")).alias("s"), F.transform(F.split("t", " "), lambda w: F.xxhash64(w)).alias("h")).collect()
     for r in got:
         for j in range(64):
             ones = sum((h >> j) & 1 for h in r.h)
