@@ -16,8 +16,10 @@ hashes, the sketch.  Documents with one set are a class; classes are compared.
   unlike sizes.
 * Exact: the remaining pairs' full sets are hashed again and intersected.
 
-Long lists go through ``links.list_links``: thousands of near copies cost a
-number of comparisons linear in their count.
+Long lists go through ``links.list_links``: all members are compared with a
+centre, the sketch with the fewest values of its own, that is, the least changed
+copy.  What is still apart then is compared on the full sets inside tasks, in
+blocks, and only links between different components leave them.
 
 Result: one row per row: doc_id, n_shingles, component_id (smallest doc_id
 reachable over links), kept.  Null, empty and blank texts have no shingle and are
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import byte_text as bt
-from .links import components, list_links
+from .links import components, list_links, set_links
 from .tables import id_and_text, stored
 
 K = 32
@@ -108,6 +110,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
 
     values = sketch.select("id", F.col("n").alias("size"), F.size("sketch").alias("s"), F.explode("sketch").alias("key"))
     shared = values.groupBy("key").agg(F.count(F.lit(1)).alias("freq")).filter("freq > 1")
+    # how many of a sketch's values no other sketch has
+    common_values = values.join(shared, "key").groupBy("id").agg(F.count(F.lit(1)).alias("held"))
+    payload = stored(spark, sketch.join(common_values, "id").withColumn("lone", F.size("sketch") - F.col("held")).drop("held"),
+                     "payload")
     rank = Window.partitionBy("id").orderBy("freq", "key")
     half = F.floor((F.col("s") + 1) / 2)
     lists = (values.join(shared, "key").withColumn("rank", F.row_number().over(rank))
@@ -128,6 +134,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
         both = F.size(F.array_intersect(F.array_intersect(sa, sb), union))
         return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (both >= F.size(union) * F.lit(least))
 
+    def full_sets(wanted: DataFrame) -> DataFrame:
+        some = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+        texts = d.select(F.col("doc_id").alias("id"), "text").join(some, "id", "left_semi")
+        return stored(spark, texts.mapInArrow(_sets(shingle), f"id {ids}, hashes array<long>")
+                      .dropDuplicates(["id"]), "sets")
+
+    def last(apart: DataFrame) -> DataFrame:
+        sets = full_sets(stored(spark, apart.select("id").distinct(), "wanted"))
+        return set_links(spark, apart, sets, percent)
+
     def verify(pairs: DataFrame) -> DataFrame:
         sides = [sketch.select(F.col("id").alias(x), F.col("n").alias(f"{x}_n"), F.col("sketch").alias(f"{x}_sketch"))
                  for x in "ab"]
@@ -135,16 +151,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
                        "close")
         wanted = stored(spark, close.select(F.col("a").alias("id")).unionByName(close.select(F.col("b").alias("id")))
                         .distinct(), "wanted")
-        some = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-        texts = d.select(F.col("doc_id").alias("id"), "text").join(some, "id", "left_semi")
-        sets = stored(spark, texts.mapInArrow(_sets(shingle), f"id {ids}, hashes array<long>")
-                      .dropDuplicates(["id"]), "sets")
+        sets = full_sets(wanted)
         full = [sets.select(F.col("id").alias(x), F.col("hashes").alias(f"{x}_set")) for x in "ab"]
         common = F.size(F.array_intersect("a_set", "b_set"))
         return (close.join(full[0], "a").join(full[1], "b")
                 .filter(common * 100 >= (F.size("a_set") + F.size("b_set") - common) * percent).select("a", "b"))
 
-    links = list_links(spark, stored(spark, lists, "lists"), verify, sketch, near)
+    links = list_links(spark, stored(spark, lists, "lists"), verify, payload, near, order="lone", last=last)
     groups = components(spark, links).select(F.col("node").alias("id"), F.col("component").alias("c"))
     return member.join(groups, "id", "left").select(
         "doc_id", "n_shingles",

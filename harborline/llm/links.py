@@ -9,15 +9,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .tables import stored
 
 SMALL = 16     # lists up to this size are compared pair by pair
-CENTERS = 4    # members of a longer list that all others are compared with, per round
+CENTERS = 1    # members of a longer list that all others are compared with, per round
 ROUNDS = 1
 BLOCK = 512    # members on either side of one block of a list's last comparison
+WEIGHT = 1 << 20   # and elements of their sets
+COLUMNS = 4096     # elements compared at a time
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
@@ -59,21 +63,32 @@ def _pairs(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
 
+def _spread(lists: DataFrame) -> DataFrame:
+    """The lists (key, n) whose members lie in more than one component."""
+    return (lists.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                     F.count(F.lit(1)).alias("n")).filter("lo < hi").select("key", "n"))
+
+
 def list_links(spark: SparkSession, members: DataFrame, verify: Callable[[DataFrame], DataFrame],
-               payload: DataFrame, near: Callable[[str, str], Column]) -> DataFrame:
+               payload: DataFrame, near: Callable[[str, str], Column], order: str = "id",
+               last: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Verified links (a, b) that connect whatever members of a common list are
     connected by links.
 
     ``members``: (key, id), each pair once.  ``verify`` keeps the linked rows of
     pairs (a, b).  ``payload``: one row per id; ``near(left, right)`` is a cheap
-    condition on its columns that every linked pair meets.
+    condition on its columns that every linked pair meets.  ``order``: a column
+    of ``payload``; the members smallest in it make the best centres.
+    ``last``: links (a, b) between the members (key, id, component) that are
+    still apart at the end, in place of the join in blocks described below.
 
     Short lists are compared in full.  In a long one, all members are compared
     with a few centres, a number of pairs linear in the list; members that land
     in one component need no further comparison.  What is still apart after that
-    is compared across components, in blocks of bounded size, and only pairs
-    that meet ``near`` leave the join.  So a group of thousands of near copies
-    costs no square of pairs, and no link between components is lost.
+    is compared across components, in blocks of bounded size; a pair that shares
+    several lists counts in one of them, and only pairs that meet ``near`` leave
+    the join.  So a group of thousands of near copies costs no square of pairs,
+    and no link between components is lost.
     """
     lists = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = stored(spark, members.join(lists, "key"), "lists")
@@ -89,19 +104,22 @@ def list_links(spark: SparkSession, members: DataFrame, verify: Callable[[DataFr
     for r in range(ROUNDS + 1):
         parts = components(spark, links).select(F.col("node").alias("id"), F.col("component").alias("c"))
         apart = apart.join(parts, "id", "left").select("key", "id", F.coalesce("c", "id").alias("component"))
-        spread = (apart.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                           F.count(F.lit(1)).alias("n")).filter("lo < hi"))
-        apart = stored(spark, apart.join(spread.select("key", "n"), "key"), "long")
+        apart = stored(spark, apart.join(_spread(apart), "key"), "long")
         if apart.isEmpty():
             return links
         if r < ROUNDS:
             salt = F.pmod(F.xxhash64("id", F.lit(r)), F.lit(CENTERS))
-            centers = (apart.groupBy("key", salt.alias("salt")).agg(F.min("id").alias("center"))
+            first = payload.select("id", F.col(order).alias("first"))
+            centers = (apart.join(first, "id").groupBy("key", salt.alias("salt"))
+                       .agg(F.min(F.struct("first", "id"))["id"].alias("center"))
                        .join(apart.select("key", F.col("id").alias("center"), F.col("component").alias("own")),
                              ["key", "center"]).select("key", "center", "own"))
             met = apart.join(centers, "key").filter("component != own")
             links = stored(spark, links.unionByName(verify(_pairs(met, "id", "center"))).distinct(), "links")
 
+    if last is not None:
+        return stored(spark, links.unionByName(last(apart.drop("n"))).distinct(), "links")
+    payload = payload.join(apart.groupBy("id").agg(F.collect_set("key").alias("keys")), "id")
     g = F.ceil(F.col("n") / BLOCK).cast("int")
     sides = (apart.select("key", "id", "component", g.alias("g"))
              .withColumn("block", F.pmod(F.xxhash64("id"), F.col("g")).cast("int")).join(payload, "id"))
@@ -113,5 +131,69 @@ def list_links(spark: SparkSession, members: DataFrame, verify: Callable[[DataFr
         "key", F.col("from").alias("i"), F.col("block").alias("j"), F.col("id").alias("b"),
         F.col("component").alias("cb"), *[F.col(c).alias(f"b_{c}") for c in other])
     met = (left.join(right, ["key", "i", "j"])
-           .filter((F.col("ca") != F.col("cb")) & ((F.col("i") < F.col("j")) | (F.col("a") < F.col("b"))) & near("a_", "b_")))
+           .filter((F.col("ca") != F.col("cb")) & ((F.col("i") < F.col("j")) | (F.col("a") < F.col("b"))) & near("a_", "b_")
+                   & (F.array_min(F.array_intersect("a_keys", "b_keys")) == F.col("key"))))
     return stored(spark, links.unionByName(verify(_pairs(met, "a", "b"))).distinct(), "links")
+
+
+def _grouped(spark: SparkSession, apart: DataFrame) -> DataFrame:
+    """(key, id, component) with the lists that share members merged into one,
+    where that makes fewer pairs than the lists by themselves."""
+    hubs = apart.groupBy("key").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("n"))
+    tied = stored(spark, apart.join(hubs, "key"), "tied")
+    whole = components(spark, tied.select(F.col("id").alias("a"), F.col("hub").alias("b")))
+    tied = tied.join(whole.select(F.col("node").alias("hub"), F.col("component").alias("cluster")), "hub")
+    # each member counts its list's n once, so the sum over a cluster is that of n * n
+    gain = (tied.groupBy("cluster", "id").agg(F.sum("n").alias("met"))
+            .groupBy("cluster").agg((F.pow(F.count(F.lit(1)), F.lit(2)) <= F.sum("met")).alias("merge")))
+    name = F.when(F.col("merge"), F.concat(F.lit("all "), F.col("cluster").cast("string"))).otherwise(
+        F.concat(F.lit("list "), F.col("key").cast("string")))
+    return tied.join(gain, "cluster").select(name.alias("key"), "id", "component").distinct()
+
+
+def common_sizes(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements any two of the sets share, as a square table."""
+    rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    values, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    more = count > 1
+    column = np.where(more, np.cumsum(more) - 1, -1)[column]
+    order = np.argsort(column, kind="stable")
+    order = order[np.searchsorted(column[order], 0):]
+    rows, column = rows[order], column[order]
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    for c in range(0, int(more.sum()), COLUMNS):
+        lo, hi = np.searchsorted(column, (c, c + COLUMNS))
+        part = np.zeros((len(sets), COLUMNS), np.float32)
+        part[rows[lo:hi], column[lo:hi] - c] = 1
+        common += part @ part.T
+    return common.astype(np.int64)
+
+
+def _block_links(percent: int):
+    def run(block: pa.Table) -> pa.Table:
+        ids, sets = block.column("id"), [np.asarray(x, np.int64) for x in block.column("hashes").to_numpy()]
+        _, part = np.unique(np.array(block.column("component").to_pylist()), return_inverse=True)
+        n = np.array([len(x) for x in sets])
+        common = common_sizes(sets)
+        x, y = np.nonzero(np.triu(common * 100 >= (n[:, None] + n - common) * percent, 1) & (part[:, None] != part))
+        # one link between two components says as much as many
+        _, first = np.unique(np.minimum(part[x], part[y]) * len(n) + np.maximum(part[x], part[y]), return_index=True)
+        return pa.table({"a": ids.take(pa.array(x[first])), "b": ids.take(pa.array(y[first]))})
+    return run
+
+
+def set_links(spark: SparkSession, apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between sets (id, hashes) that share a list of ``apart``
+    (key, id, component) but no component: ``100 * common >= percent * union``,
+    found on the full sets inside tasks, in pairs of blocks of bounded size.
+    Of links between the same two components in a pair of blocks one is
+    returned."""
+    groups = stored(spark, _grouped(spark, apart).join(sets.select("id", F.size("hashes").alias("size")), "id"), "groups")
+    sizes = groups.groupBy("key").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("size") / WEIGHT), F.lit(1)).cast("int").alias("g"))
+    sides = (groups.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("g")).cast("int"))
+             .withColumn("to", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
+             .select("key", F.least("block", "to").alias("i"), F.greatest("block", "to").alias("j"), "id", "component"))
+    kind = dict(sets.dtypes)["id"]
+    found = (sides.join(sets, "id").groupBy("key", "i", "j").applyInArrow(_block_links(percent), f"a {kind}, b {kind}"))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))

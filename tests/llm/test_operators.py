@@ -228,6 +228,27 @@ def test_bottom_k(spark, empty, n, percent):
     assert bottom_k.near_duplicates(spark, empty).count() == 0
 
 
+def test_blocks_find_every_link_between_components(spark, monkeypatch):
+    monkeypatch.setattr(links, "BLOCK", 7)
+    monkeypatch.setattr(links, "COLUMNS", 16)
+    g = np.random.default_rng(5)
+    sets = {i: sorted({int(x) for x in range(60) if g.random() > i / 800} | {1000 + i * 9 + int(x) for x in range(g.integers(0, 9))})
+            for i in range(60)}
+    part = {i: i % 5 if i < 20 else i for i in sets}
+    lists = {1: range(0, 40), 2: range(20, 60), 3: range(5, 50)}
+    members = spark.createDataFrame([(k, i, part[i]) for k, v in lists.items() for i in v], "key long, id long, component long")
+    full = spark.createDataFrame(list(sets.items()), "id long, hashes array<long>")
+    got = {(r.a, r.b) for r in links.set_links(spark, members, full, 85).collect()}
+    linked = {(a, b) for v in lists.values() for a in v for b in v if a < b and part[a] != part[b]
+              and 100 * len({*sets[a]} & {*sets[b]}) >= 85 * len({*sets[a]} | {*sets[b]})}
+    every = {(a, b) for a in sets for b in sets if a < b and part[a] != part[b]
+             and 100 * len({*sets[a]} & {*sets[b]}) >= 85 * len({*sets[a]} | {*sets[b]})}
+    assert linked and got <= every
+    same = [(a, b) for a in sets for b in sets if a < b and part[a] == part[b]]
+    have, want = components_of([*got, *same], sets), components_of([*linked, *same], sets)
+    assert all(have[a] == have[b] for a in sets for b in sets if want[a] == want[b])
+
+
 def test_bottom_k_nulls(spark, docs):
     got = bottom_k.near_duplicates(spark, docs).collect()
     assert len(got) == len(ROWS)
