@@ -45,6 +45,7 @@ from .tables import id_and_text, stored
 
 K = 32
 DEVIATIONS = 5
+SET_ROWS = 256           # full sets that leave a task at a time
 BROADCAST_IDS = 1 << 20  # ids of 8 bytes; up to so many are broadcast
 
 
@@ -86,9 +87,11 @@ def _sketches(size: int, k: int):
 
 def _sets(size: int):
     def run(batches):
-        for b in batches:
-            sets = [u.view(np.int64) for u in shingle_sets(b.column("text"), size)]
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(sets, pa.list_(pa.int64()))], ["id", "hashes"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, SET_ROWS):
+                b = whole.slice(at, SET_ROWS)
+                sets = [u.view(np.int64) for u in shingle_sets(b.column("text"), size)]
+                yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(sets, pa.list_(pa.int64()))], ["id", "hashes"])
     return run
 
 
@@ -157,7 +160,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
         return (close.join(full[0], "a").join(full[1], "b")
                 .filter(common * 100 >= (F.size("a_set") + F.size("b_set") - common) * percent).select("a", "b"))
 
-    links = list_links(spark, stored(spark, lists, "lists"), verify, payload, near, order="lone", last=last)
+    links = list_links(spark, stored(spark, lists, "lists"), verify, payload, near, order="lone",
+                       n_centers=1, last=last)
     groups = components(spark, links).select(F.col("node").alias("id"), F.col("component").alias("c"))
     return member.join(groups, "id", "left").select(
         "doc_id", "n_shingles",

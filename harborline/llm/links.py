@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .tables import stored
 
 SMALL = 16     # lists up to this size are compared pair by pair
-CENTERS = 1    # members of a longer list that all others are compared with, per round
+CENTERS = 4    # members of a longer list that all others are compared with, per round
 ROUNDS = 1
 BLOCK = 512    # members on either side of one block of a list's last comparison
 WEIGHT = 1 << 20   # and elements of their sets
@@ -71,7 +71,7 @@ def _spread(lists: DataFrame) -> DataFrame:
 
 def list_links(spark: SparkSession, members: DataFrame, verify: Callable[[DataFrame], DataFrame],
                payload: DataFrame, near: Callable[[str, str], Column], order: str = "id",
-               last: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+               n_centers: int = CENTERS, last: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Verified links (a, b) that connect whatever members of a common list are
     connected by links.
 
@@ -108,7 +108,7 @@ def list_links(spark: SparkSession, members: DataFrame, verify: Callable[[DataFr
         if apart.isEmpty():
             return links
         if r < ROUNDS:
-            salt = F.pmod(F.xxhash64("id", F.lit(r)), F.lit(CENTERS))
+            salt = F.pmod(F.xxhash64("id", F.lit(r)), F.lit(n_centers))
             first = payload.select("id", F.col(order).alias("first"))
             centers = (apart.join(first, "id").groupBy("key", salt.alias("salt"))
                        .agg(F.min(F.struct("first", "id"))["id"].alias("center"))
