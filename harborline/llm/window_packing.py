@@ -29,7 +29,6 @@ an empty result.
 from __future__ import annotations
 
 import base64
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -41,46 +40,22 @@ from .tables import id_and_text
 BLOCK = 1 << 18          # tokens
 GRAIN = 16               # tokens between places inside a sentence
 RANGE_BYTES = 16 << 20   # text per task
-CACHED_WORDS = 200_000
-# a blank that is not followed by the start of a word: cutting there could change the tokens
-_UNSAFE = re.compile(r" (?:\s|\Z)")
-
-# before the blank that follows a sentence's end, or before a line break between two texts
-_CUT = re.compile(r"[ \n](?<=[.!?…] |\S\n)(?=\S)")  # one literal set first: fast to search
+END = np.isin(np.arange(256), list(b".!?"))
+ELLIPSIS = b"\xe2\x80\xa6"
+BLANK = np.isin(np.arange(256), list(b"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "))
 
 
 class Tokens:
     """Token ids of a byte-level BPE vocabulary, given as ranks (the same
-    vocabulary and ids as the tokenizer file of that name).
-
-    Between words the tokenizer always cuts before a single blank, so words
-    are encoded once and kept; texts with other blanks are encoded as a whole.
-    """
+    vocabulary and ids as the tokenizer file of that name), and their lengths in bytes."""
 
     def __init__(self, ranks_path: str, pattern: str):
         import tiktoken
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self._encode = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks,
-                                         special_tokens={}).encode_ordinary
-        self._words: dict[str, list[int]] = {}
-
-    def whole(self, text: str) -> list[int]:
-        return self._encode(text)
-
-    def extend(self, out: list[int], part: str) -> None:
-        """Append the ids of a part whose blanks all stand before a word."""
-        known = self._words
-        if len(known) > CACHED_WORDS:
-            known.clear()
-        words = part.split(" ")
-        if words[0]:
-            out += self._encode(words[0])
-        for w in words[1:]:
-            try:
-                out += known[w]
-            except KeyError:
-                out += known.setdefault(w, self._encode(" " + w))
+        self.ids = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.lengths = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.lengths[list(ranks.values())] = [len(word) for word in ranks]
 
 
 def cuts(ends: np.ndarray, penalty: np.ndarray, window: int) -> list[int]:
@@ -162,24 +137,26 @@ def pack_stream(docs, tokens: Tokens, window: int, prices: tuple[float, float],
     yield from flush(True)
 
 
+def sentence_ends(data: np.ndarray) -> np.ndarray:
+    """Byte places of the blanks that follow a sentence's end and of the line
+    breaks between two texts, where more text follows at once."""
+    at = np.flatnonzero((data[1:-1] == 32) | (data[1:-1] == 10)) + 1
+    before, after = data[at - 1], data[at + 1]
+    ellipsis = before == ELLIPSIS[2]
+    ellipsis &= (data[at - 2] == ELLIPSIS[1]) & (data[at - 3] == ELLIPSIS[0]) if len(data) > 2 else False
+    return at[~BLANK[after] & np.where(data[at] == 10, ~BLANK[before], END[before] | ellipsis)]
+
+
 def sentence_tokens(text: str, tokens: Tokens, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-    """(the document's ids with the end id, token counts after each sentence but the last).
-
-    A sentence ends before a blank or at a line break followed by text, where
-    the tokenizer cuts as well, so the parts' tokens are the whole's.
-    """
-    out: list[int] = []
-    marks, last = [], 0
-    if _UNSAFE.search(text):
-        out = list(tokens.whole(text))
-    else:
-        for m in _CUT.finditer(text):
-            tokens.extend(out, text[last:m.start()])
-            last = m.start()
-            marks.append(len(out))
-        tokens.extend(out, text[last:])
-    out.append(end_id)
-    return np.array(out, np.uint32), np.array(marks, np.int64)
+    """(the document's ids with the end id, token counts after each sentence but
+    the last).  A sentence's end inside a token is none."""
+    ids = np.array([*tokens.ids(text), end_id], np.uint32)
+    at = sentence_ends(np.frombuffer(text.encode(), np.uint8))
+    if not len(at):
+        return ids, at
+    ends = np.cumsum(tokens.lengths[ids[:-1]])
+    token = np.searchsorted(ends, at)
+    return ids, token[ends[token] == at] + 1
 
 
 def pack(spark: SparkSession, docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
