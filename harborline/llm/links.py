@@ -142,10 +142,12 @@ def _grouped(spark: SparkSession, apart: DataFrame) -> DataFrame:
     hubs = apart.groupBy("key").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("n"))
     tied = stored(spark, apart.join(hubs, "key"), "tied")
     whole = components(spark, tied.select(F.col("id").alias("a"), F.col("hub").alias("b")))
-    tied = tied.join(whole.select(F.col("node").alias("hub"), F.col("component").alias("cluster")), "hub")
+    tied = stored(spark, tied.join(whole.select(F.col("node").alias("hub"), F.col("component").alias("cluster")), "hub"),
+                  "clusters")
     # each member counts its list's n once, so the sum over a cluster is that of n * n
-    gain = (tied.groupBy("cluster", "id").agg(F.sum("n").alias("met"))
-            .groupBy("cluster").agg((F.pow(F.count(F.lit(1)), F.lit(2)) <= F.sum("met")).alias("merge")))
+    # a table of its own, of known size: while small it is broadcast, and no cluster's members meet in a task
+    gain = stored(spark, tied.groupBy("cluster", "id").agg(F.sum("n").alias("met"))
+                  .groupBy("cluster").agg((F.pow(F.count(F.lit(1)), F.lit(2)) <= F.sum("met")).alias("merge")), "gain")
     name = F.when(F.col("merge"), F.concat(F.lit("all "), F.col("cluster").cast("string"))).otherwise(
         F.concat(F.lit("list "), F.col("key").cast("string")))
     return tied.join(gain, "cluster").select(name.alias("key"), "id", "component").distinct()
