@@ -13,8 +13,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +62,18 @@ def upsert(target: DataFrame, delta: DataFrame, keys: list[str],
     return kept.unionByName(d_keyed).unionByName(d_null)
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(Hadoop path, the file system that holds it)."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path, hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in its own file system, local or not."""
+    hadoop_path, fs = _file_system(spark, path)
+    return fs.exists(hadoop_path)
+
+
 LOG_SCHEMA = "version long, tag string, committed_at string, watermark string"
 
 
@@ -76,27 +88,15 @@ class VersionedTable:
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def _exists_locally(self) -> bool | None:
-        """True/False for local paths, None when only the reader can tell."""
-        if "://" in self.path and not self.path.startswith("file:"):
-            return None
-        import os
-        local = self.path[len("file:"):] if self.path.startswith("file:") else self.path
-        return os.path.isdir(os.path.join(local, "commit_log"))
-
     def _log(self) -> DataFrame | None:
-        if self._exists_locally() is False:
-            return None
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).json(f"{self.path}/commit_log")
-        except AnalysisException:
-            return None
+        log = f"{self.path}/commit_log"
+        return self.spark.read.schema(LOG_SCHEMA).json(log) if path_exists(self.spark, log) else None
 
     def _head(self):
         log = self._log()
         if log is None:
             return None
-        return log.orderBy(F.col("version").desc()).first()
+        return log.orderBy(F.col("version").desc(), F.col("committed_at").desc()).first()
 
     def current(self) -> tuple[int, str] | None:
         row = self._head()
@@ -132,12 +132,20 @@ class VersionedTable:
             df = df.observe(obs, F.max(watermark_col).alias("wm"))
         df.write.mode("overwrite").parquet(f"{self.path}/v={version:06d}")
         value = obs.get.get("wm") if obs is not None else None
-        wm = None if value is None else value.isoformat()
+        self._append_log(version, tag, None if value is None else value.isoformat())
+        return version
+
+    def commit_unchanged(self, tag: str | None) -> int:
+        """Log a run that found nothing to do: the current version stays, no data is written."""
+        head = self._head()
+        if tag is not None:
+            self._append_log(head["version"], tag, head["watermark"])
+        return head["version"]
+
+    def _append_log(self, version: int, tag: str | None, watermark: str | None) -> None:
         entry = self.spark.createDataFrame(
-            [(version, tag or uuid.uuid4().hex, dt.datetime.now(dt.timezone.utc).isoformat(), wm)],
-            LOG_SCHEMA)
+            [(version, tag or uuid.uuid4().hex, dt.datetime.now(dt.timezone.utc).isoformat(), watermark)], LOG_SCHEMA)
         entry.coalesce(1).write.mode("append").json(f"{self.path}/commit_log")
-        return version
 
 
 def run_incremental(table: VersionedTable, build, source: DataFrame, keys: list[str],
@@ -159,8 +167,22 @@ def run_incremental(table: VersionedTable, build, source: DataFrame, keys: list[
     mx = table.current_watermark()
     if mx is None:                       # table written without a stored watermark
         mx = watermark_value(cur, wm_col)
-    delta = build(watermark_filter(source, wm_col, mx, lookback))
-    return table.commit(upsert(cur, delta, keys, [wm_col]), tag, wm_col)
+    newer = watermark_filter(source, wm_col, mx, lookback)
+    if newer.isEmpty():                  # nothing to do: the stored version stays
+        return table.commit_unchanged(tag)
+    return table.commit(upsert(cur, build(newer), keys, [wm_col]), tag, wm_col)
+
+
+def run_incremental_mart(table: VersionedTable, build, wm_col: str, keys: list[str],
+                         full_refresh: bool = False) -> int:
+    """One run of a mart whose watermark is its own key date.  ``build(after,
+    stored)`` is the mart past ``after``, given the stored mart; both are None on the
+    first run and on a full refresh."""
+    cur = None if full_refresh else table.read()
+    if cur is None:
+        return table.commit(build(None, None), watermark_col=wm_col)
+    delta = build(table.current_watermark(), cur)
+    return table.commit(upsert(cur, delta, keys, [wm_col]), watermark_col=wm_col)
 
 
 class ChangelogTable:
@@ -224,7 +246,10 @@ class PartitionedTable:
     applied as a literal filter, so the scan prunes partitions.  The rows to
     rewrite are first staged under ``<path>/staging/<run>`` (a table is not
     overwritten while being read), then swapped in by one dynamic-overwrite
-    job; the watermark is kept in a small JSON log like ``VersionedTable``.
+    job.  A partition that all its rows have left is no part of that job, so its
+    folder is deleted next.  The watermark is kept in a small JSON log like
+    ``VersionedTable`` and written last: a run that breaks off before it is
+    repeated over the same delta and gives the same table.
     """
 
     def __init__(self, spark: SparkSession, path: str, partition_col: str):
@@ -261,6 +286,16 @@ class PartitionedTable:
         df.write.mode("overwrite").partitionBy(self.part).parquet(f"{self.path}/data")
         self._log_commit(tag, obs.get.get("wm") if obs is not None else None)
 
+    def _drop(self, values: list) -> None:
+        """Delete the folders of these partition values."""
+        if not values:
+            return
+        of_value = reduce(lambda a, b: a | b, [F.col(self.part).eqNullSafe(F.lit(v)) for v in values])
+        folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
+        for r in self.read().filter(of_value).select(folder).distinct().collect():   # one per month at most
+            hadoop_path, fs = _file_system(self.spark, r[0])
+            fs.delete(hadoop_path, True)
+
     def upsert(self, delta: DataFrame, keys: list[str], order_cols: list[str],
                wm_col: str | None = None, tag: str | None = None) -> list:
         """Replace the delta's keys; returns the partition values rewritten."""
@@ -295,6 +330,8 @@ class PartitionedTable:
             new = new.observe(obs, F.max(wm_col).alias("wm"))
         (new.select(*target.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(self.part).parquet(f"{self.path}/data"))
+        filled = {r[0] for r in self.spark.read.parquet(staged).select(self.part).distinct().collect()}
+        self._drop([p for p in parts if p not in filled])
         old_wm = self.current_watermark()
         new_wm = obs.get.get("wm") if obs is not None else None
         wm = old_wm if new_wm is None or (old_wm is not None and old_wm > new_wm) else new_wm

@@ -28,7 +28,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.incremental import PartitionedTable, VersionedTable, run_incremental_partitioned, upsert
+from ..operators.incremental import (PartitionedTable, VersionedTable, run_incremental_mart,
+                                     run_incremental_partitioned)
 from . import facts, marts, quality, staging
 from .warehouse import DEFAULT_AS_OF, Warehouse
 
@@ -112,13 +113,13 @@ def run(spark: SparkSession, sf_dir: str, out_root: str, as_of: dt.datetime = DE
         put(name, df)
 
     # incremental marts: date / week watermark on the mart's own key
-    report["tables"]["port_throughput_daily"] = _incremental_mart(
+    report["tables"]["port_throughput_daily"] = run_incremental_mart(
         VersionedTable(spark, layer_path(out_root, "port_throughput_daily")),
-        lambda after: marts.port_throughput_daily(fpd, wh.dim_port_b, wh.dim_date_b, after_date=after),
+        lambda after, cur: marts.port_throughput_daily(fpd, wh.dim_port_b, wh.dim_date_b, after, cur),
         "report_date", ["port_code", "report_date"], full_refresh)
-    report["tables"]["congestion_delay_impact"] = _incremental_mart(
+    report["tables"]["congestion_delay_impact"] = run_incremental_mart(
         VersionedTable(spark, layer_path(out_root, "congestion_delay_impact")),
-        lambda after: marts.congestion_delay_impact(fpd, fse, wh.dim_port_b, after_week=after),
+        lambda after, cur: marts.congestion_delay_impact(fpd, fse, wh.dim_port_b, after_week=after),
         "week_start_date", ["port_code", "week_start_date"], full_refresh)
 
     # data tests (dbt test): declared tests over the stored tables
@@ -141,16 +142,6 @@ def run(spark: SparkSession, sf_dir: str, out_root: str, as_of: dt.datetime = DE
     return report
 
 
-def _incremental_mart(table: VersionedTable, build, wm_col: str, keys: list[str], full_refresh: bool):
-    """``WHERE key_date > (SELECT MAX(key_date) FROM this)`` then upsert."""
-    cur = None if full_refresh else table.read()
-    if cur is None:
-        return table.commit(build(None), watermark_col=wm_col)
-    mx = table.current_watermark()
-    delta = build(mx)
-    return table.commit(upsert(cur, delta, keys, [wm_col]), watermark_col=wm_col)
-
-
 __all__ = ["run", "layer_path"]
 
 

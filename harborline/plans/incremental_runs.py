@@ -15,14 +15,15 @@ from pyspark.sql import functions as F
 from ..functions.scalars import lit_ntz
 
 from ..operators.incremental import (PartitionedTable, VersionedTable, run_incremental,
-                                     run_incremental_partitioned)
+                                     run_incremental_mart, run_incremental_partitioned)
 from ..session import shared_dir
-from . import facts, staging
+from . import facts, marts, staging
 
 # Split of the shipment feed into "already loaded" and "arrived later".
 FIRST_RUN_CUTOFF = dt.datetime(2026, 1, 1)
 LATE_SHARE = 10          # 1 in LATE_SHARE shipments of the last month is delivered late
 LATE_WINDOW = dt.timedelta(days=31)
+MOVE_YEARS = 50
 
 
 def _events_builder(wh):
@@ -90,3 +91,31 @@ def late_rows_lookback(wh, strict: bool = False) -> DataFrame:
     # the second run sees the append-only feed, now holding the late rows too
     run_incremental_partitioned(t, build, raw, ["shipment_id"], lookback=None if strict else LATE_WINDOW)
     return t.read().drop(PART_COL)
+
+
+def incremental_key_move(wh) -> DataFrame:
+    """Shipments past the cutoff are first loaded with a departure ``MOVE_YEARS``
+    too late, in months that hold nothing else; their correction moves them
+    back and leaves those months empty."""
+    t = _ptable(wh, "fct_shipment_events_move")
+    build = _partitioned_builder(wh)
+    raw = wh.raw_shipments
+    past = F.col("_loaded_at") > lit_ntz(FIRST_RUN_CUTOFF)
+    wrong = raw.withColumns({
+        "etd": F.when(past, F.col("etd") + F.make_ym_interval(F.lit(MOVE_YEARS))).otherwise(F.col("etd")),
+        "_loaded_at": F.least("_loaded_at", lit_ntz(FIRST_RUN_CUTOFF))})
+    run_incremental_partitioned(t, build, wrong, ["shipment_id"])
+    run_incremental_partitioned(t, build, raw, ["shipment_id"])
+    return t.read().drop(PART_COL)
+
+
+def throughput_incremental(wh) -> DataFrame:
+    """Daily port throughput in two runs, split at the middle of the arrivals."""
+    t = _table(wh, "port_throughput_daily")
+    fpd = wh.fct_port_dwell
+    cut = fpd.agg(F.percentile_approx("arrival_date_key", 0.5)).first()[0]
+    for seen in (fpd.filter(F.col("arrival_date_key") <= F.lit(cut)), fpd):
+        run_incremental_mart(
+            t, lambda after, cur: marts.port_throughput_daily(seen, wh.dim_port_b, wh.dim_date_b, after, cur),
+            "report_date", ["port_code", "report_date"])
+    return t.read()

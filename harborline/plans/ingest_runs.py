@@ -4,7 +4,7 @@ The CSV inputs are written by Spark from the bound tables into a fresh
 folder under the shared checkpoint location, with the dialect the loader
 must handle: header line, optional quotes, the three NULL tokens, and (for
 the audit) rows with a non-numeric integer or an extra field.  Each file is
-written by one task (``repartition`` by file id), header first.
+written by one task (``repartitionById``), header first.
 """
 
 from __future__ import annotations
@@ -55,8 +55,8 @@ def write_csv_lines(df: DataFrame, schema: StructType, path: str, n_files: int =
     header = df.sparkSession.range(n_files).select(
         F.col("id").alias("file_id"), F.lit(None).cast("long").alias("ord"),
         F.lit(",".join(names)).alias("value"))
-    (body.unionByName(header).repartition(n_files, "file_id")
-     .sortWithinPartitions("file_id", F.col("ord").asc_nulls_first())
+    (body.unionByName(header).repartitionById(n_files, F.col("file_id").cast("int"))
+     .sortWithinPartitions(F.col("ord").asc_nulls_first())
      .select("value").write.mode("overwrite").text(path))
 
 

@@ -99,23 +99,32 @@ def carrier_performance(fse: DataFrame, dim_carrier: DataFrame, dim_shipment: Da
 
 
 def port_throughput_daily(fpd: DataFrame, dim_port_b: DataFrame, dim_date_b: DataFrame,
-                          after_date=None) -> DataFrame:
+                          after_date=None, stored: DataFrame | None = None) -> DataFrame:
     """Daily KPIs per port plus a 7-row rolling mean of the daily mean.
 
     One scan: level 1 aggregates per (port, day, dwell value), level 2 per
     (port, day) with exact dwell percentiles from that histogram.  The window
     runs over the aggregated rows (one per port and day), so a partition
     holds at most one port's calendar, whatever the fact size.
-    ``after_date`` is the incremental watermark (strict ``>``).
+    ``after_date`` is the incremental watermark (strict ``>``).  With it, the
+    calls of each port's last six days in the ``stored`` mart are read again,
+    so that the first new days' means run over the same seven rows as in a
+    full refresh.
     """
     p = dim_port_b.select("port_key", "port_code", "port_name", "region", "port_type")
     dd = dim_date_b.select(F.col("date_key").alias("arrival_date_key"), "year_num",
                            "month_num", "week_num", "year_month")
     f = fpd.select("port_key", "arrival_date_key", "teu_count", "dwell_hours",
                    "anchorage_wait_h", "is_congested")
-    if after_date is not None:
-        f = f.filter(F.col("arrival_date_key") > F.lit(after_date).cast("date"))
     j = f.join(p, "port_key").join(dd, "arrival_date_key")
+    if after_date is not None:
+        after = F.lit(after_date).cast("date")
+        newest = Window.partitionBy("port_code").orderBy(F.col("report_date").desc())
+        before = (stored.filter(F.col("report_date") <= after).withColumn("__n", F.row_number().over(newest))
+                  .filter("__n <= 6").select("port_code", F.col("report_date").alias("arrival_date_key")))
+        j = (j.filter(F.col("arrival_date_key") > after)
+             .unionByName(j.filter(F.col("arrival_date_key") <= after)
+                          .join(before, ["port_code", "arrival_date_key"], "left_semi").select(*j.columns)))
     keys = ["port_code", "port_name", "region", "port_type", "arrival_date_key",
             "year_num", "month_num", "week_num", "year_month"]
     v, n = F.col(VALUE), F.col(COUNT)
@@ -134,10 +143,11 @@ def port_throughput_daily(fpd: DataFrame, dim_port_b: DataFrame, dim_date_b: Dat
                 "congested_vessel_calls": F.sum("cong").cast("long"),
                 "congestion_rate_pct": pct_of(F.sum("cong"), F.sum(n))})
     w = Window.partitionBy("port_code").orderBy("arrival_date_key").rowsBetween(-6, 0)
-    return (g.withColumn("rolling_7d_avg_dwell_hours", rnd(F.avg("__avg_dwell").over(w), 1))
-            .withColumn("avg_dwell_hours", rnd(F.col("__avg_dwell"), 1))
-            .withColumnRenamed("arrival_date_key", "report_date")
-            .drop("__avg_dwell"))
+    out = (g.withColumn("rolling_7d_avg_dwell_hours", rnd(F.avg("__avg_dwell").over(w), 1))
+           .withColumn("avg_dwell_hours", rnd(F.col("__avg_dwell"), 1))
+           .withColumnRenamed("arrival_date_key", "report_date")
+           .drop("__avg_dwell"))
+    return out if after_date is None else out.filter(F.col("report_date") > after)
 
 
 def customs_clearance_kpi(dim_customs: DataFrame, dim_port_b: DataFrame) -> DataFrame:

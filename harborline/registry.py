@@ -149,6 +149,8 @@ def _register_runs() -> None:
     full_events = om_model("fct_shipment_events")
     _wh_query("incremental_upsert", ir.incremental_upsert, full_events)
     _wh_query("incremental_rerun_noop", ir.incremental_rerun_noop, full_events)
+    _wh_query("incremental_key_move", ir.incremental_key_move, full_events)
+    _wh_query("throughput_incremental", ir.throughput_incremental, om.model("port_throughput_daily"))
     _wh_query("late_rows_lookback", ir.late_rows_lookback, full_events)
     _wh_query("csv_null_tokens", gr.csv_null_tokens, om_model("raw_vessel_calls"))
     _wh_query("load_audit", gr.load_audit, None)

@@ -16,12 +16,11 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.incremental import path_exists
 from . import schemas
 
 NULL_TOKENS = ["NULL", "null", ""]
@@ -90,8 +89,7 @@ def load_audit(parsed: DataFrame, table_name: str) -> DataFrame:
 
 def read_if_exists(spark: SparkSession, path: str, reader) -> DataFrame | None:
     """A missing input is skipped with a warning; the run continues."""
-    local = path[len("file:"):] if path.startswith("file:") else path
-    if "://" not in path and not os.path.exists(local):
+    if not path_exists(spark, path):
         print(f"[WARN] {path} not found — skipping.")
         return None
     return reader(spark, path)

@@ -12,7 +12,7 @@ from __spark_entry__ import oracle_sql, queries
 from .conftest import SF_SMALL
 
 # Queries that write files or run streams are covered in test_runs.py.
-SLOW = {"incremental_upsert", "incremental_rerun_noop", "late_rows_lookback", "csv_null_tokens",
+SLOW = {"incremental_upsert", "incremental_key_move", "throughput_incremental", "incremental_rerun_noop", "late_rows_lookback", "csv_null_tokens",
         "ingest_idempotent", "seed_ports", "stream_active_shipments", "stream_fact_upsert", "stream_dedup"}
 NAMES = sorted(k for k in oracle_sql() if k not in SLOW)
 

@@ -19,7 +19,7 @@ from harborline.streaming import live as sl
 from .conftest import SF_SMALL
 from .test_oracle import _rows
 
-RUNS = ["incremental_upsert", "incremental_rerun_noop", "late_rows_lookback", "csv_null_tokens",
+RUNS = ["incremental_upsert", "incremental_key_move", "throughput_incremental", "incremental_rerun_noop", "late_rows_lookback", "csv_null_tokens",
         "ingest_idempotent", "seed_ports", "stream_active_shipments", "stream_fact_upsert", "stream_dedup"]
 
 
@@ -136,6 +136,35 @@ def test_partitioned_upsert_k_splits_equal_full_refresh(spark):
     assert all(len(p) < total for p in touched[1:])      # later runs rewrite only some partitions
 
 
+def test_partitioned_upsert_empties_a_partition(spark):
+    from harborline.operators.incremental import PartitionedTable
+    root = os.path.join(tempfile.mkdtemp(), "pt")
+    t = PartitionedTable(spark, root, "m")
+    t.overwrite(spark.createDataFrame([("S1", 1, 202301), ("S2", 1, 202302), ("S3", 1, None)], "id string, v int, m int"))
+    parts = t.upsert(spark.createDataFrame([("S1", 2, 202302), ("S3", 2, 202302)], "id string, v int, m int"), ["id"], ["v"])
+    assert set(parts) == {202301, 202302, None}
+    assert sorted(tuple(r) for r in t.read().select("id", "v", "m").collect()) == [
+        ("S1", 2, 202302), ("S2", 1, 202302), ("S3", 2, 202302)]
+    assert sorted(x for x in os.listdir(f"{root}/data") if x.startswith("m=")) == ["m=202302"]
+
+
+def test_rerun_without_new_rows_writes_no_version(spark):
+    from pyspark.sql import functions as F
+    t = VersionedTable(spark, os.path.join(tempfile.mkdtemp(), "t"))
+    source = spark.range(5).select(F.col("id"), F.lit(dt.datetime(2026, 1, 1)).cast("timestamp_ntz").alias("_loaded_at"))
+    assert run_incremental(t, lambda r: r, source, ["id"]) == 1
+    assert run_incremental(t, lambda r: r, source, ["id"]) == 1
+    assert sorted(x for x in os.listdir(t.path) if x.startswith("v=")) == ["v=000001"]
+
+
+def test_each_csv_file_has_one_header(spark):
+    from harborline.plans import ingest_runs as ir
+    wh = warehouse(spark, SF_SMALL)
+    audit = ir.load_audit(wh).collect()
+    assert len(audit) == 4
+    assert sum(r.row_parsed for r in audit) == wh.raw_customs_entries.count()
+
+
 def test_changelog_compaction_keeps_latest(spark):
     from harborline.operators.incremental import ChangelogTable
     log = ChangelogTable(spark, os.path.join(tempfile.mkdtemp(), "log"))
