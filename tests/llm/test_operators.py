@@ -77,6 +77,52 @@ def test_simhash_lines(spark, docs, empty):
     assert simhash_lines.fuzzy_line_groups(spark, empty).count() == 0
 
 
+def edit_distance(a, b):
+    ar = np.arange(len(b) + 1)
+    row, chars = ar, np.array(list(b))
+    for i, c in enumerate(a, 1):
+        new = np.append(i, np.minimum(row[1:] + 1, row[:-1] + (chars != c)))
+        row = np.minimum.accumulate(new - ar) + ar
+    return int(row[-1])
+
+
+def test_simhash_recall_against_brute_force(spark):
+    """Of edited lines with an edit similarity of 0.8 or more, at least 0.9 of each kind share their line's group."""
+    g = np.random.default_rng(11)
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect() if r.text]
+    lines = sorted({" ".join(re.sub(r"[\W_]+", " ", l.lower()).split()) for t in texts for l in t.split("\n")})
+    vocab = sorted({w for l in lines for w in l.split()})
+    lines = [lines[i] for i in g.permutation([i for i, l in enumerate(lines) if 25 <= len(l) <= 400])[:720]]
+
+    def edited(line, kind):
+        w = line.split()
+        at = int(g.integers(0, len(w)))
+        if kind == "typo":
+            p = int(g.integers(0, len(w[at])))
+            w[at] = w[at][:p] + "qxz"[int(g.integers(0, 3))] + w[at][p + 1:]
+        else:
+            w[at:at + (kind != "insert")] = [] if kind == "drop" else [vocab[int(g.integers(0, len(vocab)))]]
+        return " ".join(w) or line
+    cases = [(kind, times) for kind in ("replace", "typo", "drop", "insert") for times in (1, 2, 3)]
+    rows, pairs = [(i, l) for i, l in enumerate(lines)], []
+    for i, line in enumerate(lines):  # one edited copy of each, so no other copy links the two
+        kind, times = cases[i % len(cases)]
+        new = line
+        for _ in range(times):
+            new = edited(new, kind)
+        if new != line and edit_distance(line, new) <= 0.2 * max(len(line), len(new)):
+            rows.append((len(rows), new))
+            pairs.append((kind, times, i, len(rows) - 1))
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    group = {r.doc_id: r.group_id for r in simhash_lines.fuzzy_line_groups(spark, d).collect()}
+    found = defaultdict(list)
+    for kind, times, i, j in pairs:
+        found[kind, times].append(group[i] == group[j])
+    recall = {k: float(np.mean(v)) for k, v in found.items()}
+    print(len(pairs), recall)
+    assert len(pairs) > 500 and min(recall.values()) >= 0.9, recall
+
+
 def test_simhash_bits_of_wide_lines(spark):
     words = [f"word{i}" for i in range(400)]
     df = spark.createDataFrame([(" ".join(words[:n]),) for n in (1, 90, 400)], "t string")
