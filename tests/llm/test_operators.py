@@ -123,6 +123,24 @@ def test_simhash_recall_against_brute_force(spark):
     assert len(pairs) > 500 and min(recall.values()) >= 0.9, recall
 
 
+def test_simhash_long_lines_by_edit_similarity(spark):
+    g = np.random.default_rng(4)
+    words = [f"word{i}x" for i in range(700)]
+    few = ["alpha", "bravo", "charlie", "delta", "echoes", "foxtrot", "golfers"] * 120
+    typos = list(few)
+    typos[100], typos[400], typos[700] = "brovo", "dalta", "echaes"
+    rows = [(1, " ".join(words)), (2, " ".join(words[i] for i in g.permutation(len(words)))),
+            (3, " ".join(few)), (4, " ".join(typos)), (5, " ".join(words[:300] + ["more"] + words[300:690] + ["last"] + words[690:]))]
+    assert all(len(t) > 4096 for _, t in rows)
+    got = {r.doc_id: r.group_id for r in simhash_lines.fuzzy_line_groups(
+        spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, a in rows:
+        for j, b in rows:
+            if i < j:
+                assert (got[i] == got[j]) == (edit_distance(a, b) <= 0.2 * max(len(a), len(b))), (i, j)
+    assert got[1] != got[2] and got[3] == got[4] and got[1] == got[5]
+
+
 def test_simhash_bits_of_wide_lines(spark):
     words = [f"word{i}" for i in range(400)]
     df = spark.createDataFrame([(" ".join(words[:n]),) for n in (1, 90, 400)], "t string")
