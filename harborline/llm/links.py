@@ -71,17 +71,18 @@ def _spread(lists: DataFrame) -> DataFrame:
 
 def list_links(spark: SparkSession, members: DataFrame, verify: Callable[[DataFrame], DataFrame],
                payload: DataFrame, near: Callable[[str, str], Column], order: str = "id",
-               n_centers: int = CENTERS, last: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+               n_centers: int = CENTERS, last: Callable[[DataFrame], DataFrame] | None = None,
+               near_first: bool = False) -> DataFrame:
     """Verified links (a, b) that connect whatever members of a common list are
     connected by links.
 
-    ``members``: (key, id), each pair once; where it has the columns of ``near``
-    too, pairs of short lists must meet it before ``verify``.  ``verify`` keeps the linked rows of
+    ``members``: (key, id), each pair once.  ``verify`` keeps the linked rows of
     pairs (a, b).  ``payload``: one row per id; ``near(left, right)`` is a cheap
     condition on its columns that every linked pair meets.  ``order``: a column
     of ``payload``; the members smallest in it make the best centres.
     ``last``: links (a, b) between the members (key, id, component) that are
     still apart at the end, in place of the join in blocks described below.
+    ``near_first``: pairs of short lists must meet ``near`` before ``verify``.
 
     Short lists are compared in full.  In a long one, all members are compared
     with a few centres, a number of pairs linear in the list; members that land
@@ -93,10 +94,11 @@ def list_links(spark: SparkSession, members: DataFrame, verify: Callable[[DataFr
     """
     lists = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = stored(spark, members.join(lists, "key"), "lists")
-    short = shared.filter(F.col("n") <= SMALL)
-    carried = [c for c in members.columns if c not in ("key", "id")]
+    short = shared.filter(F.col("n") <= SMALL).select("key", "id")
+    carried = [c for c in payload.columns if c != "id"] if near_first else []
+    short = short.join(payload, "id") if near_first else short
     x, y = (short.select("key", F.col("id").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in carried]) for s in "ab")
-    met = (F.col("a") < F.col("b")) & near("a_", "b_") if carried else F.col("a") < F.col("b")
+    met = (F.col("a") < F.col("b")) & near("a_", "b_") if near_first else F.col("a") < F.col("b")
     pairs = x.join(y, "key").filter(met).select("a", "b").distinct()
     links = stored(spark, verify(pairs), "links")
     long_ = shared.filter(F.col("n") > SMALL).select("key", "id")
