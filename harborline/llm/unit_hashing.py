@@ -2,10 +2,18 @@
 
 A text's units are its paragraphs (separated by an empty line), its lines, or its
 lines cut after each sentence as well, so that a passage is found inside a
-longer line too.  A unit is normalised to its words in ASCII lower case; its
+longer line too.  Any of the three kinds or several together are looked at; a
+span that is a unit of two kinds (a line of one sentence) is one unit.  The
+minimum length is that of the unit itself, so a line or paragraph of short
+sentences is found whole.  A unit is normalised to its words in ASCII lower case; its
 digest is two 64-bit hashes of the word sequence.  Units of at least
 ``min_words`` words are grouped globally by digest.  The occurrence that ranks
-first, by (doc_id, start), stays and the others are removed.
+first, by (doc_id, start), stays and the others are removed.  Spans may lie in one
+another: a sentence of a kept line is removed where it occurred earlier.
+
+Not found: a passage that starts or ends inside a sentence, beyond the whole units
+in it; several sentences that are each shorter than ``min_words`` and are not a
+line or paragraph by themselves in both texts; units of fewer than ``min_words`` words.
 
 Result: one row per occurrence of a unit that occurs more than once: doc_id,
 start, end (character offsets in the original text), n_words, digest,
@@ -27,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
+from pyspark.sql.window import Window
 
 from . import byte_text as bt
 from .tables import id_and_text, stored
@@ -36,21 +45,25 @@ SENTENCE_ENDS = np.zeros(256, bool)
 SENTENCE_ENDS[list(b".!?")] = True
 
 
-def units(data: np.ndarray, off: np.ndarray, unit: str, min_words: int) -> dict[str, np.ndarray]:
-    """doc, start, end (characters), n_words and the two digest halves of each unit."""
+def units(data: np.ndarray, off: np.ndarray, kinds: tuple[str, ...], min_words: int) -> dict[str, np.ndarray]:
+    """doc, start, end (characters), n_words and the two digest halves of each unit of these kinds."""
     starts, ends, doc = bt.words(data, off)
     word, = bt.span_hashes(bt.LOWER[data], (starts, ends))
     breaks = np.zeros(len(data) + 1, np.int64)
     np.cumsum(data == 0x0A, out=breaks[1:])
-    new = np.ones(len(word), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (breaks[starts[1:]] - breaks[ends[:-1]] >= (2 if unit == "paragraph" else 1))
-    if unit == "sentence":
-        new[1:] |= SENTENCE_ENDS[data[ends[:-1] - 1]]
-    first = np.flatnonzero(new)
-    after = np.append(first[1:], len(word))
+    between = breaks[starts[1:]] - breaks[ends[:-1]]
+    spans = []
+    for kind in kinds:
+        new = np.ones(len(word), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (between >= (2 if kind == "paragraph" else 1))
+        if kind == "sentence":
+            new[1:] |= SENTENCE_ENDS[data[ends[:-1] - 1]]
+        first = np.flatnonzero(new)
+        after = np.append(first[1:], len(word))[:len(first)]
+        big = after - first >= min_words
+        spans.append(first[big] * (len(word) + 1) + after[big])
+    first, after = np.divmod(np.unique(np.concatenate(spans)), len(word) + 1)
     n = after - first
-    big = n >= min_words
-    first, after, n = first[big], after[big], n[big]
     digests = [bt.sequence_hashes(w, first, after) for w in (word, bt.mix(word ^ np.uint64(0xA5A5A5A5A5A5A5A5)))]
     chars = np.zeros(len(data) + 1, np.int64)
     np.cumsum((data & 0xC0) != 0x80, out=chars[1:])
@@ -61,10 +74,11 @@ def units(data: np.ndarray, off: np.ndarray, unit: str, min_words: int) -> dict[
 
 
 def repeated_units(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   unit: str = "sentence", min_words: int = 10) -> DataFrame:
-    """All occurrences of repeated units; see the module text."""
-    if unit not in UNITS:
-        raise ValueError(f"unit must be one of {UNITS}")
+                   unit: str | tuple[str, ...] = "sentence", min_words: int = 10) -> DataFrame:
+    """All occurrences of repeated units of one kind or several; see the module text."""
+    kinds = (unit,) if isinstance(unit, str) else tuple(unit)
+    if not kinds or not set(kinds) <= set(UNITS):
+        raise ValueError(f"units must be of {UNITS}")
     d = id_and_text(docs, id_col, text_col)
     ids = dict(d.dtypes)["doc_id"]
     columns = ["start", "end", "n_words", "digest1", "digest2"]
@@ -73,7 +87,7 @@ def repeated_units(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
         for b in batches:
             data, offsets = bt.flat(b.column("text"))
             for i, j, part, off in bt.slices(data, offsets):
-                u = units(part, off, unit, min_words)
+                u = units(part, off, kinds, min_words)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(u["doc"] + i)),
                                                   *[pa.array(u[c], pa.int64()) for c in columns]], ["doc_id", *columns])
 
@@ -90,12 +104,15 @@ def repeated_units(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
 
 
 def cleaned(docs: DataFrame, repeated: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text) of all documents, without the removed spans.  A document's own
-    spans are gathered, never more than its text has units."""
-    spans = (repeated.filter("removed").select(F.col("doc_id").alias("span_id"), F.struct("start", "end").alias("span")).distinct()
-             .groupBy("span_id").agg(F.array_sort(F.collect_list("span")).alias("spans")))
+    """(doc_id, text) of all documents, without the removed spans, which may overlap.  A
+    document's own spans are gathered, never more than its text has units."""
+    before = Window.partitionBy("span_id").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    spans = (repeated.filter("removed").select(F.col("doc_id").alias("span_id"), "start", "end").distinct()
+             .withColumn("from", F.coalesce(F.max("end").over(before), F.lit(0).cast("long")))
+             .groupBy("span_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", "from"))).alias("spans"),
+                                     F.max("end").alias("last")))
     joined = id_and_text(docs, id_col, text_col).join(spans, F.col("doc_id").eqNullSafe(F.col("span_id")), "left")
-    ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("spans", lambda s: s["end"]))
+    ends = F.concat(F.transform("spans", lambda s: s["from"]), F.array("last"))
     starts = F.concat(F.transform("spans", lambda s: s["start"]), F.array(F.char_length("text").cast("long")))
     kept = F.zip_with(ends, starts, lambda e, s: F.substring(F.col("text"), (e + 1).cast("int"), F.greatest(s - e, F.lit(0)).cast("int")))
     return joined.select("doc_id", F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.array_join(kept, "")).alias("text"))
