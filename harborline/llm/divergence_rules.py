@@ -8,8 +8,10 @@ rejected when the Jensen-Shannon distance (square root of the divergence in bits
 classes from ``min_chars`` characters on, words from ``min_words`` words on.
 Shorter documents are too few to tell, so the guard passes them.
 
-Languages with less than one document in ``1 / MIN_SHARE`` share one pooled
-reference, so there are at most ``1 / MIN_SHARE`` references, of bounded size.
+The references are a table keyed by language, joined to the documents, so every
+language is measured by its own, however small its share.  Where a language has
+fewer than ``REFERENCE_CHARS`` characters or ``REFERENCE_WORDS`` words in all,
+there is nothing to measure by, and that distance's guard passes its documents.
 
 Base rules (counts over the whole text): n_words, word_chars, n_symbols,
 n_dup_lines, n_repeat_words; ``base_failed`` for fewer than 20 words or over
@@ -24,21 +26,23 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import byte_text as bt
+from .tables import stored
 
 WINDOW, MIN_WORDS, MAX_REPEAT = 8, 20, 30
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 CLASSES = ("blank", "line", "lower", "upper", "digit", "mark", "symbol", "other")
-MIN_SHARE = 0.001
 MIN_CHARS, MAX_CLASS = 200, 0.26   # length from which classes count, and the largest distance kept
 MIN_JUDGED, MAX_WORD = 100, 0.38   # the same for words
 COMMON = 50
-POOLED = "*"
+REFERENCE_CHARS, REFERENCE_WORDS = 20_000, 5_000   # text from which a language has references of its own
+BROADCAST_LANGS = 1 << 13   # about 1 KB each; up to so many are broadcast
+REFERENCE_DDL = "lang string, class_shares array<double>, words array<long>, word_shares array<double>"
 
 
 def _class_table() -> np.ndarray:
@@ -111,14 +115,11 @@ def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip((part(p) + part(np.broadcast_to(q, p.shape))) / 2, 0, 1))
 
 
-def fit_references(spark: SparkSession, docs: DataFrame, text_col: str, lang_col: str, common: int = COMMON) -> dict:
-    """{language: (class shares, word hashes, word shares)} over all documents."""
+def fit_references(spark: SparkSession, docs: DataFrame, text_col: str, lang_col: str, common: int = COMMON) -> DataFrame:
+    """One row per language, over all documents: lang, class shares (null for too few
+    characters), word hashes in order and the words' shares (null for too few words)."""
     d = docs.select(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
                     F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("")).alias("lang"))
-    total = d.count()
-    # at most 1 / MIN_SHARE languages have this share
-    large = [r.lang for r in d.groupBy("lang").count().filter(F.col("count") >= MIN_SHARE * max(total, 1)).collect()]
-    d = d.withColumn("lang", F.when(F.col("lang").isin(large), F.col("lang")).otherwise(POOLED))
 
     def classes(batches):
         for b in batches:
@@ -133,34 +134,72 @@ def fit_references(spark: SparkSession, docs: DataFrame, text_col: str, lang_col
                 [pa.array(list(sums), pa.string()), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.int64()))],
                 ["lang", "counts"])
 
-    shares = {}
     per_class = d.mapInArrow(classes, "lang string, counts array<long>").groupBy("lang").agg(
         *[F.sum(F.col("counts")[i]).alias(c) for i, c in enumerate(CLASSES)])
-    for r in per_class.collect():
-        counts = np.array([r[c] for c in CLASSES], float)
-        shares[r.lang] = counts / max(counts.sum(), 1)
+    chars = F.expr(" + ".join(CLASSES))
+    per_class = per_class.select("lang", F.when(chars >= REFERENCE_CHARS, F.array(*[F.col(c) / chars for c in CLASSES]))
+                                 .alias("class_shares"))
 
     lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = (d.select("lang", F.explode(F.split(lower, r"[\x20\x09-\x0D]+")).alias("word")).filter("word != ''")
-             .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")))
-    sums = words.groupBy("lang").agg(F.sum("n").alias("total"))
+    words = stored(spark, d.select("lang", F.explode(F.split(lower, r"[\x20\x09-\x0D]+")).alias("word")).filter("word != ''")
+                   .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")), "words")
+    sums = stored(spark, words.groupBy("lang").agg(F.sum("n").alias("total")).filter(F.col("total") >= REFERENCE_WORDS), "sums")
     # a word of 1/2000 of its language's words is common, so there are at most 2000 of them
-    often = words.join(F.broadcast(sums), "lang").filter("n * 2000 >= total")
+    often = words.join(_small(sums), "lang").filter("n * 2000 >= total")
     rank = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    top: dict = {}
-    for r in often.withColumn("r", F.row_number().over(rank)).filter(F.col("r") <= common).collect():
-        top.setdefault(r.lang, []).append((r.word, r.n / r.total))
+    top = (often.withColumn("r", F.row_number().over(rank)).filter(F.col("r") <= common)
+           .groupBy("lang").agg(F.collect_list(F.struct("word", (F.col("n") / F.col("total")).alias("share"))).alias("top")))
+
+    def hashed(batches):
+        for b in batches:
+            rows = []
+            for lang, shares, found in zip(*[b.column(c).to_pylist() for c in ("lang", "class_shares", "top")]):
+                if found is None:
+                    rows.append((lang, shares, None, None))
+                    continue
+                texts = [w["word"].encode() for w in found]
+                ends = np.cumsum([len(t) for t in texts]).astype(np.int64)
+                hashes, = bt.span_hashes(np.frombuffer(b"".join(texts), np.uint8), (ends - [len(t) for t in texts], ends)) \
+                    if texts else (np.zeros(0, np.uint64),)
+                order = np.argsort(hashes)
+                of_words = np.array([w["share"] for w in found], float)[order]
+                rows.append((lang, shares, hashes[order].view(np.int64).tolist(),
+                             [*of_words.tolist(), max(0.0, 1 - float(of_words.sum()))]))
+            kinds = [pa.string(), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.list_(pa.float64())]
+            columns = zip(*rows) if rows else [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
+                                             ["lang", "class_shares", "words", "word_shares"])
+
+    # a language of many words and none that is common has the one bin of all other words
+    top = sums.select("lang").join(top, "lang", "left").select("lang", F.coalesce("top", F.array().cast(
+        "array<struct<word:string,share:double>>")).alias("top"))
+    return stored(spark, per_class.join(top, "lang", "left").mapInArrow(hashed, REFERENCE_DDL), "references")
+
+
+def _small(languages: DataFrame) -> DataFrame:
+    """To be broadcast, unless there are very many languages."""
+    return F.broadcast(languages) if languages.count() <= BROADCAST_LANGS else languages
+
+
+def _with_reference(docs: DataFrame, lang: Column, references: DataFrame) -> DataFrame:
+    """``docs`` and two last columns: the language, and its references."""
+    refs = _small(references).select(F.col("lang").alias("_ref_lang"), F.struct("class_shares", "words", "word_shares").alias("_reference"))
+    return (docs.withColumn("_lang", lang).join(refs, F.col("_lang") == F.col("_ref_lang"), "left").drop("_ref_lang"))
+
+
+def _references_of(b: pa.RecordBatch) -> tuple[np.ndarray, dict]:
+    """The languages of a batch's rows, and each language's references."""
+    encoded = b.column(b.num_columns - 2).dictionary_encode()
+    at, names = encoded.indices.to_numpy(), encoded.dictionary.to_pylist()
     references = {}
-    for lang, share in shares.items():
-        found = top.get(lang, [])
-        texts = [w.encode() for w, _ in found]
-        ends = np.cumsum([len(t) for t in texts]).astype(np.int64)
-        hashes, = bt.span_hashes(np.frombuffer(b"".join(texts), np.uint8), (ends - [len(t) for t in texts], ends)) \
-            if texts else (np.zeros(0, np.uint64),)
-        order = np.argsort(hashes)
-        of_words = np.array([s for _, s in found], float)[order]
-        references[lang] = (share, hashes[order], np.append(of_words, max(0.0, 1 - of_words.sum())))
-    return references
+    for i in np.unique(at, return_index=True)[1] if len(at) else ():
+        r = b.column(b.num_columns - 1)[int(i)].as_py()
+        if r is not None:
+            references[names[at[i]]] = (
+                None if r["class_shares"] is None else np.array(r["class_shares"], float),
+                None if r["words"] is None else np.array(r["words"], np.int64).view(np.uint64),
+                None if r["words"] is None else np.array(r["word_shares"], float))
+    return np.array(names, object)[at] if len(at) else np.zeros(0, object), references
 
 
 def judge(data: np.ndarray, off: np.ndarray, langs: np.ndarray, references: dict, min_chars: int, min_words: int,
@@ -172,12 +211,12 @@ def judge(data: np.ndarray, off: np.ndarray, langs: np.ndarray, references: dict
     classes = class_counts(data, off)
     out["class_distance"], out["word_distance"] = np.zeros(n), np.zeros(n)
     for lang in set(langs):
-        ref = references.get(lang) or references.get(POOLED)
-        if ref is None:
-            continue
-        share, common, of_words = ref
+        share, common, of_words = references.get(lang, (None, None, None))
         mine = langs == lang
-        out["class_distance"][mine] = distance(classes[mine].astype(float), share)
+        if share is not None:
+            out["class_distance"][mine] = distance(classes[mine].astype(float), share)
+        if of_words is None:
+            continue
         own = np.flatnonzero(mine[doc])
         at = np.minimum(np.searchsorted(common, word[own]), max(len(common) - 1, 0))
         bins = np.where(common[at] == word[own], at, len(common)) if len(common) else np.zeros(len(own), np.int64)
@@ -203,12 +242,12 @@ def divergence(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", tex
                lang_col: str = "lang", min_chars: int = MIN_CHARS, min_words: int = MIN_JUDGED,
                max_class_distance: float = MAX_CLASS, max_word_distance: float = MAX_WORD) -> DataFrame:
     """One row per document: the id, the base columns, the distances and ``kept``."""
-    references = fit_references(spark, docs, text_col, lang_col)
+    table = fit_references(spark, docs, text_col, lang_col)
 
     def run(batches):
         for b in batches:
             data, offsets = bt.flat(b.column("text"))
-            langs = np.array(b.column("lang").to_pylist(), object)
+            langs, references = _references_of(b)
             parts = [judge(part, off, langs[i:j], references, min_chars, min_words, max_class_distance, max_word_distance)
                      for i, j, part, off in bt.slices(data, offsets)]
             yield pa.RecordBatch.from_arrays(
@@ -217,21 +256,22 @@ def divergence(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", tex
 
     d = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
                     F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("")).alias("lang"))
-    return d.mapInArrow(run, f"doc_id {dict(d.dtypes)['doc_id']}, {RESULT_DDL}")
+    return _with_reference(d, F.col("lang"), table).mapInArrow(run, f"doc_id {dict(d.dtypes)['doc_id']}, {RESULT_DDL}")
 
 
 def only_kept(spark: SparkSession, docs: DataFrame, text_col: str = "text", lang_col: str = "lang", **bounds) -> DataFrame:
-    """The rows of ``docs``, all columns, that the rules keep: one pass, no join."""
-    references = fit_references(spark, docs, text_col, lang_col)
+    """The rows of ``docs``, all columns, that the rules keep."""
+    table = fit_references(spark, docs, text_col, lang_col)
     limits = {"min_chars": MIN_CHARS, "min_words": MIN_JUDGED, "max_class_distance": MAX_CLASS, "max_word_distance": MAX_WORD,
               **bounds}
-    text, lang = docs.columns.index(text_col), docs.columns.index(lang_col)
+    text, width = docs.columns.index(text_col), len(docs.columns)
 
     def run(batches):
         for b in batches:
             data, offsets = bt.flat(b.column(text))
-            langs = np.array(["" if v is None else str(v) for v in b.column(lang).to_pylist()], object)
+            langs, references = _references_of(b)
             kept = [judge(part, off, langs[i:j], references, **limits)["kept"] for i, j, part, off in bt.slices(data, offsets)]
-            yield b.filter(pa.array(np.concatenate(kept) if kept else np.zeros(0, bool), pa.bool_()))
+            yield b.select(list(range(width))).filter(pa.array(np.concatenate(kept) if kept else np.zeros(0, bool), pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    lang = F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(""))
+    return _with_reference(docs, lang, table).mapInArrow(run, docs.schema)
