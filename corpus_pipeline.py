@@ -63,7 +63,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 1024 tokens."""
     import public_tokenizers
-    packed = window_packing.pack(spark, docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    packed = window_packing.pack(spark, docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+                                 added=window_packing.BYTE_BPE_50K_ADDED)
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 

@@ -51,7 +51,8 @@ def op4_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     packed = window_packing.pack(spark, table(spark, sf_dir, "documents"),
-                                 public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+                                 public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+                                 added=window_packing.BYTE_BPE_50K_ADDED)
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 

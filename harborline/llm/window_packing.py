@@ -21,7 +21,8 @@ length, doc_tokens, sequence_id, offset (place in the window), ids (the tokens,
 little-endian unsigned 32-bit, as they go to a training file).
 
 A document's tokens are the tokenizer's, no special tokens added, then
-``end_id``.  A null text is empty (only ``end_id``).  Null ids come first.  Rows
+``end_id``.  Texts that hold one of the tokenizer's added tokens (``added``: text to
+id) get its id; without ``added`` such a text is plain text.  A null text is empty (only ``end_id``).  Null ids come first.  Rows
 that repeat an id are separate documents of that id.  An empty table gives
 an empty result.
 """
@@ -40,6 +41,7 @@ from .tables import id_and_text
 BLOCK = 1 << 18          # tokens
 GRAIN = 16               # tokens between places inside a sentence
 RANGE_BYTES = 16 << 20   # text per task
+BYTE_BPE_50K_ADDED = {"<|endoftext|>": 50256}   # added tokens of byte_bpe_50k.json, which its rank file lacks
 END = np.isin(np.arange(256), list(b".!?"))
 ELLIPSIS = b"\xe2\x80\xa6"
 BLANK = np.isin(np.arange(256), list(b"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "))
@@ -49,13 +51,18 @@ class Tokens:
     """Token ids of a byte-level BPE vocabulary, given as ranks (the same
     vocabulary and ids as the tokenizer file of that name), and their lengths in bytes."""
 
-    def __init__(self, ranks_path: str, pattern: str):
+    def __init__(self, ranks_path: str, pattern: str, added: dict[str, int] | None = None):
         import tiktoken
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.ids = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.lengths = np.zeros(max(ranks.values()) + 1, np.int64)
-        self.lengths[list(ranks.values())] = [len(word) for word in ranks]
+        added = added or {}
+        encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
+        plain, whole = encoding.encode_ordinary, encoding.encode
+        self.ids = (lambda text: whole(text, allowed_special="all") if any(x in text for x in added) else plain(text)) \
+            if added else plain
+        sizes = {i: len(word) for word, i in ranks.items()} | {i: len(word.encode()) for word, i in added.items()}
+        self.lengths = np.zeros(max(sizes) + 1, np.int64)
+        self.lengths[list(sizes)] = list(sizes.values())
 
 
 def cuts(ends: np.ndarray, penalty: np.ndarray, window: int) -> list[int]:
@@ -160,7 +167,8 @@ def sentence_tokens(text: str, tokens: Tokens, end_id: int) -> tuple[np.ndarray,
 
 
 def pack(spark: SparkSession, docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
-         text_col: str = "text", window: int = 1024, prices: tuple[float, float] = (4.0, 12.0), end_id: int = 0) -> DataFrame:
+         text_col: str = "text", window: int = 1024, prices: tuple[float, float] = (4.0, 12.0), end_id: int = 0,
+         added: dict[str, int] | None = None) -> DataFrame:
     """Pack all documents; see the module text."""
     d = id_and_text(docs, id_col, text_col)
     ids = dict(d.dtypes)["doc_id"]
@@ -171,7 +179,7 @@ def pack(spark: SparkSession, docs: DataFrame, ranks_path: str, pattern: str, id
 
     def run(batches):
         from pyspark import TaskContext
-        tokens = Tokens(ranks_path, pattern)
+        tokens = Tokens(ranks_path, pattern, added)
         first = TaskContext.get().partitionId() << 33
         names: list = []
 
