@@ -11,7 +11,8 @@ payload may hold the magic, even a whole record, so candidates are not trusted:
 the records are exactly the candidates on the chain that starts at offset 0.
 Pointer jumping finds them: every round marks the targets of marked candidates
 and doubles all pointers, so a chain of n records takes about log2(n) rounds,
-whatever the number of files.
+whatever the number of files.  A file's end is a candidate too: where a chain does
+not reach it, the file is broken and reading raises.  A header may have any length.
 
 A null html is an empty payload.  A null page_id is written without a number and
 read as null; it never is the smallest.  Rows that repeat page_id and payload
@@ -34,7 +35,7 @@ from .tables import new_folder, stored
 # fixed values of the file format
 MAGIC = b"WARC/1.0\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-HEADER_BYTES = 1 << 16
+BREAK = b"\r\n\r\n"
 
 RECORDS_PER_FILE = 2000
 BROADCAST_PAYLOADS = 1 << 19  # repeated payloads, about 50 bytes each; up to so many are broadcast
@@ -88,13 +89,16 @@ def _candidates(content: bytes):
     """(offset, successor, fields, block start, block end) of whatever looks like a record."""
     at = content.find(MAGIC)
     while at >= 0:
-        end = content.find(b"\r\n\r\n", at, at + HEADER_BYTES)
-        if end >= 0:
+        # a record starts the file or follows the break after a block, so no two headers overlap and all bytes are read once
+        if at == 0 or content[at - 4:at] == BREAK:
+            end = content.find(BREAK, at)
+            if end < 0:
+                return
             fields = dict(m.groups() for m in map(_FIELD.match, content[at + len(MAGIC):end].split(b"\r\n")) if m)
             length = fields.get(b"Content-Length", b"")
             if length.isdigit() and len(length) < 19:
                 stop = end + 4 + int(length)
-                if content[stop:stop + 4] == b"\r\n\r\n":
+                if content[stop:stop + 4] == BREAK:
                     yield at, stop + 4, fields, end + 4, stop
         at = content.find(MAGIC, at + 1)
 
@@ -120,8 +124,8 @@ def _scan(with_payload: bool):
                     if len(rows) == 500:
                         yield _batch(rows, with_payload)
                         rows = []
-                if rows:
-                    yield _batch(rows, with_payload)
+                rows.append((file, len(content), *[None] * (8 + with_payload)))  # the file's end
+                yield _batch(rows, with_payload)
     return run
 
 
@@ -153,7 +157,12 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
     files = spark.read.format("binaryFile").load(path).select("path", "content").filter("length(content) > 0") \
         if _any_file(spark, path) else spark.createDataFrame([], "path string, content binary")
     found = stored(spark, files.mapInArrow(_scan(with_payload), SCHEMA + ", payload binary" * with_payload), "candidates")
-    records = found.join(on_chain(spark, found), ["file", "at"])
+    chain = on_chain(spark, found)
+    ends = found.filter("next IS NULL").select("file", "at")
+    broken = ends.join(chain, ["file", "at"], "left_anti").select("file").take(5)
+    if broken:
+        raise ValueError(f"the records do not end with the file: {', '.join(r.file for r in broken)}")
+    records = found.filter("next IS NOT NULL").join(chain, ["file", "at"])
     number = lambda c: F.nullif(F.regexp_extract(c, "^<urn:page:(-?[0-9]*)>$", 1), F.lit("")).cast("long")
     response = F.col("record_type") == "response"
     return records.select(
