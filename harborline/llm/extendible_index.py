@@ -17,7 +17,8 @@ text), group_size (rows with this text), kept, text_sha256, bucket, chain (link
 in its hash's chain, from 0).
 
 A null text counts as empty, and empty texts are equal to one another.  Rows that
-repeat both id and text are one document (each counts in group_size).  A null id
+repeat both id and text are one document (each counts in group_size), unless
+``every_row`` asks for a row each.  A null id
 never wins against another id.  An empty table gives an empty result.  Two
 different texts with one SHA-256 would raise instead of being merged.
 """
@@ -65,7 +66,8 @@ def build_directory(spark: SparkSession, hashes: DataFrame, capacity: int = CAPA
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
-                     text_col: str = "text", capacity: int = CAPACITY, hash_bits: int = 64) -> DataFrame:
+                     text_col: str = "text", capacity: int = CAPACITY, hash_bits: int = 64,
+                     every_row: bool = False) -> DataFrame:
     """Index ``docs`` and look every document up; see the module text."""
     d = id_and_text(docs, id_col, text_col).withColumn("h", _hash(hash_bits))
     keys = stored(spark, d.select("doc_id", "h", F.sha2("text", 256).alias("text_sha256"),
@@ -85,7 +87,7 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id
     if not index.groupBy("h", "text_sha256", "n_bytes").count().filter("count > 1").isEmpty():
         raise ValueError("different texts share hash and SHA-256; they cannot be told apart")
 
-    members = keys.dropDuplicates(["doc_id", "h", "text_sha256"])
+    members = keys if every_row else keys.dropDuplicates(["doc_id", "h", "text_sha256"])
     return (members.join(index, ["h", "text_sha256", "n_bytes"])
             .select("doc_id", "keep_id", "group_size",
                     F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),

@@ -63,7 +63,7 @@ def op6_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op7_extendible_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extendible_index.exact_duplicates(spark, table(spark, sf_dir, "documents")).drop("bucket", "chain")
+    return extendible_index.exact_duplicates(spark, table(spark, sf_dir, "documents"), every_row=True).drop("bucket", "chain")
 
 
 @register
