@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (bottom_k, byte_cnn, divergence_rules, external_shuffle, extendible_index, simhash_lines,
-               soft_mixing, unit_hashing, warc_chain, window_packing)
+               soft_mixing, unit_hashing, warc_chain, whole_token_counts, window_packing)
 from .oracle import ORACLE  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,10 @@ def op9_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op10_unit_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unit_hashing.repeated_units(spark, table(spark, sf_dir, "documents"), unit=unit_hashing.UNITS)
+
+
+@register
+def op11_whole_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return whole_token_counts.count_tokens(spark, table(spark, sf_dir, "documents"),
+                                           public_tokenizers.path("byte_bpe_50k.json"), limit=512)
