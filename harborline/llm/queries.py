@@ -3,13 +3,15 @@ production parameters, to its whole table."""
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bottom_k, byte_cnn, divergence_rules, external_shuffle, extendible_index, simhash_lines,
-               soft_mixing, unit_hashing, warc_chain, whole_token_counts, window_packing)
+from . import (bottom_k, byte_cnn, divergence_rules, external_shuffle, extendible_index, periodic_runs,
+               simhash_lines, soft_mixing, unit_hashing, warc_chain, whole_token_counts, window_packing)
 from .oracle import ORACLE  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +92,21 @@ def op11_whole_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return whole_token_counts.count_tokens(spark, table(spark, sf_dir, "documents"),
                                            public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+
+
+def looped(doc_id: int | None, n: int) -> np.ndarray | None:
+    """One document in ten repeats a stretch of its words from a place on; a document
+    without id stays as it is."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    i = np.arange(n)
+    return np.where(i < a, i, a + (i - a) % p)
+
+
+@register
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(spark, table(spark, sf_dir, "documents"), reorder=looped, with_runs=False)
