@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (bottom_k, byte_cnn, divergence_rules, external_shuffle, extendible_index, periodic_runs,
-               simhash_lines, soft_mixing, unit_hashing, warc_chain, whole_token_counts, window_packing)
+               segment_mining, simhash_lines, soft_mixing, unit_hashing, warc_chain, whole_token_counts, window_packing)
 from .oracle import ORACLE  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,12 @@ def op11_whole_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+@register
+def op12_segment_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return segment_mining.mine(spark, table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def looped(doc_id: int | None, n: int) -> np.ndarray | None:
     """One document in ten repeats a stretch of its words from a place on; a document
     without id stays as it is."""
