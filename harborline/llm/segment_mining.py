@@ -45,7 +45,7 @@ STRIPES = 16
 CELLS = 1 << 22   # pairs bounded at a time
 DENSE = 16        # pairs are listed one by one when fewer than one in so many is left
 LISTED = 1 << 16  # listed pairs at a time
-NO_ID = np.iinfo(np.int64).max
+NO_ID = MOST = np.iinfo(np.int64).max
 ROW = "row long, vec_id long, label long, vector array<double>, mean array<double>, deviation array<double>"
 BEST = "anchor_row long, anchor_id long, positive_row long, positive_id long, positive_score long, row long, vec_id long, score long"
 
@@ -185,7 +185,7 @@ class Search:
     def floor(self) -> np.ndarray:
         """The least score that can still enter each group."""
         count = np.bincount(self.group, minlength=len(self.owner))
-        least = np.full(len(self.owner), np.inf)
+        least = np.full(len(self.owner), MOST)
         np.minimum.at(least, self.group, self.score)
         return np.where(count >= self.k, np.maximum(least, self.low), self.low)
 
@@ -196,7 +196,7 @@ class Search:
 
     def _look(self, rows: Rows) -> None:
         floor, a = self.floor(), self.anchors
-        low, high = np.full(len(a.row), np.inf), np.full(len(a.row), -np.inf)
+        low, high = np.full(len(a.row), MOST), np.full(len(a.row), -MOST)
         np.minimum.at(low, self.owner, floor)
         np.maximum.at(high, self.owner, self.high)
         asked = (a.label[:, None] == rows.label) == self.same
@@ -286,7 +286,7 @@ def mine(spark: SparkSession, rows: DataFrame, is_anchor: Column, id_col: str =
     def for_positives(opening: pa.Table):
         a = Rows(opening.to_batches()[0])
         n = np.arange(len(a.row))
-        every = Search(a, n, np.full(len(n), -np.inf), np.full(len(n), np.inf), n_positives, True)
+        every = Search(a, n, np.full(len(n), -MOST), np.full(len(n), MOST), n_positives, True)
         return every, [a.row, a.id, a.row, a.id, np.zeros(len(n), np.int64)]
 
     def for_negatives(opening: pa.Table):
