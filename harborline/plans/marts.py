@@ -231,9 +231,25 @@ def commodity_cost_summary(landed: DataFrame, dim_shipment: DataFrame, tariffs_b
     return null_safe_join(g, med, keys, "left")
 
 
-def weekly_dwell(fpd: DataFrame, dim_port_b: DataFrame) -> DataFrame:
+WEEK_KEYS = ["port_code", "week_start_date"]
+
+
+def dwell_weeks(fpd: DataFrame, dim_port_b: DataFrame) -> DataFrame:
     p = dim_port_b.select("port_key", "port_code", "port_name")
-    j = fpd.join(p, "port_key").withColumn("week_start_date", week_start("arrival_date_key"))
+    return fpd.join(p, "port_key").withColumn("week_start_date", week_start("arrival_date_key"))
+
+
+def shipment_weeks(fse: DataFrame, dim_port_b: DataFrame) -> DataFrame:
+    p = dim_port_b.select(F.col("port_key").alias("dest_port_key"), "port_code")
+    return fse.join(p, "dest_port_key").withColumn("week_start_date", week_start("eta_date_key"))
+
+
+def _of_keys(df: DataFrame, only: DataFrame | None, keys: list[str]) -> DataFrame:
+    return df if only is None else df.join(only, keys, "left_semi")
+
+
+def weekly_dwell(fpd: DataFrame, dim_port_b: DataFrame, only: DataFrame | None = None) -> DataFrame:
+    j = _of_keys(dwell_weeks(fpd, dim_port_b), only, WEEK_KEYS)
     return (j.groupBy("port_code", "port_name", "week_start_date")
             .agg(F.count(F.lit(1)).alias("vessel_calls"),
                  rnd(F.avg("anchorage_wait_h"), 1).alias("avg_anchorage_wait_hours"),
@@ -242,9 +258,8 @@ def weekly_dwell(fpd: DataFrame, dim_port_b: DataFrame) -> DataFrame:
                  F.sum("teu_count").cast("long").alias("total_teu_handled")))
 
 
-def weekly_shipments(fse: DataFrame, dim_port_b: DataFrame) -> DataFrame:
-    p = dim_port_b.select(F.col("port_key").alias("dest_port_key"), "port_code")
-    j = fse.join(p, "dest_port_key").withColumn("week_start_date", week_start("eta_date_key"))
+def weekly_shipments(fse: DataFrame, dim_port_b: DataFrame, only: DataFrame | None = None) -> DataFrame:
+    j = _of_keys(shipment_weeks(fse, dim_port_b), only, WEEK_KEYS)
     cat = F.col("delay_category")
     return (j.groupBy("port_code", "week_start_date")
             .agg(F.count(F.lit(1)).alias("shipments_arriving"),
@@ -254,12 +269,13 @@ def weekly_shipments(fse: DataFrame, dim_port_b: DataFrame) -> DataFrame:
 
 
 def congestion_delay_impact(fpd: DataFrame, fse: DataFrame, dim_port_b: DataFrame,
-                            after_week=None) -> DataFrame:
+                            after_week=None, only: DataFrame | None = None) -> DataFrame:
     """Weekly dwell and weekly arrivals per port, each aggregated before
-    the (port, week) join so the join sees one row per key on each side."""
-    wd = weekly_dwell(fpd, dim_port_b)
-    ws = weekly_shipments(fse, dim_port_b)
-    j = wd.join(ws, ["port_code", "week_start_date"], "left")
+    the (port, week) join so the join sees one row per key on each side.
+    ``only`` (port_code, week_start_date) restricts both sides to these keys."""
+    wd = weekly_dwell(fpd, dim_port_b, only)
+    ws = weekly_shipments(fse, dim_port_b, only)
+    j = wd.join(ws, WEEK_KEYS, "left")
     if after_week is not None:
         j = j.filter(F.col("week_start_date") > F.lit(after_week).cast("date"))
     return j.select("port_code", "port_name", "week_start_date", "vessel_calls",

@@ -151,6 +151,8 @@ def _register_runs() -> None:
     _wh_query("incremental_rerun_noop", ir.incremental_rerun_noop, full_events)
     _wh_query("incremental_key_move", ir.incremental_key_move, full_events)
     _wh_query("throughput_incremental", ir.throughput_incremental, om.model("port_throughput_daily"))
+    _wh_query("congestion_incremental", ir.congestion_incremental, om.model("congestion_delay_impact"))
+    _wh_query("throughput_late_rows", ir.throughput_late_rows, om.model("port_throughput_daily"))
     _wh_query("late_rows_lookback", ir.late_rows_lookback, full_events)
     _wh_query("csv_null_tokens", gr.csv_null_tokens, om_model("raw_vessel_calls"))
     _wh_query("load_audit", gr.load_audit, None)
@@ -163,7 +165,9 @@ def _register_runs() -> None:
     _wh_query("stream_port_congestion", sr.stream_port_congestion, SQL["stream_port_congestion"])
     _wh_query("stream_fact_upsert", sr.stream_fact_upsert, full_events)
     _wh_query("stream_dedup", sr.stream_dedup, om_model("raw_shipments"))
-    _wh_query("stream_lag", sr.stream_lag, None)
+    _wh_query("stream_unknown_ports", sr.stream_unknown_ports, SQL["stream_unknown_ports"])
+    _wh_query("stream_late_calls", sr.stream_late_calls, SQL["stream_late_calls"])
+    _wh_query("stream_lag", sr.stream_lag, SQL["stream_lag"])
 
 
 _register_runs()

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.incremental import path_exists
+from ..operators.files import path_exists
 from . import schemas
 
 NULL_TOKENS = ["NULL", "null", ""]

@@ -1,15 +1,18 @@
 """Structured Streaming versions of the near-real-time tables and the
-incremental fact (survey M1-M6, L3).
+incremental fact (survey E11, M1-M6).
 
 * Sources are file streams over bronze folders (Parquet), so a new file is a
   new micro-batch; ``trigger(processingTime=...)`` gives the target lag in
-  production, ``availableNow`` drains what is there (tests, catch-up).
+  production (``streaming.live_run``), ``availableNow`` drains what is there.
 * Every sink is ``foreachBatch`` into a ``ChangelogTable``: each micro-batch
   writes only its rows, into a folder named by its batch id (a replayed batch
   overwrites its own folder, so the sinks are exactly-once on top of the
   checkpoint); readers fold the log to the latest row per key.
-* ``dt_port_congestion`` is a sliding event-time window aggregation with a
-  watermark (state is dropped once a window can no longer change).
+* ``dt_port_congestion`` sums each micro-batch per port and 15-minute pane into a
+  ``PaneLog``; the sliding 24-hour windows are put together from the panes when they
+  are read.  Sums of batches add up in any order, so a late row counts in every window
+  it belongs to: there is no state to drop it from.  Late rows are counted.
+* Refreshes are logged by ``streaming.refresh_log``.
 """
 
 from __future__ import annotations
@@ -21,12 +24,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions import domain as d
-from ..operators.incremental import ChangelogTable
+from ..operators.incremental import ChangelogTable, PaneLog
+from ..operators.panes import pane_of, pane_start, sliding_sums
 from ..plans import facts, live, staging
 from ..plans.marts import pct_of, rnd
 
-ACTIVE_LAG = "5 minutes"
-CONGESTION_LAG = "15 minutes"
+# Target lag of the live tables in minutes (M3): their triggers and their lag report.
+TARGET_LAG = {"dt_active_shipments": 5.0, "dt_port_congestion": 15.0}
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 1) -> DataFrame:
@@ -83,71 +87,81 @@ def _run(query_builder, checkpoint: str, trigger: dict | None, name: str,
 
 def stream_active_shipments(spark: SparkSession, src: str, state_path: str, checkpoint: str,
                             dim_port_b: DataFrame, as_of: dt.datetime, trigger: dict | None = None,
-                            state_partitions: int | None = None):
-    """M1: the latest row per shipment is upserted per micro-batch; the live
-    table is that state filtered to shipments without ATA.  A later row with
-    an ATA therefore removes the shipment."""
+                            state_partitions: int | None = None, files_per_batch: int = 2):
+    """M1: shipments are left-joined with the ports in the stream and logged per
+    micro-batch; the live table is the latest row per shipment without ATA.  A later row
+    with an ATA therefore removes the shipment."""
     from ..sources import schemas
     log = ChangelogTable(spark, state_path)
-    stg = staging.stg_shipments(file_stream(spark, src, schemas.RAW_SHIPMENTS, 2))
-    q = _run(stg.writeStream.foreachBatch(log.write_batch), checkpoint, trigger, "dt_active_shipments",
-             spark, state_partitions)
+    stg = staging.stg_shipments(file_stream(spark, src, schemas.RAW_SHIPMENTS, files_per_batch))
+    q = _run(live.with_destination(stg, dim_port_b).writeStream.foreachBatch(log.write_batch), checkpoint, trigger,
+             "dt_active_shipments", spark, state_partitions)
+    return q, (lambda: live.in_transit(latest_shipments(spark, state_path), as_of))
+
+
+def latest_shipments(spark: SparkSession, state_path: str) -> DataFrame:
+    """The latest row of every shipment that ``stream_active_shipments`` has logged, arrived
+    ones included."""
+    return ChangelogTable(spark, state_path).read_latest(["shipment_id"], ["_loaded_at"])
+
+
+WINDOW_PANES, PANE_MINUTES = 96, 15     # 24 hours that slide by 15 minutes
+PANE_KEYS = ["port_code", "pane"]
+PANE_SUMS = ["vessels_in_port", "wait_sum", "wait_n", "congested_vessels", "late_calls"]
 
-    def result() -> DataFrame:
-        latest = log.read_latest(["shipment_id"], ["_loaded_at"])
-        return live.active_shipments(latest, dim_port_b, as_of, keep_latest=False)
-    return q, result
+
+def pane_log(spark: SparkSession, state_path: str) -> PaneLog:
+    """Sums per port and pane of ``stream_port_congestion``; all ports, known or not."""
+    return PaneLog(spark, state_path, PANE_KEYS, PANE_SUMS)
 
 
 def stream_port_congestion(spark: SparkSession, src: str, state_path: str, checkpoint: str,
                            dim_port_b: DataFrame, trigger: dict | None = None,
-                           window: str = "24 hours", slide: str = "15 minutes",
-                           watermark: str = "24 hours", state_partitions: int | None = None):
-    """M2: rolling 24 h window per port, sliding every 15 minutes; each
-    micro-batch upserts the windows it changed (update mode)."""
+                           state_partitions: int | None = None, files_per_batch: int = 2):
+    """M2: rolling 24 h window per port, sliding every 15 minutes, from 15-minute panes.
+    A call is late when it arrived a whole window
+    before the newest call of the earlier micro-batches."""
     from ..sources import schemas
-    calls = staging.stg_vessel_calls(file_stream(spark, src, schemas.RAW_VESSEL_CALLS, 2))
-    p = dim_port_b.select("port_code", "port_name", "lat", "lon")
-    j = calls.join(p, "port_code")          # stream-static join, small side broadcast
-    cong = F.sum(F.when(d.is_congested("anchorage_wait_h"), 1).otherwise(0)).cast("long")
-    # event-time operators need a zoned timestamp: the wall-clock time is
-    # converted in the session zone and converted back on output.
-    j = j.withColumn("event_ts", F.col("arrival_ts").cast("timestamp"))
-    agg = (j.withWatermark("event_ts", watermark)
-           .groupBy(F.window("event_ts", window, slide).alias("w"), "port_code", "port_name", "lat", "lon")
-           .agg(F.count(F.lit(1)).alias("vessels_in_port"),
-                F.sum("anchorage_wait_h").cast("long").alias("wait_sum"),
-                F.count("anchorage_wait_h").alias("wait_n"), cong.alias("congested_vessels"))
-           .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                   F.col("w.end").cast("timestamp_ntz").alias("window_end"),
-                   "port_code", "port_name", "lat", "lon", "vessels_in_port", "wait_sum", "wait_n",
-                   "congested_vessels"))
-    log = ChangelogTable(spark, state_path)
-    q = _run(agg.writeStream.outputMode("update").foreachBatch(log.write_batch), checkpoint, trigger,
-             "dt_port_congestion", spark, state_partitions)
+    log = pane_log(spark, state_path)
+    calls = staging.stg_vessel_calls(file_stream(spark, src, schemas.RAW_VESSEL_CALLS, files_per_batch))
 
-    def result() -> DataFrame:
-        t = log.read_latest(["port_code", "window_end"])
-        return t.select("window_start", "window_end", "port_code", "port_name", "lat", "lon",
-                        "vessels_in_port",
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        pane = pane_of(F.col("arrival_ts"), PANE_MINUTES)
+        newest = log.newest("pane", batch_id)
+        late = F.lit(False) if newest is None else F.col("pane") <= newest - WINDOW_PANES
+        wait = F.col("anchorage_wait_h")
+        panes = batch.withColumn("pane", pane).groupBy(*PANE_KEYS).agg(
+            F.count(F.lit(1)).alias("vessels_in_port"), F.coalesce(F.sum(wait), F.lit(0)).cast("long").alias("wait_sum"),
+            F.count(wait).alias("wait_n"), F.count(F.when(d.is_congested("anchorage_wait_h"), 1)).alias("congested_vessels"))
+        log.write_batch(panes.withColumn("late_calls", F.when(late, F.col("vessels_in_port")).otherwise(0).cast("long")), batch_id)
+
+    q = _run(calls.writeStream.foreachBatch(sink), checkpoint, trigger, "dt_port_congestion", spark, state_partitions)
+
+    def windows() -> DataFrame:
+        known = log.read_sums().join(dim_port_b.select("port_code"), "port_code", "left_semi")
+        t = sliding_sums(known, ["port_code"], PANE_SUMS[:-1], WINDOW_PANES)
+        t = t.join(dim_port_b.select("port_code", "port_name", "lat", "lon"), "port_code")
+        return t.select(pane_start(F.col("window"), PANE_MINUTES).alias("window_start"),
+                        pane_start(F.col("window") + WINDOW_PANES, PANE_MINUTES).alias("window_end"),
+                        "port_code", "port_name", "lat", "lon", "vessels_in_port",
                         rnd(F.col("wait_sum") / F.nullif(F.col("wait_n"), F.lit(0)), 1).alias("avg_wait_hours"),
                         "congested_vessels",
                         pct_of(F.col("congested_vessels"), F.col("vessels_in_port")).alias("congestion_pct")) \
             .withColumn("congestion_level", d.congestion_level(F.col("congestion_pct")))
-    return q, result
+    return q, windows
 
 
 def stream_fact_upsert(spark: SparkSession, src: str, state_path: str, checkpoint: str, wh,
                        trigger: dict | None = None, state_partitions: int | None = None):
-    """M4: ``fct_shipment_events`` maintained per micro-batch (upsert by
-    shipment_id, latest ``_loaded_at`` wins); equals the batch model."""
+    """M4: ``fct_shipment_events`` maintained per micro-batch (upsert by shipment_id,
+    latest ``_loaded_at`` wins); equals the batch model.  Shipment and carrier keys come
+    from the micro-batch's own rows: ids first seen by the stream have theirs."""
     from ..sources import schemas
     log = ChangelogTable(spark, state_path)
     raw = file_stream(spark, src, schemas.RAW_SHIPMENTS, 2)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        rows = facts.fct_shipment_events(staging.stg_shipments(batch), wh.dim_shipment, wh.dim_date,
-                                         wh.dim_port_b, wh.dim_carrier_b)
+        rows = facts.fct_shipment_events(staging.stg_shipments(batch), None, wh.dim_date, wh.dim_port_b, None)
         log.write_batch(rows, batch_id)
 
     q = _run(raw.writeStream.foreachBatch(sink), checkpoint, trigger, "fct_shipment_events_stream",
@@ -166,24 +180,3 @@ def stream_dedup(spark: SparkSession, src: str, out_path: str, checkpoint: str,
     q = _run(dedup.writeStream.format("parquet").option("path", out_path).outputMode("append"),
              checkpoint, trigger, "raw_shipments_dedup", spark, state_partitions)
     return q, (lambda: spark.read.parquet(out_path))
-
-
-def progress_rows(spark: SparkSession, queries, target_lag_min: dict[str, float],
-                  now: dt.datetime | None = None) -> DataFrame:
-    """L3 re-aimed: minutes since each stream's last completed micro-batch vs.
-    3 x its target lag (from the queries' own progress reports)."""
-    now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    rows = []
-    for q in queries:
-        prog = q.recentProgress
-        last = max((p["timestamp"] for p in prog), default=None)
-        n_in = sum(int(p.get("numInputRows", 0)) for p in prog)
-        rows.append((q.name, len(prog), n_in, last))
-    df = spark.createDataFrame(rows, "query_name string, batches long, input_rows long, last_progress string")
-    last_ts = F.to_timestamp_ntz(F.regexp_replace(F.col("last_progress"), "Z$", ""))
-    mins = F.timestamp_diff("MINUTE", last_ts, F.lit(now.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz"))
-    lag = F.element_at(F.create_map(*[x for k, v in target_lag_min.items() for x in (F.lit(k), F.lit(v))]),
-                       F.col("query_name"))
-    return df.select("query_name", "batches", "input_rows", last_ts.alias("last_refresh"),
-                     mins.alias("minutes_since_refresh"), lag.alias("target_lag_minutes"),
-                     F.when(mins > lag * 3, "LAGGING").otherwise("OK").alias("lag_status"))
