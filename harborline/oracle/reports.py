@@ -472,3 +472,22 @@ from (select 'dt_active_shipments' query_name, cast(5 as double) target_lag_minu
         (select count(*) from raw_shipments) input_rows
       union all
       select 'dt_port_congestion', 15, (select count(*) from raw_vessel_calls)) t""")
+
+# ------------------------------------------------------------ the run's tests
+
+
+def _tests(name: str, test: str, severity: str = "'error'", model: str = "model", column: str = "column_name",
+           failing: str = "failing_rows") -> str:
+    return (f"select '{test}' test, {model} model, {column} column_name, cast({failing} as bigint) failing_rows, "
+            f"{severity} severity from ({RAW[name]}) t")
+
+
+add("data_tests", "\nunion all\n".join([
+    _tests("dq_not_null", "not_null"), _tests("dq_unique", "unique"), _tests("dq_accepted_values", "accepted_values"),
+    _tests("dq_expression", "expression_is_true"),
+    "select 'singular', 'fct_port_dwell', 'dwell_hours', count(*), 'error' from fct_port_dwell where dwell_hours < 0",
+    _tests("dq_grain", "grain", column="grain", failing="duplicate_keys"),
+    _tests("source_freshness", "freshness", "case freshness_status when 'ERROR' then 'error' else 'warn' end",
+           "source_table", "'_loaded_at'", "freshness_status <> 'OK'"),
+    _tests("outliers_iqr", "outliers", "'warn'", "split_part(column_check, '.', 1)", "split_part(column_check, '.', 2)",
+           "outlier_count")]))

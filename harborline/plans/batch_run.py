@@ -10,27 +10,28 @@ how each result is stored:
 * dimensions and plain marts are fully replaced tables (A12);
 * facts are partitioned by month (departure, arrival, ETA) and upserted past
   their watermark by dynamic partition overwrite, touching only the months a
-  delta reaches (A13); the two incremental marts upsert by their date / week
-  key; ``full_refresh=True`` rebuilds (A14);
+  delta reaches (A13); the two incremental marts follow the rows that changed in
+  the facts, by (port, day) and (port, week) key; ``full_refresh=True`` rebuilds (A14);
 * every output goes to ``<out_root>/<layer>/<table>`` (A15, no prefixing);
 * ``port_catchment_area`` is stored range-partitioned and sorted by distance
   (H4: order inside a table is a storage choice, not a contract).
 
 Running it twice on the same input leaves every table unchanged (the
-watermarks pass nothing the second time).
+watermarks pass nothing the second time).  Snapshots before the last two are
+deleted at the end.  All data tests run on the stored tables; failing ones end the
+command with exit code 1.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.incremental import (PartitionedTable, VersionedTable, run_incremental_mart,
-                                     run_incremental_partitioned)
-from . import facts, marts, quality, staging
+from ..operators.incremental import PartitionedTable, VersionedTable, run_incremental_partitioned
+from . import facts, mart_runs, marts, quality, staging
+from .mart_runs import ARRIVAL_MONTH, DEPARTURE_MONTH, month_of
 from .warehouse import DEFAULT_AS_OF, Warehouse
 
 LAYER_OF = {"ph_ports": "gold", "ph_tariff_rates": "gold", "usd_php_rates": "gold",
@@ -44,10 +45,6 @@ def layer_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{LAYER_OF.get(table, 'gold')}/{table}"
 
 
-def _month(col: str):
-    return (F.year(col) * 100 + F.month(col)).cast("int")
-
-
 def run(spark: SparkSession, sf_dir: str, out_root: str, as_of: dt.datetime = DEFAULT_AS_OF,
         full_refresh: bool = False, fail_on_test_errors: bool = False) -> dict:
     wh = Warehouse(spark, sf_dir, as_of=as_of)
@@ -70,20 +67,19 @@ def run(spark: SparkSession, sf_dir: str, out_root: str, as_of: dt.datetime = DE
         put(name, getattr(wh, name))
 
     # incremental facts
-    ev = PartitionedTable(spark, layer_path(out_root, "fct_shipment_events"), "etd_month")
+    ev = PartitionedTable(spark, layer_path(out_root, "fct_shipment_events"), DEPARTURE_MONTH)
 
     def build_events(raw: DataFrame) -> DataFrame:
-        f = facts.fct_shipment_events(staging.stg_shipments(raw), wh.dim_shipment, wh.dim_date,
-                                      wh.dim_port_b, wh.dim_carrier_b)
-        return f.withColumn("etd_month", _month("etd"))
+        f = facts.fct_shipment_events(staging.stg_shipments(raw), None, wh.dim_date, wh.dim_port_b, None)
+        return f.withColumn(DEPARTURE_MONTH, month_of("etd"))
     report["tables"]["fct_shipment_events"] = run_incremental_partitioned(
         ev, build_events, wh.raw_shipments, ["shipment_id"], full_refresh=full_refresh)
 
-    dwell = PartitionedTable(spark, layer_path(out_root, "fct_port_dwell"), "arrival_month")
+    dwell = PartitionedTable(spark, layer_path(out_root, "fct_port_dwell"), ARRIVAL_MONTH)
 
     def build_dwell(raw: DataFrame) -> DataFrame:
         f = facts.fct_port_dwell(staging.stg_vessel_calls(raw), wh.dim_vessel_b, wh.dim_date, wh.dim_port_b)
-        return f.withColumn("arrival_month", _month("arrival_date_key"))
+        return f.withColumn(ARRIVAL_MONTH, month_of("arrival_date_key"))
     report["tables"]["fct_port_dwell"] = run_incremental_partitioned(
         dwell, build_dwell, wh.raw_vessel_calls, ["dwell_key"], full_refresh=full_refresh)
 
@@ -92,13 +88,13 @@ def run(spark: SparkSession, sf_dir: str, out_root: str, as_of: dt.datetime = DE
     def build_landed(raw: DataFrame) -> DataFrame:
         f = facts.fct_landed_cost(staging.stg_shipments(raw), wh.tariffs_b, wh.usd_php_rates,
                                   as_of.date(), wh.fx_mode)
-        return f.withColumn("eta_month", _month("eta_date_key"))
+        return f.withColumn("eta_month", month_of("eta_date_key"))
     report["tables"]["fct_landed_cost"] = run_incremental_partitioned(
         landed, build_landed, wh.raw_shipments, ["shipment_id"], full_refresh=full_refresh)
 
     # marts read the stored facts (as in the reference)
-    fse = ev.read().drop("etd_month")
-    fpd = dwell.read().drop("arrival_month")
+    fse = ev.read().drop(DEPARTURE_MONTH)
+    fpd = dwell.read().drop(ARRIVAL_MONTH)
     flc = landed.read().drop("eta_month")
     for name in FULL_MARTS:
         if name == "carrier_performance":
@@ -112,33 +108,30 @@ def run(spark: SparkSession, sf_dir: str, out_root: str, as_of: dt.datetime = DE
                   .repartitionByRange("distance_km").sortWithinPartitions("distance_km"))
         put(name, df)
 
-    # incremental marts: date / week watermark on the mart's own key
-    report["tables"]["port_throughput_daily"] = run_incremental_mart(
-        VersionedTable(spark, layer_path(out_root, "port_throughput_daily")),
-        lambda after, cur: marts.port_throughput_daily(fpd, wh.dim_port_b, wh.dim_date_b, after, cur),
-        "report_date", ["port_code", "report_date"], full_refresh)
-    report["tables"]["congestion_delay_impact"] = run_incremental_mart(
-        VersionedTable(spark, layer_path(out_root, "congestion_delay_impact")),
-        lambda after, cur: marts.congestion_delay_impact(fpd, fse, wh.dim_port_b, after_week=after),
-        "week_start_date", ["port_code", "week_start_date"], full_refresh)
-
-    # data tests (dbt test): declared tests over the stored tables
+    # incremental marts: the keys of the fact rows that changed
+    throughput = VersionedTable(spark, layer_path(out_root, "port_throughput_daily"))
+    report["tables"]["port_throughput_daily"] = mart_runs.throughput_run(
+        throughput, dwell, wh.dim_port_b, wh.dim_date_b, full_refresh)
+    congestion = VersionedTable(spark, layer_path(out_root, "congestion_delay_impact"))
+    report["tables"]["congestion_delay_impact"] = mart_runs.congestion_run(
+        congestion, dwell, ev, wh.dim_port_b, full_refresh)
+
+    # data tests over the stored tables
     stored = {n: spark.read.parquet(layer_path(out_root, n)) for n in DIMENSIONS + FULL_MARTS}
     stored.update({"fct_shipment_events": fse, "fct_port_dwell": fpd, "fct_landed_cost": flc,
-                   "port_throughput_daily": VersionedTable(spark, layer_path(out_root, "port_throughput_daily")).read(),
-                   "congestion_delay_impact": VersionedTable(spark, layer_path(out_root, "congestion_delay_impact")).read(),
-                   "raw_shipments": wh.raw_shipments, "raw_customs_entries": wh.raw_customs_entries,
+                   "port_throughput_daily": throughput.read(), "congestion_delay_impact": congestion.read(),
                    "stg_vessel_calls": wh.stg_vessel_calls, "stg_shipments": wh.stg_shipments,
                    "stg_customs_entries": wh.stg_customs_entries})
-    tests = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
-        quality.dq_not_null(stored).withColumn("test", F.lit("not_null")),
-        quality.dq_unique(stored).withColumn("test", F.lit("unique")),
-        quality.dq_accepted_values(stored).withColumn("test", F.lit("accepted_values")),
-        quality.dq_expression(stored).withColumn("test", F.lit("expression_is_true"))])
-    failing = [r.asDict() for r in tests.filter(F.col("failing_rows") > 0).collect()]  # one row per test
-    report["failing_tests"] = failing
-    if fail_on_test_errors and failing:
-        raise RuntimeError(f"{len(failing)} data tests failed")
+    sources = {"raw_vessel_calls": wh.raw_vessel_calls, "raw_shipments": wh.raw_shipments,
+               "raw_customs_entries": wh.raw_customs_entries}
+    tests = quality.data_tests({**stored, **sources}, sources, as_of)
+    found = [r.asDict() for r in tests.filter(F.col("failing_rows") > 0).collect()]  # one row per test
+    report["failing_tests"] = [t for t in found if t["severity"] == "error"]
+    report["warnings"] = [t for t in found if t["severity"] == "warn"]
+    for t in (ev, dwell, landed, throughput, congestion):
+        t.vacuum()
+    if fail_on_test_errors and report["failing_tests"]:
+        raise RuntimeError(f"{len(report['failing_tests'])} data tests failed")
     return report
 
 
@@ -146,19 +139,25 @@ __all__ = ["run", "layer_path"]
 
 
 def main(argv: list[str]) -> int:
-    """``python -m harborline.plans.batch_run SF_DIR OUT_ROOT [--full-refresh]``"""
+    """``python -m harborline.plans.batch_run SF_DIR OUT_ROOT [--as-of TIME] [--full-refresh]``
+
+    TIME (ISO) is the evaluation time, by default the wall clock in UTC.  Exit code 1
+    when a data test fails, after all tables are written."""
+    import argparse
     import json
 
     from ..session import build_session
-    if len(argv) < 2:
-        print(main.__doc__)
-        return 2
-    spark = build_session(app="harborline-batch-run")
-    report = run(spark, argv[0], argv[1], full_refresh="--full-refresh" in argv)
-    print(json.dumps({"tables": {k: (v if isinstance(v, (int, type(None))) else len(v))
-                                 for k, v in report["tables"].items()},
-                      "failing_tests": len(report["failing_tests"])}))
-    return 0
+    parser = argparse.ArgumentParser(description=main.__doc__)
+    parser.add_argument("sf_dir")
+    parser.add_argument("out_root")
+    parser.add_argument("--as-of", type=dt.datetime.fromisoformat)
+    parser.add_argument("--full-refresh", action="store_true")
+    args = parser.parse_args(argv)
+    as_of = args.as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+    report = run(build_session(app="harborline-batch-run"), args.sf_dir, args.out_root, as_of, args.full_refresh)
+    print(json.dumps({"as_of": as_of.isoformat(), "failing_tests": report["failing_tests"], "warnings": report["warnings"],
+                      "tables": {k: v if isinstance(v, int) else len(v or []) for k, v in report["tables"].items()}}))
+    return 1 if report["failing_tests"] else 0
 
 
 if __name__ == "__main__":

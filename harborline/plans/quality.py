@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import lit_ntz
 from ..operators.checks import accepted_values_violations, unique_violations
+from ..operators.histogram import histogram_aggregate, nonnull_count
 
 # FIXED VALUES — declared column tests per model.
 NOT_NULL = {
@@ -189,30 +190,50 @@ def source_freshness(tables: dict[str, DataFrame], as_of, warn_h: float = 8, err
 def outliers_iqr(columns: dict[str, tuple[DataFrame, str]], k: float = 1.5) -> DataFrame:
     """K8: Tukey fences from exact quartiles; count of values outside.
 
-    The quartiles come from one global exact-percentile aggregate whose
-    buffer is a value -> count map (bounded by distinct values); the single
-    result row is read back as literals and applied as a filter."""
-    out = []
+    All columns are unpivoted to (label, value) and counted per value, so the quartiles
+    and the outliers both come from a histogram that is built map-side; no task sees
+    more than one row per distinct value of a column."""
+    rows = None
     for label, (df, c) in columns.items():
-        x = F.col(c).cast("double")
-        q = df.agg(F.percentile(x, F.lit(0.25)).alias("q1"),
-                   F.percentile(x, F.lit(0.75)).alias("q3")).first()
-        q1, q3 = q["q1"], q["q3"]
-        if q1 is None:
-            lo = hi = None
-        else:
-            lo, hi = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
-        outside = (x < F.lit(lo)) | (x > F.lit(hi))
-        out.append(df.agg(F.sum(F.when(outside, 1).otherwise(0)).cast("long").alias("outlier_count"),
-                          F.count(x).alias("checked_rows"))
-                   .select(F.lit(label).alias("column_check"),
-                           F.lit(q1).cast("double").alias("q1"), F.lit(q3).cast("double").alias("q3"),
-                           F.lit(lo).cast("double").alias("lower_fence"),
-                           F.lit(hi).cast("double").alias("upper_fence"),
-                           F.coalesce("outlier_count", F.lit(0).cast("long")).alias("outlier_count"),
-                           "checked_rows"))
-    return _union(out)
-
+        part = df.select(F.lit(label).alias("column_check"), F.col(c).cast("double").alias("x"))
+        rows = part if rows is None else rows.unionByName(part)
+    # a label without rows still has its line
+    labels = rows.sparkSession.createDataFrame([(label, None) for label in columns], "column_check string, x double")
+    rows = rows.unionByName(labels)
+    fences = histogram_aggregate(rows, ["column_check"], F.col("x"), {"q1": 0.25, "q3": 0.75}, {},
+                                 {"checked_rows": F.sum(nonnull_count()).cast("long")})
+    spread = F.lit(k) * (F.col("q3") - F.col("q1"))
+    fences = fences.withColumns({"lower_fence": F.col("q1") - spread, "upper_fence": F.col("q3") + spread})
+    outside = (F.col("x") < F.col("lower_fence")) | (F.col("x") > F.col("upper_fence"))
+    counted = rows.groupBy("column_check", "x").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(fences), "column_check")
+    return (counted.groupBy("column_check", "q1", "q3", "lower_fence", "upper_fence", "checked_rows")
+            .agg(F.coalesce(F.sum(F.when(outside, F.col("n"))), F.lit(0)).cast("long").alias("outlier_count"))
+            .select("column_check", "q1", "q3", "lower_fence", "upper_fence", "outlier_count", "checked_rows"))
+
+
+def data_tests(models: dict[str, DataFrame], sources: dict[str, DataFrame], as_of) -> DataFrame:
+    """All data tests of a run, one row each: test, model, column_name, failing_rows and
+    severity.  Freshness warns before it fails; outliers only warn."""
+    def named(df: DataFrame, test: str, severity="error", **columns) -> DataFrame:
+        given = {"test": F.lit(test), "severity": severity if isinstance(severity, F.Column) else F.lit(severity), **columns}
+        return df.withColumns(given).select("test", "model", "column_name", F.col("failing_rows").cast("long"), "severity")
+    dwell = dq_singular_dwell(models["fct_port_dwell"]).agg(F.count(F.lit(1)).alias("failing_rows"))
+    fresh = source_freshness(sources, as_of)
+    stale = F.col("freshness_status") != "OK"
+    fenced = outliers_iqr({f"{m}.{c}": (models[m], c) for m, c in OUTLIER_COLUMNS})
+    return _union([
+        named(dq_not_null(models), "not_null"), named(dq_unique(models), "unique"),
+        named(dq_accepted_values(models), "accepted_values"),
+        named(dq_expression(models), "expression_is_true"),
+        named(dwell, "singular", model=F.lit("fct_port_dwell"), column_name=F.lit("dwell_hours")),
+        named(dq_grain(models).withColumn("failing_rows", F.col("duplicate_keys")), "grain", column_name=F.col("grain")),
+        named(fresh, "freshness", F.when(F.col("freshness_status") == "ERROR", "error").otherwise("warn"),
+              model=F.col("source_table"), column_name=F.lit("_loaded_at"), failing_rows=stale.cast("long")),
+        named(fenced, "outliers", "warn", model=F.split_part("column_check", F.lit("."), F.lit(1)),
+              column_name=F.split_part("column_check", F.lit("."), F.lit(2)), failing_rows=F.col("outlier_count"))])
+
+
+OUTLIER_COLUMNS = [("fct_port_dwell", "dwell_hours"), ("fct_shipment_events", "delay_hours")]
 
 __all__ = ["dq_not_null", "dq_unique", "dq_accepted_values", "dq_expression", "dq_singular_dwell",
-           "dq_grain", "source_freshness", "outliers_iqr"]
+           "dq_grain", "source_freshness", "outliers_iqr", "data_tests"]

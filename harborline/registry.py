@@ -98,6 +98,8 @@ def _register_reports() -> None:
         "outliers_iqr": lambda wh: quality.outliers_iqr(
             {"fct_port_dwell.dwell_hours": (wh.fct_port_dwell, "dwell_hours"),
              "fct_shipment_events.delay_hours": (wh.fct_shipment_events, "delay_hours")}),
+        "data_tests": lambda wh: quality.data_tests(
+            models(wh), {n: getattr(wh, n) for n in ("raw_vessel_calls", "raw_shipments", "raw_customs_entries")}, wh.as_of),
         "bronze_freshness": monitoring.bronze_freshness,
         "fact_freshness": monitoring.fact_freshness,
         "row_counts": monitoring.row_counts,
