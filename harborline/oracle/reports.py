@@ -491,3 +491,29 @@ add("data_tests", "\nunion all\n".join([
            "source_table", "'_loaded_at'", "freshness_status <> 'OK'"),
     _tests("outliers_iqr", "outliers", "'warn'", "split_part(column_check, '.', 1)", "split_part(column_check, '.', 2)",
            "outlier_count")]))
+
+# ------------------------------------------------------------ CSV loads
+cte("planted_customs", """
+select *, line_no % 500 = 1 bad_int, line_no % 777 = 2 extra,
+  row_number() over (partition by file order by order_no, entry_no) + 1 line_number
+from (select *, order_no + entry_no line_no, 'part-0000' || cast(order_no % 4 as varchar) file
+      from (select *, cast(split_part(substr(entry_number, 3), '-', 1) as bigint) order_no,
+              cast(split_part(entry_number, '-', 2) as bigint) entry_no from raw_customs_entries) n) p""")
+
+add("csv_rejects", """
+select * exclude (order_no, entry_no, line_no, file, bad_int, extra, line_number)
+from planted_customs where not bad_int and not extra""")
+
+_ERROR = "case when extra then 'wrong number of fields' else 'processing_days: ''x7'' is no int' end"
+add("csv_rejected_lines", f"""
+select file file_name, line_number, {_ERROR} error from planted_customs where bad_int or extra""")
+
+add("load_audit", f"""
+select 'raw_customs_entries' table_name, file file_name, count(*) row_parsed,
+  count(*) filter (where not bad_int and not extra) row_count,
+  arg_min({_ERROR}, line_number) filter (where bad_int or extra) first_error_message,
+  min(line_number) filter (where bad_int or extra) first_error_line_number,
+  case when bool_or(bad_int or extra) then 'PARTIALLY_LOADED' else 'LOADED' end status, {AS_OF_TS} last_load_time
+from planted_customs group by file""")
+
+add("csv_header_load", f"select * replace ({AS_OF_TS} as _loaded_at) from raw_shipments")

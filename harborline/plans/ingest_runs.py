@@ -1,4 +1,4 @@
-"""Load-path runs as queries (survey A1, A3, A5, A8, A9, A10, L25).
+"""Load-path runs as queries (survey A1-A5, A8-A10, L25).
 
 The CSV inputs are written by Spark from the bound tables into a fresh
 folder under the shared checkpoint location, with the dialect the loader
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..session import shared_dir
-from ..sources import bronze_csv, fx_feed, schemas
+from ..sources import bronze_csv, csv_load, fx_feed, schemas
 
 TOKENS = ["NULL", "null", ""]
 
@@ -33,29 +33,37 @@ def _text(c: str, dtype) -> F.Column:
 
 
 def write_csv_lines(df: DataFrame, schema: StructType, path: str, n_files: int = 3,
-                    bad_int_col: str | None = None, bad_every: int = 0, extra_every: int = 0) -> None:
+                    bad_int: tuple[str, F.Column] | None = None, extra: F.Column | None = None,
+                    file_id: F.Column | None = None, order: list | None = None,
+                    header: list[str] | None = None) -> None:
     """Write ``df`` as CSV text files with NULL tokens, optional quoting and,
-    optionally, planted bad rows (``x7`` in an int column, one extra field)."""
-    names = [f.name for f in schema.fields]
+    optionally, planted bad rows: ``x7`` in an integer column (``bad_int``: its name and
+    the condition), one extra field (``extra``).  ``file_id`` and ``order`` deal the rows to
+    files and place them; ``header`` names the columns of the file, in its order."""
+    fields_of = {f.name: f for f in schema.fields}
+    names = header or list(fields_of)
     h = F.xxhash64(*[F.col(c) for c in names])
     fields = []
-    for f in schema.fields:
+    for name in names:
+        f = fields_of[name]
         txt = _text(f.name, f.dataType)
-        if bad_every and f.name == bad_int_col:
-            txt = F.when(F.pmod(h, F.lit(bad_every)) == 1, F.lit("x7")).otherwise(txt)
+        if bad_int and f.name == bad_int[0]:
+            txt = F.when(bad_int[1], F.lit("x7")).otherwise(txt)
         token = F.element_at(F.array(*[F.lit(t) for t in TOKENS]),
                              (F.pmod(h + F.lit(len(f.name)), F.lit(3)) + 1).cast("int"))
         quoted = F.concat(F.lit('"'), F.regexp_replace(txt, '"', '""'), F.lit('"'))
         txt = F.when(txt.isNull(), token).when(F.pmod(h, F.lit(2)) == 0, quoted).otherwise(txt)
         fields.append(txt)
     line = F.concat_ws(",", *fields)
-    if extra_every:
-        line = F.when(F.pmod(h, F.lit(extra_every)) == 2, F.concat(line, F.lit(",extra"))).otherwise(line)
-    body = df.select(F.pmod(h, F.lit(n_files)).alias("file_id"), h.alias("ord"), line.alias("value"))
-    header = df.sparkSession.range(n_files).select(
-        F.col("id").alias("file_id"), F.lit(None).cast("long").alias("ord"),
+    if extra is not None:
+        line = F.when(extra, F.concat(line, F.lit(",extra"))).otherwise(line)
+    place = F.struct(*(order or [h]))
+    body = df.select((F.pmod(h, F.lit(n_files)) if file_id is None else file_id).cast("long").alias("file_id"),
+                     place.alias("ord"), line.alias("value"))
+    head = df.sparkSession.range(n_files).select(
+        F.col("id").alias("file_id"), F.lit(None).cast(body.schema["ord"].dataType).alias("ord"),
         F.lit(",".join(names)).alias("value"))
-    (body.unionByName(header).repartitionById(n_files, F.col("file_id").cast("int"))
+    (body.unionByName(head).repartitionById(n_files, F.col("file_id").cast("int"))
      .sortWithinPartitions(F.col("ord").asc_nulls_first())
      .select("value").write.mode("overwrite").text(path))
 
@@ -67,23 +75,50 @@ def csv_null_tokens(wh) -> DataFrame:
     return bronze_csv.load_bronze_csv(wh.spark, path, schemas.RAW_VESSEL_CALLS)
 
 
+N_FILES = 4
+
+
+def _customs_load(wh) -> DataFrame:
+    """The customs feed as CSV with errors planted by key arithmetic, and its load."""
+    spark, path = wh.spark, _scratch(wh.spark, "raw_customs_csv")
+    order = F.split_part(F.substring("entry_number", 3, 100), F.lit("-"), F.lit(1)).cast("long")
+    line = F.split_part("entry_number", F.lit("-"), F.lit(2)).cast("long")
+    write_csv_lines(wh.raw_customs_entries, schemas.RAW_CUSTOMS_ENTRIES, path, n_files=N_FILES,
+                    bad_int=("processing_days", (order + line) % 500 == 1), extra=(order + line) % 777 == 2,
+                    file_id=order % N_FILES, order=[order, line])
+    return csv_load.load_files(spark, path, schemas.RAW_CUSTOMS_ENTRIES, _scratch(spark, "customs_staged"), wh.as_of)
+
+
 def load_audit(wh) -> DataFrame:
-    """Customs CSV with planted type and shape errors -> audit."""
-    path = _scratch(wh.spark, "raw_customs_csv")
-    write_csv_lines(wh.raw_customs_entries, schemas.RAW_CUSTOMS_ENTRIES, path, n_files=4,
-                    bad_int_col="processing_days", bad_every=500, extra_every=777)
-    parsed = bronze_csv.read_bronze_csv(wh.spark, path, schemas.RAW_CUSTOMS_ENTRIES)
-    return bronze_csv.load_audit(parsed, "raw_customs_entries")
+    """Customs CSV with planted type and shape errors -> audit.  Files go by their
+    part number; the rest of their names changes with every run."""
+    audit = csv_load.audit(_customs_load(wh), "raw_customs_entries", wh.as_of)
+    return audit.withColumn("file_name", F.substring("file_name", 1, 10))
 
 
 def csv_rejects(wh) -> DataFrame:
     """A3: the loaded (good) customs rows of the same planted-error files."""
-    path = _scratch(wh.spark, "raw_customs_csv_good")
-    write_csv_lines(wh.raw_customs_entries, schemas.RAW_CUSTOMS_ENTRIES, path, n_files=4,
-                    bad_int_col="processing_days", bad_every=500, extra_every=777)
-    good, _ = bronze_csv.split_loaded(bronze_csv.read_bronze_csv(wh.spark, path, schemas.RAW_CUSTOMS_ENTRIES),
-                                      schemas.RAW_CUSTOMS_ENTRIES)
-    return good
+    return csv_load.loaded(_customs_load(wh))
+
+
+def csv_rejected_lines(wh) -> DataFrame:
+    """A3: the rejected lines of the same files, with their numbers."""
+    return (csv_load.rejected(_customs_load(wh))
+            .select(F.substring("file_name", 1, 10).alias("file_name"), "line_number", "error"))
+
+
+def csv_header_load(wh) -> DataFrame:
+    """A2/A4: files with headers of their own, none with a load time: some with a column that
+    the table does not have, some with their columns the other way round."""
+    spark, path = wh.spark, _scratch(wh.spark, "shipments_by_header")
+    names = [f.name for f in schemas.RAW_SHIPMENTS.fields if f.name != csv_load.LOAD_TIME]
+    delayed = schemas.with_column(schemas.RAW_SHIPMENTS, "delay_hours", "int")
+    rows = wh.raw_shipments.withColumn("delay_hours", F.lit(7))
+    even = F.length("shipment_id") % 2 == 0
+    write_csv_lines(rows.filter(even), delayed, f"{path}/in_order", n_files=2, header=[*names[:9], "delay_hours", *names[9:]])
+    write_csv_lines(rows.filter(~even), delayed, f"{path}/reversed", n_files=2, header=names[::-1])
+    staged = csv_load.load_files(spark, f"{path}/*", schemas.RAW_SHIPMENTS, _scratch(spark, "by_header_staged"), wh.as_of)
+    return csv_load.loaded(staged)
 
 
 def ingest_idempotent(wh) -> DataFrame:

@@ -157,8 +157,8 @@ def _register_runs() -> None:
     _wh_query("throughput_late_rows", ir.throughput_late_rows, om.model("port_throughput_daily"))
     _wh_query("late_rows_lookback", ir.late_rows_lookback, full_events)
     _wh_query("csv_null_tokens", gr.csv_null_tokens, om_model("raw_vessel_calls"))
-    _wh_query("load_audit", gr.load_audit, None)
-    _wh_query("csv_rejects", gr.csv_rejects, None)
+    for name in ("load_audit", "csv_rejects", "csv_rejected_lines", "csv_header_load"):
+        _wh_query(name, getattr(gr, name), SQL[name])
     _wh_query("ingest_idempotent", gr.ingest_idempotent, om_model("raw_shipments"))
     _wh_query("seed_ports", gr.seed_ports, om_model("ph_ports"))
     _wh_query("fx_feed_clean", gr.fx_feed_clean, SQL["fx_feed_clean"])

@@ -10,18 +10,21 @@
   rows parsed/loaded, the first error and a status per file.
 * ``ingest_files``: idempotent file ingest as a file-source stream with a
   checkpoint and ``availableNow``; files already in the checkpoint are never
-  loaded again (keyed by path).
+  loaded again (keyed by path).  Its batches keep rejected lines and a history
+  (``sources.csv_load``).
 * ``append_bronze``: append-only bronze sink partitioned by load date.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.files import path_exists
-from . import schemas
+from . import csv_load, schemas
 
 NULL_TOKENS = ["NULL", "null", ""]
 CORRUPT = "_corrupt_record"
@@ -107,34 +110,44 @@ def create_table_if_absent(spark: SparkSession, name: str, schema: StructType, l
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet LOCATION '{location}'")
 
 
-def ingest_files(spark: SparkSession, src_dir: str, schema: StructType, target: str,
-                 checkpoint: str) -> int:
-    """A5: load files not loaded before (file-source stream + checkpoint,
-    ``availableNow``).  Each micro-batch lands in its own folder under
-    ``target`` (read them with ``read_ingested``).  Returns the rows added."""
-    stream = (spark.readStream.schema(_text_schema(schema)).option("header", True)
-              .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT).option("nullValue", "\u0000")
-              .csv(src_dir))
-    typed = _typed(stream, schema)
-    good = typed.filter(F.col(CORRUPT).isNull() & ~F.col("_bad_cast")) \
-        .select(*[f.name for f in schema.fields])
+HISTORY = "_load_history"
+
+
+def ingest_files(spark: SparkSession, src_dir: str, schema: StructType, target: str, checkpoint: str,
+                 table_name: str = "", load_time: dt.datetime | None = None,
+                 aliases: dict[str, str] | None = None) -> int:
+    """A5: load files not loaded before (file-source stream + checkpoint, ``availableNow``).
+    Each micro-batch stages all its lines, good and bad, in its own folder under
+    ``target`` and adds its files to the load history; both are overwritten when a batch
+    is replayed.  Returns the rows added."""
     counts = []
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        # one folder per micro-batch, overwritten on replay: exactly once
+        at = load_time or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         out = f"{target}/batch_{batch_id:08d}"
-        batch.write.mode("overwrite").parquet(out)
-        counts.append(batch.sparkSession.read.parquet(out).count())
+        counts.append(csv_load.stage(batch, schema, out, at, aliases))
+        (csv_load.audit(batch.sparkSession.read.parquet(out), table_name, at)
+         .write.mode("overwrite").parquet(f"{target}/{HISTORY}/batch_{batch_id:08d}"))
 
-    q = (good.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+    lines = csv_load.text_lines(spark.readStream.text(src_dir))
+    q = lines.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
-    return int(sum(counts))
+    return sum(counts)
 
 
 def read_ingested(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(f"{target}/batch_*")
+    """The rows of all batches."""
+    return csv_load.loaded(spark.read.parquet(f"{target}/batch_*"))
+
+
+def read_rejected(spark: SparkSession, target: str) -> DataFrame:
+    """The rejected lines of all batches."""
+    return csv_load.rejected(spark.read.parquet(f"{target}/batch_*"))
+
+
+def load_history(spark: SparkSession, target: str) -> DataFrame:
+    """One row per file ever loaded."""
+    return spark.read.parquet(f"{target}/{HISTORY}/batch_*")
 
 
 def seed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

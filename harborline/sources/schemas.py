@@ -21,6 +21,10 @@ def _ddl(text: str) -> StructType:
     return StructType(fields)
 
 
+def with_column(schema: StructType, name: str, type_name: str) -> StructType:
+    return StructType([*schema.fields, StructField(name, _TYPES[type_name])])
+
+
 RAW_VESSEL_CALLS = _ddl(
     "vessel_imo string, port_code string, arrival_ts timestamp_ntz, berth_ts timestamp_ntz, "
     "departure_ts timestamp_ntz, dwell_hours int, anchorage_wait_h int, cargo_type string, "
