@@ -8,7 +8,7 @@ sorts the whole group in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -23,10 +23,10 @@ def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> Dat
         .select(*df.columns)
 
 
-def one_per_key(df: DataFrame, key: str) -> DataFrame:
-    """One row per ``key`` (deterministic: the largest remaining columns).
-
-    Used on the dimension side of a join whose natural key should be unique:
-    a duplicated key then cannot multiply fact rows (a hot duplicated key
-    would otherwise emit all pairs within it)."""
-    return latest_per_key(df, [key], [])
+def latest_rows(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
+    """The same rows as ``latest_per_key``, for wide tables that are stored: a limit of one
+    row per key is applied in every task before the shuffle and again after it, and only
+    ties compare the other columns."""
+    rest = [c for c in df.columns if c not in keys and c not in order_cols]
+    newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in [*order_cols, *rest]])
+    return df.withColumn("__n", F.row_number().over(newest)).filter("__n = 1").drop("__n")

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from ..plans import monitoring as mon
-from ..plans import quality as q
-from .models import AS_OF_DATE, AS_OF_TS, cnt, cte, hb, pct, pctl, rnd, with_ctes
+from . import catalogue as q
+from .models import AS_OF_DATE, AS_OF_TS, cnt, cte, hb, pct, pctl, rnd, share, with_ctes
 
 SQL: dict[str, str] = {}
 RAW: dict[str, str] = {}
@@ -78,7 +77,10 @@ add("rolling_7d_dwell", """
 select port_code, report_date, vessel_calls, avg_dwell_hours, rolling_7d_avg_dwell_hours
 from port_throughput_daily""")
 
-add("weekly_bucket", "select * from weekly_dwell")
+add("weekly_bucket", f"""
+select port_code, port_name, week_start_date, count(*) vessel_calls, round(avg(wait), 1) avg_anchorage_wait_hours,
+  round(avg(dwell), 1) avg_dwell_hours, {share('congested')} congestion_rate_pct, sum(teu)::bigint total_teu_handled
+from port_weeks join dim_port using (port_key) where is_call group by port_code, port_name, week_start_date""")
 
 add("geo_cell_heatmap", f"""
 select f.port_cell_res5 cell_id, count(*) vessel_calls, cast(sum(f.teu_count) as bigint) total_teu,
@@ -163,7 +165,7 @@ group by q1, q3"""
 def _bronze_fresh(name, table):
     h = hb("max(_loaded_at)", AS_OF_TS)
     return f"""select '{name}' table_name, max(_loaded_at) latest_load_ts, {h} hours_since_load,
-  case when {h} > {mon.CRITICAL_H} then 'CRITICAL' when {h} > {mon.STALE_H} then 'STALE' else 'OK' end
+  case when {h} > {q.CRITICAL_HOURS} then 'CRITICAL' when {h} > {q.STALE_HOURS} then 'STALE' else 'OK' end
     freshness_status from {table}"""
 
 
@@ -242,10 +244,10 @@ _RANGE = [("fct_port_dwell: negative dwell_hours", "fct_port_dwell", "dwell_hour
 add("range_checks", "\nunion all\n".join(
     f"select '{n}' check_name, count(*) violation_count from {t} where {p}" for n, t, p in _RANGE))
 
-_ACC = [("stg_vessel_calls: invalid cargo_type", "stg_vessel_calls", "cargo_type", mon.MON_CARGO),
+_ACC = [("stg_vessel_calls: invalid cargo_type", "stg_vessel_calls", "cargo_type", q.MONITORED_CARGO),
         ("stg_shipments: invalid delay_category", "stg_shipments", "delay_category", q.DELAY_CATEGORIES),
-        ("stg_customs_entries: invalid entry_type", "stg_customs_entries", "entry_type", mon.MON_ENTRY_TYPES),
-        ("stg_customs_entries: invalid payment_mode", "stg_customs_entries", "payment_mode", mon.MON_PAYMENT_MODES),
+        ("stg_customs_entries: invalid entry_type", "stg_customs_entries", "entry_type", q.MONITORED_ENTRY_TYPES),
+        ("stg_customs_entries: invalid payment_mode", "stg_customs_entries", "payment_mode", q.MONITORED_PAYMENT_MODES),
         ("congestion_delay_impact: invalid congestion_level", "congestion_delay_impact", "congestion_level",
          q.CONGESTION_LEVELS)]
 add("accepted_value_violations", "\nunion all\n".join(
@@ -394,11 +396,20 @@ join dim_date d on f.eta_date_key = d.date_key group by c.carrier_name, d.year_m
 add("dash_active_by_category", "select delay_category, count(*) active_shipments from active_shipments group by delay_category")
 
 add("dash_cost_by_commodity", """
-select ce.commodity_code, count(*) shipments, cast(sum(lc.total_landed_cost_php) as decimal(38,2)) total_landed_cost_php
-from fct_landed_cost lc
-join (select shipment_id, min(struct_pack(e := entry_number, c := commodity_code)).c commodity_code
-      from dim_customs_entry group by shipment_id) ce on lc.shipment_id = ce.shipment_id
-group by ce.commodity_code""")
+select commodity_code, count(*) shipments, cast(sum(entries) as bigint) customs_entries,
+  cast(sum(down + case when place <= cents - spent then 1 else 0 end) / 100 as decimal(38,2)) total_landed_cost_php
+from (select *, sum(down) over (partition by shipment_id) spent,
+        row_number() over (partition by shipment_id order by rest desc, commodity_code nulls last) place
+      from (select *, cents * own // total down, cents * own % total rest
+            from (select *, sum(own) over (partition by shipment_id) total
+                  from (select c.shipment_id, c.commodity_code, c.entries, l.cents,
+                          case when sum(c.val) over (partition by c.shipment_id) > 0 then c.val else c.entries end own
+                        from (select shipment_id, commodity_code, count(*) entries,
+                                cast(sum(coalesce(declared_value_usd, 0)) * 100 as hugeint) val
+                              from dim_customs_entry group by shipment_id, commodity_code) c
+                        join (select shipment_id, cast(sum(total_landed_cost_php) * 100 as hugeint) cents
+                              from fct_landed_cost group by shipment_id) l on c.shipment_id = l.shipment_id) w) t) d) p
+group by commodity_code""")
 
 add("dash_dwell_by_port", f"""
 select p.port_code, p.port_name, {rnd('avg(f.dwell_hours)', 2)} avg_dwell_hours

@@ -96,13 +96,14 @@ def run(spark: SparkSession, sf_dir: str, out_root: str, as_of: dt.datetime = DE
     fse = ev.read().drop(DEPARTURE_MONTH)
     fpd = dwell.read().drop(ARRIVAL_MONTH)
     flc = landed.read().drop("eta_month")
+    latest = wh.materialize("latest_shipments", wh.latest_shipments)
     for name in FULL_MARTS:
         if name == "carrier_performance":
-            df = marts.carrier_performance(fse, wh.dim_carrier_b, wh.dim_shipment, wh.dim_port_b)
+            df = marts.carrier_performance(fse, wh.dim_carrier_b, latest, wh.dim_port_b)
         elif name == "customs_clearance_kpi":
             df = marts.customs_clearance_kpi(wh.dim_customs_entry, wh.dim_port_b)
         elif name == "commodity_cost_summary":
-            df = marts.commodity_cost_summary(flc, wh.dim_shipment, wh.tariffs_b, wh.dim_port_b)
+            df = marts.commodity_cost_summary(flc, latest, wh.tariffs_b, wh.dim_port_b)
         else:
             df = (marts.port_catchment_area(fse, wh.dim_port, wh.port_pairs)
                   .repartitionByRange("distance_km").sortWithinPartitions("distance_km"))

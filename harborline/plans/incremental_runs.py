@@ -16,6 +16,7 @@ from ..functions.scalars import lit_ntz
 
 from ..operators.incremental import (PartitionedTable, VersionedTable, run_incremental,
                                      run_incremental_mart, run_incremental_partitioned)
+from ..operators.latest import latest_rows
 from ..session import shared_dir
 from . import facts, mart_runs, marts, staging
 
@@ -169,3 +170,25 @@ def throughput_late_rows(wh) -> DataFrame:
     t = _table(wh, "port_throughput_daily_late")
     _facts_in_two_runs(wh, lambda dwell, events: mart_runs.throughput_run(t, dwell, wh.dim_port_b, wh.dim_date_b))
     return t.read()
+
+
+REDELIVERED_EVERY = 7
+
+
+def redelivered(raw: DataFrame) -> DataFrame:
+    """Later versions of one shipment in seven: another cargo, destination and arrival."""
+    k = F.substring("shipment_id", 2, 20).cast("long")
+    return raw.filter(k % REDELIVERED_EVERY == 0).withColumns({
+        "cargo_type": F.lit("Vehicles"), "dest_port": F.concat(F.lit("nation_"), ((k + 1) % 26).cast("string")),
+        "ata": F.col("eta") + F.expr("INTERVAL 30 HOURS"), "_loaded_at": F.col("_loaded_at") + F.make_ym_interval(F.lit(10))})
+
+
+def carrier_performance_redelivered(wh) -> DataFrame:
+    """J13 after shipments were delivered again with other values: the fact holds their
+    latest version, and so does the layer that gives the lanes."""
+    again = wh.raw_shipments.unionByName(redelivered(wh.raw_shipments))
+    t, build = _ptable(wh, "fct_shipment_events_again"), _partitioned_builder(wh)
+    for feed in (wh.raw_shipments, again):
+        run_incremental_partitioned(t, build, feed, ["shipment_id"])
+    latest = wh.materialize("latest_redelivered", latest_rows(staging.stg_shipments(again), ["shipment_id"], ["_loaded_at"]))
+    return marts.carrier_performance(t.read(), wh.dim_carrier_b, latest, wh.dim_port_b)

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from ..functions import domain as d
 from ..functions.scalars import hours_between, lit_ntz
-from ..operators.latest import latest_per_key
 from .marts import pct_of, rnd
 
 ACTIVE_COLUMNS = ["shipment_id", "bl_number", "origin_port_code", "dest_port_code", "carrier_code",
@@ -39,10 +38,9 @@ def in_transit(located: DataFrame, as_of) -> DataFrame:
             .withColumn("hours_to_eta", hours_between(lit_ntz(as_of), F.col("eta"))).select(*ACTIVE_COLUMNS))
 
 
-def active_shipments(stg_shipments: DataFrame, dim_port_b: DataFrame, as_of) -> DataFrame:
-    """M1: shipments still in transit (latest version per id has no ATA)."""
-    latest = latest_per_key(stg_shipments, ["shipment_id"], ["_loaded_at"])
-    return in_transit(with_destination(latest, dim_port_b), as_of)
+def active_shipments(latest_shipments: DataFrame, dim_port_b: DataFrame, as_of) -> DataFrame:
+    """M1: shipments still in transit, given the latest row per id."""
+    return in_transit(with_destination(latest_shipments, dim_port_b), as_of)
 
 
 def unknown_ports(located: DataFrame) -> DataFrame:

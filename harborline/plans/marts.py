@@ -17,7 +17,6 @@ from ..functions import domain as d
 from ..functions.scalars import count_if, haversine_km, safe_div, week_start
 from ..operators.broadcast import checked_broadcast
 from ..operators.histogram import COUNT, VALUE, histogram_aggregate, nonnull_count
-from ..operators.latest import one_per_key
 from ..operators.percentile import exact_percentiles, null_safe_join
 from ..operators.spatial import pairs_within
 
@@ -58,21 +57,21 @@ def _avg_v() -> Column:
     return F.sum(F.col(VALUE) * F.col(COUNT)) / F.sum(nonnull_count())
 
 
-def carrier_performance(fse: DataFrame, dim_carrier: DataFrame, dim_shipment: DataFrame,
+def carrier_performance(fse: DataFrame, dim_carrier: DataFrame, latest_shipments: DataFrame,
                         dim_port_b: DataFrame) -> DataFrame:
-    """KPIs per carrier x lane (two-level aggregation on delay hours)."""
+    """KPIs per carrier x lane (two-level aggregation on delay hours).  A shipment's
+    lane is that of its latest version (one row per id)."""
     c = dim_carrier.select("carrier_key", "carrier_code", "carrier_name", "alliance")
     # ``shipment_key = MD5(shipment_id)`` on both sides, so equal keys mean equal
     # ids: joining on the id keeps the partitioning of the fact's own join with
     # the shipment dimension (one shuffle of the shipments instead of two).
-    sh = one_per_key(dim_shipment.select(F.col("shipment_id").alias("__sid"), "origin_port_code",
-                                         "dest_port_code"), "__sid")
+    sh = latest_shipments.select("shipment_id", "origin_port_code", "dest_port_code")
     p = dim_port_b.select(F.col("port_key").alias("dest_port_key"),
                           F.col("port_name").alias("dest_port_name"))
     s = (fse.filter(F.col("shipment_key").isNotNull())
          .select("carrier_key", "shipment_id", "dest_port_key", "delay_hours",
                  "delay_category", "declared_value_usd"))
-    j = (s.join(c, "carrier_key").join(sh, s["shipment_id"] == sh["__sid"])
+    j = (s.join(sh, "shipment_id").join(c, "carrier_key")
          .join(p, "dest_port_key", "left"))
     keys = ["carrier_code", "carrier_name", "alliance", "origin_port_code", "dest_port_code",
             "dest_port_name"]
@@ -189,7 +188,7 @@ def customs_clearance_kpi(dim_customs: DataFrame, dim_port_b: DataFrame) -> Data
                 "avg_declared_value_usd": avg_of("declared_value_usd")})
 
 
-def commodity_cost_summary(landed: DataFrame, dim_shipment: DataFrame, tariffs_b: DataFrame,
+def commodity_cost_summary(landed: DataFrame, latest_shipments: DataFrame, tariffs_b: DataFrame,
                            dim_port_b: DataFrame, approx: bool = False,
                            distributed_median: bool = True) -> DataFrame:
     """Landed-cost statistics per commodity x cargo type x destination.
@@ -200,7 +199,7 @@ def commodity_cost_summary(landed: DataFrame, dim_shipment: DataFrame, tariffs_b
     aggregates on the group keys (both sides are one row per group)."""
     lc = landed.select("shipment_id", "dest_port_code", "cif_usd", "duty_rate_pct",
                        "duties_usd", "vat_usd", "total_landed_cost_php", "usd_php_rate")
-    s = one_per_key(dim_shipment.select("shipment_id", "cargo_type", "commodity_code"), "shipment_id")
+    s = latest_shipments.select("shipment_id", "cargo_type", "commodity_code")
     t = tariffs_b.select("commodity_code", F.col("description").alias("commodity_desc"),
                          "atiga_rate_pct")
     p = dim_port_b.select(F.col("port_code").alias("dest_port_code"),

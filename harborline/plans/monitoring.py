@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions import domain as d
 from ..functions.scalars import count_if, hours_between, lit_ntz, safe_div
-from ..operators.latest import latest_per_key, one_per_key
+from ..operators.allocation import share_out
+from ..operators.latest import latest_per_key
 from ..operators.checks import anti_join_count, count_checks, duplicate_count, null_rate_checks
 from .marts import dec_avg, pct_of, rnd
 
@@ -269,7 +270,7 @@ def carrier_on_time(wh) -> DataFrame:
 
 def cost_by_cargo_type(wh) -> DataFrame:
     """Landed cost statistics per cargo type."""
-    s = one_per_key(wh.dim_shipment.select("shipment_id", "cargo_type"), "shipment_id")
+    s = wh.latest_shipments.select("shipment_id", "cargo_type")
     f = wh.fct_landed_cost.join(s, "shipment_id")
     return (f.groupBy("cargo_type")
             .agg(F.count(F.lit(1)).alias("shipment_count"),
@@ -409,17 +410,16 @@ def dash_active_by_category(wh) -> DataFrame:
 
 
 def dash_cost_by_commodity(wh) -> DataFrame:
-    """Landed cost by commodity of the customs entry.  Customs are first
-    reduced to one entry per shipment (smallest entry number, a partial
-    aggregate; ties on a repeated entry number go to the smaller commodity
-    code) so the sum does not fan out."""
-    first = F.min(F.struct("entry_number", "commodity_code"))
-    ce = (wh.dim_customs_entry.groupBy("shipment_id")
-          .agg(first["commodity_code"].alias("commodity_code")))
-    f = wh.fct_landed_cost.select("shipment_id", "total_landed_cost_php").join(ce, "shipment_id")
-    return (f.groupBy("commodity_code")
-            .agg(F.count(F.lit(1)).alias("shipments"),
-                 F.sum("total_landed_cost_php").cast("decimal(38,2)").alias("total_landed_cost_php")))
+    """Landed cost by commodity of the customs entries.  A shipment's cost is divided
+    among the commodities of its entries by their declared value, to the cent: every
+    entry counts and the shares of a shipment add up to its cost."""
+    entries = (wh.dim_customs_entry.groupBy("shipment_id", "commodity_code")
+               .agg(F.count(F.lit(1)).alias("entries"), F.sum(F.coalesce("declared_value_usd", F.lit(0))).alias("value")))
+    cost = wh.fct_landed_cost.groupBy("shipment_id").agg(F.sum("total_landed_cost_php").alias("cost"))
+    shared = share_out(cost.join(entries, "shipment_id"), "shipment_id", "cost", "value", "entries", "commodity_code")
+    return (shared.groupBy("commodity_code")
+            .agg(F.count(F.lit(1)).alias("shipments"), F.sum("entries").alias("customs_entries"),
+                 F.sum("share").cast("decimal(38,2)").alias("total_landed_cost_php")))
 
 
 def dash_dwell_by_port(wh) -> DataFrame:

@@ -15,6 +15,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.broadcast import checked_broadcast
+from ..operators.latest import latest_rows
 from ..session import shared_dir
 from ..sources.testdata import Bronze, load_bronze
 from . import dims, facts, marts, staging
@@ -57,6 +58,18 @@ class Warehouse:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
+    def by_id(self, name: str, df: DataFrame, key: str = "shipment_id") -> DataFrame:
+        """A stored layer as large as the feed, bucketed by ``key``: tables stored this way
+        join on it without a shuffle."""
+        if not self.store_layers:
+            return df
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        table = f"harborline_{self._run_id}_{name}"
+        path = shared_dir(self.spark, f"warehouse/{self._run_id}/{name}")
+        (df.repartition(n, key).write.mode("overwrite").bucketBy(n, key).sortBy(key)
+         .option("path", path).saveAsTable(table))
+        return self.spark.table(table)
+
     # -- bronze + seeds -------------------------------------------------------
     @cached_property
     def bronze(self) -> Bronze:
@@ -95,6 +108,11 @@ class Warehouse:
     def stg_shipments(self) -> DataFrame:
         return self._layer("stg_shipments", staging.stg_shipments(self.raw_shipments, self.clamp_category))
 
+    @cached_property
+    def latest_shipments(self) -> DataFrame:
+        """The latest version of every shipment, found once for all that need it."""
+        return self.by_id("latest_shipments", latest_rows(self.stg_shipments, ["shipment_id"], ["_loaded_at"]))
+
     @cached_property
     def stg_customs_entries(self) -> DataFrame:
         return self._layer("stg_customs_entries", staging.stg_customs_entries(self.raw_customs_entries))
@@ -151,19 +169,19 @@ class Warehouse:
 
     @cached_property
     def fct_shipment_events(self) -> DataFrame:
-        return self._layer("fct_shipment_events", facts.fct_shipment_events(
+        return self.by_id("fct_shipment_events", facts.fct_shipment_events(
             self.stg_shipments, self.dim_shipment, self.dim_date, self.dim_port_b, self.dim_carrier_b))
 
     @cached_property
     def fct_landed_cost(self) -> DataFrame:
-        return self._layer("fct_landed_cost", facts.fct_landed_cost(
+        return self.by_id("fct_landed_cost", facts.fct_landed_cost(
             self.stg_shipments, self.tariffs_b, self.usd_php_rates, self.as_of.date(), self.fx_mode))
 
     # -- marts ----------------------------------------------------------------
     @cached_property
     def carrier_performance(self) -> DataFrame:
         return marts.carrier_performance(self.fct_shipment_events, self.dim_carrier_b,
-                                         self.dim_shipment, self.dim_port_b)
+                                         self.latest_shipments, self.dim_port_b)
 
     @cached_property
     def port_throughput_daily(self) -> DataFrame:
@@ -175,7 +193,7 @@ class Warehouse:
 
     @cached_property
     def commodity_cost_summary(self) -> DataFrame:
-        return marts.commodity_cost_summary(self.fct_landed_cost, self.dim_shipment,
+        return marts.commodity_cost_summary(self.fct_landed_cost, self.latest_shipments,
                                             self.tariffs_b, self.dim_port_b)
 
     @cached_property
@@ -195,7 +213,7 @@ class Warehouse:
     @cached_property
     def active_shipments(self) -> DataFrame:
         from . import live
-        return live.active_shipments(self.stg_shipments, self.dim_port_b, self.as_of)
+        return live.active_shipments(self.latest_shipments, self.dim_port_b, self.as_of)
 
     @cached_property
     def port_congestion_24h(self) -> DataFrame:

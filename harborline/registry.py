@@ -153,6 +153,8 @@ def _register_runs() -> None:
     _wh_query("incremental_rerun_noop", ir.incremental_rerun_noop, full_events)
     _wh_query("incremental_key_move", ir.incremental_key_move, full_events)
     _wh_query("throughput_incremental", ir.throughput_incremental, om.model("port_throughput_daily"))
+    _wh_query("carrier_performance_redelivered", ir.carrier_performance_redelivered, om.model_over(
+        "carrier_performance", "raw_shipments", om.REDELIVERED))
     _wh_query("congestion_incremental", ir.congestion_incremental, om.model("congestion_delay_impact"))
     _wh_query("throughput_late_rows", ir.throughput_late_rows, om.model("port_throughput_daily"))
     _wh_query("late_rows_lookback", ir.late_rows_lookback, full_events)
