@@ -528,3 +528,19 @@ select 'raw_customs_entries' table_name, file file_name, count(*) row_parsed,
 from planted_customs group by file""")
 
 add("csv_header_load", f"select * replace ({AS_OF_TS} as _loaded_at) from raw_shipments")
+
+# ------------------------------------------------------------ stored layers
+add("bronze_append", "select * from raw_vessel_calls")
+add("bronze_table", "select * from raw_vessel_calls")
+add("lake_tables", "\nunion all\n".join(
+    f"select '{layer}' layer, '{t}' table_name, count(*) row_count from {t}" for layer, tables in {
+        "silver": ["stg_vessel_calls", "stg_shipments", "stg_customs_entries"],
+        "gold": ["ph_ports", "ph_tariff_rates", "usd_php_rates", "dim_date", "dim_port", "dim_vessel", "dim_carrier",
+                 "dim_shipment", "dim_customs_entry", "carrier_performance", "customs_clearance_kpi",
+                 "commodity_cost_summary", "port_catchment_area", "fct_shipment_events", "fct_port_dwell",
+                 "fct_landed_cost", "port_throughput_daily", "congestion_delay_impact"]}.items() for t in tables))
+add("catchment_in_order", "select count(*) row_count, cast(0 as bigint) out_of_order from port_catchment_area")
+add("berth_wait_minutes", """
+select port_code, cast(sum(date_diff('minute', arrival_ts, berth_ts)) as bigint) wait_minutes,
+  min(date_diff('minute', arrival_ts, berth_ts)) shortest, max(date_diff('minute', arrival_ts, berth_ts)) longest
+from stg_vessel_calls group by port_code""")

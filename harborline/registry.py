@@ -146,6 +146,7 @@ def _register_runs() -> None:
     from .oracle.reports import SQL
     from .plans import incremental_runs as ir
     from .plans import ingest_runs as gr
+    from .plans import sink_runs as kr
     from .plans import stream_runs as sr
 
     full_events = om_model("fct_shipment_events")
@@ -161,6 +162,8 @@ def _register_runs() -> None:
     _wh_query("csv_null_tokens", gr.csv_null_tokens, om_model("raw_vessel_calls"))
     for name in ("load_audit", "csv_rejects", "csv_rejected_lines", "csv_header_load"):
         _wh_query(name, getattr(gr, name), SQL[name])
+    for name in ("bronze_append", "bronze_table", "lake_tables", "catchment_in_order", "berth_wait_minutes"):
+        _wh_query(name, getattr(kr, name), SQL[name])
     _wh_query("ingest_idempotent", gr.ingest_idempotent, om_model("raw_shipments"))
     _wh_query("seed_ports", gr.seed_ports, om_model("ph_ports"))
     _wh_query("fx_feed_clean", gr.fx_feed_clean, SQL["fx_feed_clean"])
