@@ -46,6 +46,21 @@ def test_scan_prunes_columns(spark):
 
 
 def test_facts_never_broadcast(spark):
+    # the shipments are as large as the fact: joined by shuffle/AQE, not hinted, and their
+    # latest versions are found without an aggregate that sorts all columns
     p = plan(_raw_wh(spark).carrier_performance)
-    # the shipment dimension is as large as the fact: joined by shuffle/AQE, not hinted
-    assert "ObjectHashAggregate" in p or "SortAggregate" in p
+    assert "WindowGroupLimit" in p and "SortAggregate" not in p
+
+
+def test_stored_shipment_tables_join_without_a_shuffle(spark):
+    from harborline.registry import warehouse
+    wh = warehouse(spark, SF_SMALL)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (wh.carrier_performance, queries()["cost_by_cargo_type"](spark, SF_SMALL)):
+            p = plan(df)
+            assert "SortMergeJoin" in p and "SortAggregate" not in p
+            assert "hashpartitioning(shipment_id" not in p and "Bucketed: true" in p
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
