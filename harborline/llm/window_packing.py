@@ -1,9 +1,9 @@
 """Packing by order-preserving dynamic programming.
 
 The documents' tokens, in order of doc_id, are one stream, cut into windows of at
-most ``window`` tokens.  A cut may lie after a document, after a sentence or, at a higher price
-that keeps it to where whole sentences would waste more, at every ``GRAIN``-th token of
-a document.  The cuts minimise the sum, over all windows, of padding (window -
+most ``window`` tokens.  A cut may lie after a document, after a sentence and, inside a
+sentence that is longer than a window by itself, at every ``GRAIN``-th of its tokens, at
+a higher price.  The cuts minimise the sum, over all windows, of padding (window -
 tokens) plus the penalty of truncating a document after or inside a sentence:
 
     cost(j) = min over i with b[j] - b[i] <= window of cost(i) + b[i]  +  window - b[j] + penalty(j)
@@ -21,7 +21,7 @@ length, doc_tokens, sequence_id, offset (place in the window), ids (the tokens,
 little-endian unsigned 32-bit, as they go to a training file).
 
 A document's tokens are the tokenizer's, no special tokens added, then
-``end_id``.  Texts that hold one of the tokenizer's added tokens (``added``: text to
+``end_id``, however long its runs of blanks or of one character are.  Texts that hold one of the tokenizer's added tokens (``added``: text to
 id) get its id; without ``added`` such a text is plain text.  A null text is empty (only ``end_id``).  Null ids come first.  Rows
 that repeat an id are separate documents of that id.  An empty table gives
 an empty result.
@@ -30,6 +30,8 @@ an empty result.
 from __future__ import annotations
 
 import base64
+import heapq
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +39,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .tables import id_and_text
+from .whole_token_counts import Pieces
 
 BLOCK = 1 << 18          # tokens
-GRAIN = 16               # tokens between places inside a sentence
+GRAIN = 16               # tokens between places inside an overlong sentence
+LONG_RUN = 20_000        # characters without or only of white space; texts that hold one are cut into pieces first
+LONG_PIECE = 1000        # characters
+RUN = re.compile(rf"\s{{{LONG_RUN}}}|\S{{{LONG_RUN}}}")
 RANGE_BYTES = 16 << 20   # text per task
 BYTE_BPE_50K_ADDED = {"<|endoftext|>": 50256}   # added tokens of byte_bpe_50k.json, which its rank file lacks
 END = np.isin(np.arange(256), list(b".!?"))
@@ -57,12 +63,55 @@ class Tokens:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         added = added or {}
         encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
-        plain, whole = encoding.encode_ordinary, encoding.encode
-        self.ids = (lambda text: whole(text, allowed_special="all") if any(x in text for x in added) else plain(text)) \
-            if added else plain
+        self.ranks, self.encoding = ranks, encoding
+        self.added, self.marks = added, re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
         sizes = {i: len(word) for word, i in ranks.items()} | {i: len(word.encode()) for word, i in added.items()}
         self.lengths = np.zeros(max(sizes) + 1, np.int64)
         self.lengths[list(sizes)] = list(sizes.values())
+        self.pieces = None
+
+    def ids(self, text: str) -> list[int]:
+        if len(text) >= LONG_RUN and RUN.search(text):
+            parts = self.marks.split(text) if self.added else [text]
+            return [i for k, part in enumerate(parts) for i in ([self.added[part]] if k % 2 else self._by_piece(part))]
+        if any(x in text for x in self.added):
+            return self.encoding.encode(text, allowed_special="all")
+        return self.encoding.encode_ordinary(text)
+
+    def _by_piece(self, text: str) -> list[int]:
+        """The ids of a text with runs too long for the encoder's own pattern and merges:
+        it is cut into pieces first, and long ones are merged by ``merge``."""
+        if self.pieces is None:
+            self.pieces = Pieces()
+        out: list[int] = []
+        for piece in self.pieces(text):
+            out += self.encoding.encode_ordinary(piece) if len(piece) < LONG_PIECE else merge(piece.encode(), self.ranks)
+        return out
+
+
+def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of one piece: neighbours of lowest rank are merged first, the leftmost of equal
+    ones, from a heap, so a piece of n bytes takes about n log n steps."""
+    n = len(piece)
+    part: list[bytes | None] = [piece[i:i + 1] for i in range(n)]
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [rank << 40 | i for i in range(n - 1) if (rank := ranks.get(piece[i:i + 2])) is not None]
+    heapq.heapify(heap)
+    while heap:
+        rank, i = divmod(heapq.heappop(heap), 1 << 40)
+        j = after[i]
+        if part[i] is None or j >= n or ranks.get(part[i] + part[j]) != rank:
+            continue  # an older neighbour's entry
+        part[i], part[j] = part[i] + part[j], None
+        k = after[i] = after[j]
+        if k < n:
+            before[k] = i
+            if (right := ranks.get(part[i] + part[k])) is not None:
+                heapq.heappush(heap, right << 40 | i)
+        h = before[i]
+        if h >= 0 and (left := ranks.get(part[h] + part[i])) is not None:
+            heapq.heappush(heap, left << 40 | h)
+    return [ranks[p] for p in part if p is not None]
 
 
 def cuts(ends: np.ndarray, penalty: np.ndarray, window: int) -> list[int]:
@@ -89,11 +138,14 @@ def cuts(ends: np.ndarray, penalty: np.ndarray, window: int) -> list[int]:
     return out[::-1]
 
 
-def stops(n: int, marks: np.ndarray, prices: tuple[float, float]) -> tuple[np.ndarray, np.ndarray]:
+def stops(n: int, marks: np.ndarray, prices: tuple[float, float], window: int) -> tuple[np.ndarray, np.ndarray]:
     """The possible cuts of a document's ``n`` tokens and their prices."""
     place, mark = np.zeros(n + 1, bool), np.zeros(n + 1, bool)
     mark[marks] = True
-    place[GRAIN::GRAIN] = place[n] = True
+    place[n] = True
+    borders = np.concatenate([[0], marks, [n]])
+    for k in np.flatnonzero(np.diff(borders) > window):  # overlong sentences
+        place[borders[k] + GRAIN:borders[k + 1]:GRAIN] = True
     at = np.flatnonzero(place | mark)
     price = np.where(mark[at], prices[0], prices[1])
     price[-1] = 0.0
@@ -111,7 +163,7 @@ def pack_stream(docs, tokens: Tokens, window: int, prices: tuple[float, float],
             return
         parts, base = [], 0
         for _, ids, marks, first in queue:
-            at, price = stops(len(ids) - first, marks[np.searchsorted(marks, first, "right"):] - first, prices)
+            at, price = stops(len(ids) - first, marks[np.searchsorted(marks, first, "right"):] - first, prices, window)
             parts.append((at + base, price))
             base += len(ids) - first
         ends_a = np.concatenate([p[0] for p in parts])
