@@ -4,16 +4,15 @@ A document is the set of its distinct word shingles (ASCII lower case).  One
 scan hashes each set and keeps its size, two checksums and its ``k`` smallest
 hashes, the sketch.  Documents with one set are a class; classes are compared.
 
-* Inverted lists: two linked sets share at least half of either sketch (all
-  but a chance of about 1e-7 for k = 32 and similarity 0.85).  So with a
-  sketch's values ordered from the rarest on, a linked pair shares one of the
-  first ``shared - half + 1``; only these are listed.  Values of a passage that
+* Inverted lists: two linked sets share at least ``LEAST`` of either sketch (12 of
+  32, all but a chance below 1e-8 at a similarity of 0.8).  So with a sketch's
+  values ordered from the rarest on, a linked pair shares one of all but the last
+  11 of its shared values; only these are listed.  Values of a passage that
   thousands of documents hold are listed only where most of the document is
   that passage.  A list is further split by set size.
 * Estimate: the k smallest of two sketches' union are the union's own sketch;
-  the share of them that both have estimates the similarity.  Pairs more than
-  five standard deviations below the threshold go, and so do pairs of too
-  unlike sizes.
+  the share of them that both have estimates the similarity.  Pairs that share
+  less than ``LEAST`` of it go, and so do pairs of too unlike sizes.
 * Exact: the remaining pairs' full sets are hashed again and intersected.
 
 Long lists go through ``links.list_links``: all members are compared with a
@@ -23,15 +22,16 @@ blocks, and only links between different components leave them.
 
 Result: one row per row: doc_id, n_shingles, component_id (smallest doc_id
 reachable over links), kept.  Null, empty and blank texts have no shingle and are
-linked with nothing.  Rows that repeat an id share its component; a null id takes
-part in its class, whose other ids name the component, and has a null component
-if there is none.  An empty table gives an empty result.
+linked with nothing.  Classes are told apart by their sets, not by ids: rows that
+repeat an id with different texts are in their texts' components, and the row of a
+null id is in its text's component, whose smallest other id names it (null if there
+is none).  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +44,8 @@ from .links import components, list_links, set_links
 from .tables import id_and_text, stored
 
 K = 32
-DEVIATIONS = 5
+LEAST = 0.375            # of a sketch that linked sets share
+BATCH_ROWS = 1 << 20     # sketches that leave a task at a time: a whole batch
 SET_ROWS = 256           # full sets that leave a task at a time
 BROADCAST_IDS = 1 << 20  # ids of 8 bytes; up to so many are broadcast
 
@@ -70,28 +71,26 @@ def shingle_sets(column, size: int) -> Iterator[np.ndarray]:
             yield np.unique(own)
 
 
-def _sketches(size: int, k: int):
-    def run(batches):
-        for b in batches:
-            n, one, two, least = [], [], [], []
-            for u in shingle_sets(b.column("text"), size):
-                n.append(len(u))
-                one.append(int(u.sum(dtype=np.uint64).view(np.int64)))
-                two.append(int(bt.mix(u ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64).view(np.int64)))
-                least.append((u[:k] >> np.uint64(1)).astype(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
-                 pa.array(least, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "sum1", "sum2", "sketch"])
-    return run
+def _names(u: np.ndarray) -> tuple[int, int, int]:
+    """Size and two checksums of a set."""
+    return (len(u), int(u.sum(dtype=np.uint64).view(np.int64)),
+            int(bt.mix(u ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64).view(np.int64)))
 
 
-def _sets(size: int):
+def _named_sets(size: int, kept: Callable[[np.ndarray], np.ndarray], column: str, rows: int):
+    """Batches (other columns, n_shingles, sum1, sum2, ``column``: what is ``kept`` of a text's set)."""
     def run(batches):
         for whole in batches:
-            for at in range(0, whole.num_rows, SET_ROWS):
-                b = whole.slice(at, SET_ROWS)
-                sets = [u.view(np.int64) for u in shingle_sets(b.column("text"), size)]
-                yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(sets, pa.list_(pa.int64()))], ["id", "hashes"])
+            for at in range(0, max(whole.num_rows, 1), rows):
+                b = whole.slice(at, rows)
+                names, lists = [], []
+                for u in shingle_sets(b.column("text"), size):
+                    names.append(_names(u))
+                    lists.append(kept(u))
+                columns = zip(*names) if names else [()] * 3
+                yield pa.RecordBatch.from_arrays(
+                    [*b.columns[:-1], *[pa.array(c, pa.int64()) for c in columns], pa.array(lists, pa.list_(pa.int64()))],
+                    [*b.schema.names[:-1], "n_shingles", "sum1", "sum2", column])
     return run
 
 
@@ -102,14 +101,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     d = id_and_text(docs, id_col, text_col)
     ids = dict(d.dtypes)["doc_id"]
     sketched = stored(spark, d.mapInArrow(
-        _sketches(shingle, k), f"doc_id {ids}, n_shingles long, sum1 long, sum2 long, sketch array<long>"), "sketches")
+        _named_sets(shingle, lambda u: (u[:k] >> np.uint64(1)).astype(np.int64), "sketch", BATCH_ROWS),
+        f"doc_id {ids}, n_shingles long, sum1 long, sum2 long, sketch array<long>")
+        .withColumn("row", F.monotonically_increasing_id()), "sketches")
     key = ["n_shingles", "sum1", "sum2"]
-    classes = sketched.filter("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("id"))
-    member = stored(spark, sketched.drop("sketch").join(classes, key, "left"), "members")
-    own = (sketched.join(classes.select(F.col("id").alias("doc_id"), *[F.col(c).alias(f"k_{c}") for c in key]), "doc_id")
-           .filter(" AND ".join(f"{c} = k_{c}" for c in key)))
-    sketch = stored(spark, own.dropDuplicates(["doc_id"])
-                    .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch"), "class-sketches")
+    classes = stored(spark, sketched.filter("n_shingles > 0").groupBy(*key).agg(
+        F.min("row").alias("id"), F.min("doc_id").alias("first")), "classes")
+    sketch = stored(spark, sketched.join(classes.select(F.col("id").alias("row")), "row")
+                    .select(F.col("row").alias("id"), F.col("n_shingles").alias("n"), "sketch"), "class-sketches")
 
     values = sketch.select("id", F.col("n").alias("size"), F.size("sketch").alias("s"), F.explode("sketch").alias("key"))
     shared = values.groupBy("key").agg(F.count(F.lit(1)).alias("freq")).filter("freq > 1")
@@ -118,30 +117,32 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     payload = stored(spark, sketch.join(common_values, "id").withColumn("lone", F.size("sketch") - F.col("held")).drop("held"),
                      "payload")
     rank = Window.partitionBy("id").orderBy("freq", "key")
-    half = F.floor((F.col("s") + 1) / 2)
+    least = F.ceil(F.col("s") * LEAST)
     lists = (values.join(shared, "key").withColumn("rank", F.row_number().over(rank))
              .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("id")))
-             .filter(F.col("rank") <= F.col("n") - half + 1).select("key", "id", "size"))
+             .filter(F.col("rank") <= F.col("n") - least + 1).select("key", "id", "size"))
     # sets whose sizes may be linked lie in one size band or in neighbouring ones
     band = F.floor(F.log("size") / math.log(100 / percent) + 1e-9)
     lists = lists.withColumn("band", F.explode(F.array(band, band + 1))).select(
         F.xxhash64("key", "band").alias("key"), "id").distinct()
 
-    margin = DEVIATIONS * (percent / 100 * (1 - percent / 100) / k) ** 0.5
-    least = max(0.0, percent / 100 - margin)
-
     def near(a: str, b: str) -> Column:
         na, nb = F.col(f"{a}n"), F.col(f"{b}n")
         sa, sb = F.col(f"{a}sketch"), F.col(f"{b}sketch")
         union = F.slice(F.array_sort(F.array_union(sa, sb)), 1, k)
         both = F.size(F.array_intersect(F.array_intersect(sa, sb), union))
-        return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (both >= F.size(union) * F.lit(least))
+        return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (both >= F.size(union) * LEAST)
 
     def full_sets(wanted: DataFrame) -> DataFrame:
-        some = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-        texts = d.select(F.col("doc_id").alias("id"), "text").join(some, "id", "left_semi")
-        return stored(spark, texts.mapInArrow(_sets(shingle), f"id {ids}, hashes array<long>")
-                      .dropDuplicates(["id"]), "sets")
+        """(id, hashes) of the wanted classes: the texts that bear a class's first id are
+        hashed again, and those of another set of that id drop out by its name."""
+        chosen = stored(spark, classes.join(wanted, "id"), "chosen")
+        some = F.broadcast(chosen) if chosen.count() <= BROADCAST_IDS else chosen
+        texts = d.join(some.select("first").distinct(), F.col("doc_id").eqNullSafe(F.col("first")), "left_semi")
+        sets = texts.select("text").mapInArrow(
+            _named_sets(shingle, lambda u: u.view(np.int64), "hashes", SET_ROWS),
+            "n_shingles long, sum1 long, sum2 long, hashes array<long>")
+        return stored(spark, sets.join(some, key).select("id", "hashes").dropDuplicates(["id"]), "sets")
 
     def last(apart: DataFrame) -> DataFrame:
         sets = full_sets(stored(spark, apart.select("id").distinct(), "wanted"))
@@ -162,8 +163,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
 
     links = list_links(spark, stored(spark, lists, "lists"), verify, payload, near, order="lone",
                        n_centers=1, last=last)
-    groups = components(spark, links).select(F.col("node").alias("id"), F.col("component").alias("c"))
-    return member.join(groups, "id", "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.coalesce("c", "id")).otherwise(F.col("doc_id")).alias("component_id"),
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    groups = stored(spark, components(spark, links).select(F.col("node").alias("id"), F.col("component").alias("c"))
+                    .join(classes.select("id", "first"), "id"), "groups")
+    named = groups.groupBy("c").agg(F.min("first").alias("named"))
+    linked = groups.join(named, "c").select("id", "named", F.lit(True).alias("linked"))
+    members = sketched.drop("sketch").join(classes, key, "left").join(linked, "id", "left")
+    component = (F.when(F.col("n_shingles") == 0, F.col("doc_id")).when(F.col("linked"), F.col("named"))
+                 .otherwise(F.col("first")))
+    return (members.select("doc_id", "n_shingles", component.alias("component_id"))
+            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
