@@ -6,16 +6,22 @@ document its domain posteriors.  The rates r >= 0 of the documents minimise
 
     1/2 sum_k w_k (A_k - target_k)^2,   A_k = sum_d r_d tokens_d p_dk / all tokens,
 
-by projected gradient from r = 1, in the metric in which a document counts by
-its tokens.  The gradient at a document is p_d . (w (A - target)), the same
-formula for all, so a round sends the few numbers of the residual to the tasks, and
-the tasks send back their partial sums of A.  A document's rate is replayed from
-the residuals of all rounds; nothing per document is gathered or rewritten.
-w_k = 1 / (natural share of domain k) makes the problem well conditioned.
+by projected gradient steps from r = 1, in the metric in which a document counts by
+its tokens.  A step at a document is p_d . v, v = M (A - target), the same formula for
+all, so a round sends the few numbers of v to the tasks, and the tasks send back their
+partial sums of A and of p p' over the documents whose rate is not at 0.  M is the
+inverse of the latter, so a step is exact but for documents that reach 0 in it; where
+that does not bring A nearer, v is halved, and then M is the plain weight
+w_k = 1 / (natural share of domain k).  A few rounds reach ``TOLERANCE``; a
+document's rate is replayed from their v, and nothing per document is gathered or
+rewritten.  The gap that is left is a column of the result, and one above the
+tolerance (targets that no rates reach) also a warning.
+
+The sample's texts are read whole; each leaves its task as the buckets of its words.
 
 Result: one row per row: doc_id, tokens (words), one posterior per domain
 (p_<domain>), rate, copies (rate rounded up or down by a hash of the id, so that
-its expectation is the rate).
+its expectation is the rate), gap (largest difference of a domain's share from its target).
 
 Null and empty texts have no tokens and the posteriors of a text without words;
 they do not move the totals.  Repeated rows get equal rates.  A null id is hashed
@@ -26,6 +32,8 @@ likely.
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,9 +44,9 @@ from .tables import id_and_text, stored
 
 BUCKETS = 1 << 16
 SAMPLE = 3000
-SAMPLE_CHARS = 20_000  # of a training text, parts spread over it, this many characters in all
 EPOCHS, RATE, DECAY = 80, 0.5, 1e-5
-ROUNDS, TOLERANCE = 60, 1e-4
+ROUNDS, TOLERANCE = 40, 1e-4
+HALVINGS = 4
 DOMAINS = ("good", "low", "toxic")
 
 
@@ -64,14 +72,15 @@ def posteriors(w: np.ndarray, bias: np.ndarray, bucket, owner, value, n: int) ->
     return e / e.sum(axis=1, keepdims=True)
 
 
-def train(texts: list[bytes], y: np.ndarray, n_domains: int) -> tuple[np.ndarray, np.ndarray]:
-    """Full-batch Adam on the cross-entropy; unseen domains stay improbable."""
+def train(buckets: list[np.ndarray], y: np.ndarray, n_domains: int) -> tuple[np.ndarray, np.ndarray]:
+    """Full-batch Adam on the cross-entropy, given each text's distinct buckets; unseen
+    domains stay improbable."""
     w, bias = np.zeros((BUCKETS, n_domains)), np.zeros(n_domains)
     if not len(y):
         return w, bias
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    off = np.append(0, np.cumsum([len(t) for t in texts])).astype(np.int64)
-    bucket, owner, value, _ = features(data, off)
+    size = np.array([len(b) for b in buckets])
+    bucket, owner = np.concatenate(buckets).astype(np.int64), np.repeat(np.arange(len(y)), size)
+    value = 1 / np.sqrt(np.maximum(size, 1))[owner]
     target = np.eye(n_domains)[y]
     m, s = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, EPOCHS + 1):
@@ -94,15 +103,23 @@ def _training_rows(docs: DataFrame, labels: DataFrame, domain: Column, id_col: s
     for k in range(n):
         some = known.filter(F.col("domain") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // n)
         chosen = some if chosen is None else chosen.unionByName(some)
-    parts = 20
-    step = F.greatest(F.lit(SAMPLE_CHARS // parts), F.floor(F.char_length("text") / parts)).cast("int")
-    spread = F.concat_ws(" ", *[F.substring(F.col("text"), k * step + 1, F.lit(SAMPLE_CHARS // parts)) for k in range(parts)])
-    spread = F.when(F.char_length("text") <= SAMPLE_CHARS, F.col("text")).otherwise(spread)
-    rows = (id_and_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")
-            .select("doc_id", "domain", spread.alias("text")).dropDuplicates(["doc_id"]).collect())
+    def bucketed(batches):
+        for b in batches:
+            data, offsets = bt.flat(b.column("text"))
+            lists = []
+            for i, j, part, off in bt.slices(data, offsets):
+                bucket, owner, _, _ = features(part, off)
+                lists += np.split(bucket.astype(np.int32), np.searchsorted(owner, np.arange(1, j - i)))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("domain"), pa.array(lists, pa.list_(pa.int32()))],
+                                             ["doc_id", "domain", "buckets"])
+
+    sampled = (id_and_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")
+               .select("doc_id", F.col("domain").cast("int").alias("domain"), "text").dropDuplicates(["doc_id"]))
+    kind = dict(sampled.dtypes)["doc_id"]
+    rows = sampled.mapInArrow(bucketed, f"doc_id {kind}, domain int, buckets array<int>").collect()  # sample x BUCKETS at most
     rows.sort(key=lambda r: r.doc_id)
     shares = np.array([counts.get(k, 0) for k in range(n)], float)
-    return [r.text.encode() for r in rows], np.array([r.domain for r in rows], np.int64), shares
+    return [np.array(r.buckets, np.int32) for r in rows], np.array([r.domain for r in rows], np.int64), shares
 
 
 def _replay(p: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
@@ -112,12 +129,42 @@ def _replay(p: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
     return r
 
 
+def fit(sums, goal: np.ndarray) -> tuple[list[np.ndarray], float]:
+    """The steps v that lead from rates of 1 to the goal, and the gap that is left; ``sums``
+    measures what a list of steps leads to."""
+    steps: list[np.ndarray] = []
+    total, share, gram = sums(steps)
+    gap = float(np.abs(share - goal).max())
+    if not total:
+        return steps, 0.0
+    weight = 1 / np.maximum(share, 1e-6)
+
+    def price(share: np.ndarray) -> float:
+        return float(weight @ (share - goal) ** 2)
+    while len(steps) < ROUNDS and gap > TOLERANCE:
+        exact = np.linalg.pinv(gram, rcond=1e-9, hermitian=True) @ (share - goal)
+        root = np.sqrt(weight)
+        length = 1 / max(np.linalg.eigvalsh(root[:, None] * gram * root[None, :]).max(), 1e-12)
+        for v in [exact / 2 ** h for h in range(HALVINGS)] + [length * weight * (share - goal)]:
+            _, to, its_gram = sums([*steps, v])
+            if price(to) < price(share):
+                break
+        else:
+            break  # no step leads nearer
+        moved = float(np.abs(to - share).max())
+        steps.append(v)
+        share, gram, gap = to, its_gram, float(np.abs(to - goal).max())
+        if moved < TOLERANCE / 10:
+            break
+    return steps, gap
+
+
 def mix(spark: SparkSession, docs: DataFrame, labels: DataFrame, targets: tuple[float, ...], domain: Column | None = None,
         domains: tuple[str, ...] = DOMAINS, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
     """Rates that bring the expected token shares of ``domains`` to ``targets`` (shares of today's tokens)."""
     n = len(domains)
-    texts, y, label_shares = _training_rows(docs, labels, domain_of() if domain is None else domain, id_col, text_col, n, sample)
-    w, bias = train(texts, y, n)
+    buckets, y, label_shares = _training_rows(docs, labels, domain_of() if domain is None else domain, id_col, text_col, n, sample)
+    w, bias = train(buckets, y, n)
     if len(y):  # the sample holds the domains alike; back to the labels' own shares
         seen = np.maximum(np.bincount(y, minlength=n) / len(y), 1e-9)
         bias = bias + np.log(np.maximum(label_shares / label_shares.sum(), 1e-9) / seen)
@@ -142,33 +189,26 @@ def mix(spark: SparkSession, docs: DataFrame, labels: DataFrame, targets: tuple[
     known = stored(spark, d.mapInArrow(classify, f"doc_id {ids}, tokens long, " + ", ".join(f"{c} double" for c in names)),
                    "posteriors")
 
-    def sums(steps: list[np.ndarray], gram: bool) -> np.ndarray:
-        """Sums of tokens, r tokens p_k (and tokens p_k p_l) over all documents."""
+    def sums(steps: list[np.ndarray]) -> tuple[float, np.ndarray, np.ndarray]:
+        """Tokens of all documents, their shares A of the domains at these rates, and the mean of
+        p p' over the tokens of documents whose rate is not 0."""
         def partial(batches):
             for b in batches:
                 p = np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in names], axis=1)
                 t = b.column("tokens").to_numpy(zero_copy_only=False).astype(float)
-                out = [t.sum(), *((_replay(p, steps) * t) @ p)]
-                if gram:
-                    out += list((p.T @ (p * t[:, None])).ravel())
+                r = _replay(p, steps)
+                out = [t.sum(), *((r * t) @ p), *(p.T @ (p * (t * (r > 0))[:, None])).ravel()]
                 yield pa.RecordBatch.from_arrays([pa.array([float(v)]) for v in out], [f"s{i}" for i in range(len(out))])
-        width = 1 + n + (n * n if gram else 0)
+        width = 1 + n + n * n
         row = (known.select("tokens", *names).mapInArrow(partial, ", ".join(f"s{i} double" for i in range(width)))
                .agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(width)]).first())
-        return np.array([v or 0.0 for v in row])
+        total, *rest = (v or 0.0 for v in row)
+        of_all = np.array(rest) / max(total, 1.0)
+        return total, of_all[:n], of_all[n:].reshape(n, n)
 
-    goal = np.asarray(targets, float)
-    steps: list[np.ndarray] = []
-    first = sums(steps, True)
-    total = first[0]
-    if total > 0:
-        share, g = first[1:1 + n] / total, first[1 + n:].reshape(n, n) / total
-        weight = 1 / np.maximum(share, 1e-6)
-        root = np.sqrt(weight)
-        step = 1 / max(np.linalg.eigvalsh(root[:, None] * g * root[None, :]).max(), 1e-12)
-        while len(steps) < ROUNDS and np.abs(share - goal).max() > TOLERANCE:
-            steps.append(step * weight * (share - goal))
-            share = sums(steps, False)[1:] / total
+    steps, gap = fit(sums, np.asarray(targets, float))
+    if gap > TOLERANCE:
+        warnings.warn(f"mixing: shares miss their targets by up to {gap:.2g}", stacklevel=2)
 
     def rates(batches):
         for b in batches:
@@ -179,4 +219,4 @@ def mix(spark: SparkSession, docs: DataFrame, labels: DataFrame, targets: tuple[
     rated = known.mapInArrow(rates, f"doc_id {ids}, tokens long, " + ", ".join(f"{c} double" for c in names) + ", rate double")
     chance = F.pmod(F.xxhash64(F.lit("copies"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     whole = F.floor("rate")
-    return rated.withColumn("copies", (whole + F.when(chance < F.col("rate") - whole, 1).otherwise(0)).cast("long"))
+    return rated.withColumn("copies", (whole + F.when(chance < F.col("rate") - whole, 1).otherwise(0)).cast("long")).withColumn("gap", F.lit(gap))
