@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import byte_text as bt
-from .tables import stored
+from .tables import stored, unused
 
 WINDOW, MIN_WORDS, MAX_REPEAT = 8, 20, 30
 SYMBOLS = np.zeros(256, bool)
@@ -183,8 +183,9 @@ def _small(languages: DataFrame) -> DataFrame:
 
 def _with_reference(docs: DataFrame, lang: Column, references: DataFrame) -> DataFrame:
     """``docs`` and two last columns: the language, and its references."""
-    refs = _small(references).select(F.col("lang").alias("_ref_lang"), F.struct("class_shares", "words", "word_shares").alias("_reference"))
-    return (docs.withColumn("_lang", lang).join(refs, F.col("_lang") == F.col("_ref_lang"), "left").drop("_ref_lang"))
+    own, of_reference, reference = (unused(docs, c) for c in ("_lang", "_ref_lang", "_reference"))
+    refs = _small(references).select(F.col("lang").alias(of_reference), F.struct("class_shares", "words", "word_shares").alias(reference))
+    return docs.withColumn(own, lang).join(refs, F.col(own) == F.col(of_reference), "left").drop(of_reference)
 
 
 def _references_of(b: pa.RecordBatch) -> tuple[np.ndarray, dict]:

@@ -28,3 +28,11 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     name cannot clash with the operators' own."""
     return docs.select(F.col(f"`{id_col}`").alias("doc_id"),
                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
