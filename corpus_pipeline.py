@@ -22,10 +22,15 @@ from harborline.llm.tables import stored
 TARGETS = (0.97, 0.02, 0.01)
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """(id, row): all columns travel as one struct, so no name of theirs can clash."""
+    return docs.select(F.col("doc_id").alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
 def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is in ``kept``."""
-    ids = kept.select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["kept_id"]), "left_semi")
+    """(id, row) of the rows whose id is in ``kept``."""
+    rows, ids = _rows(docs), kept.select(F.col("doc_id").alias("kept_id")).distinct()
+    return rows.join(ids, F.col("id").eqNullSafe(F.col("kept_id")), "left_semi")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,26 +43,26 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = extendible_index.exact_duplicates(spark, docs)
     kept = _only(docs, found.filter("kept"))
     repeated = docs.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("repeated_id"))
-    if repeated.isEmpty():
-        return kept
-    again = kept["doc_id"].eqNullSafe(F.col("repeated_id"))
-    return kept.join(repeated, again, "left_anti").unionByName(
-        kept.join(repeated, again, "left_semi").dropDuplicates(["doc_id", "text"]))
+    if not repeated.isEmpty():
+        again = F.col("id").eqNullSafe(F.col("repeated_id"))
+        kept = kept.join(repeated, again, "left_anti").unionByName(
+            kept.join(repeated, again, "left_semi").withColumn("text", F.col("row.text"))
+            .dropDuplicates(["id", "text"]).drop("text"))
+    return kept.select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group (five-word shingles, similarity 0.8)."""
-    return _only(docs, bottom_k.near_duplicates(spark, docs, shingle=5, percent=80).filter("kept"))
+    return _only(docs, bottom_k.near_duplicates(spark, docs, shingle=5, percent=80).filter("kept")).select("row.*")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as many times as its rate to the target weights says."""
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     copies = (soft_mixing.mix(spark, docs, labels, TARGETS).filter("copies > 0")
-              .groupBy(F.col("doc_id").alias("mixed_id")).agg(F.max("copies").alias("mixed_copies")))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return (docs.join(copies, docs["doc_id"].eqNullSafe(copies["mixed_id"]))
-            .withColumn("mixed_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mixed_copies")))).select(*columns))
+              .groupBy(F.col("doc_id").alias("mixed_id")).agg(F.max("copies").alias("copies")))
+    mixed = _rows(docs).join(copies, F.col("id").eqNullSafe(F.col("mixed_id")))
+    return mixed.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
