@@ -22,9 +22,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegralType, StructType
 
+from .broadcast import checked_broadcast
 from .files import file_system, path_exists
 from .latest import latest_per_key
 
+DELTA_KEYS = 500_000                      # keys of a delta that are broadcast to the table; beyond, a shuffle join
 RUN = "_run"                              # sub-folder of a partition that one run wrote
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
@@ -278,7 +280,7 @@ class PartitionedTable(_Table):
             has_key = has_key & F.col(k).isNotNull()
         rows = self.scratch(latest_per_key(delta.filter(has_key), keys, order_cols).unionByName(delta.filter(~has_key)),
                             "delta")                                  # the delta is modelled once
-        ids = rows.select(*keys).distinct()
+        ids = checked_broadcast(rows.select(*keys).distinct(), DELTA_KEYS)
         moved = target.select(*keys, self.part).join(ids, keys, "left_semi")
         parts = [r[0] for r in moved.select(self.part).union(rows.select(self.part)).distinct().collect()]  # a calendar at most
         old_wm = _watermark(head["watermark"])

@@ -69,6 +69,16 @@ def incremental_upsert(wh) -> DataFrame:
     return t.read().drop(PART_COL)
 
 
+def incremental_full_refresh(wh) -> DataFrame:
+    """A table that holds rows of another feed, rebuilt by a full refresh."""
+    t = _ptable(wh, "fct_shipment_events_full")
+    build = _partitioned_builder(wh)
+    other = wh.raw_shipments.withColumn("shipment_id", F.concat(F.lit("OLD-"), F.col("shipment_id")))
+    run_incremental_partitioned(t, build, other, ["shipment_id"])
+    run_incremental_partitioned(t, build, wh.raw_shipments, ["shipment_id"], full_refresh=True)
+    return t.read().drop(PART_COL)
+
+
 def incremental_rerun_noop(wh) -> DataFrame:
     """A second run on the same feed finds nothing past the watermark."""
     t = _table(wh, "fct_shipment_events_rerun")

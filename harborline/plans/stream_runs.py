@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import lit_ntz
 from ..session import shared_dir
 from ..streaming import live as sl
 from ..streaming import refresh_log as rl
@@ -24,6 +25,13 @@ def _parts(spark) -> int:
     return max(1, spark.sparkContext.defaultParallelism)
 
 
+def _feed(df: DataFrame, src: str, **options) -> int:
+    """Stage a feed in three batches of a file per core; returns the files per batch."""
+    files = max(2, df.sparkSession.sparkContext.defaultParallelism)
+    sl.stage_batches(df, src, "_loaded_at", files_per_batch=files, **options)
+    return files
+
+
 def _dirs(spark, name: str) -> tuple[str, str, str]:
     root = shared_dir(spark, f"streams/{name}-{uuid.uuid4().hex[:12]}")
     return f"{root}/source", f"{root}/sink", f"{root}/checkpoint"
@@ -31,24 +39,24 @@ def _dirs(spark, name: str) -> tuple[str, str, str]:
 
 def stream_active_shipments(wh) -> DataFrame:
     src, sink, ckpt = _dirs(wh.spark, "active_shipments")
-    sl.stage_batches(wh.raw_shipments, src, "_loaded_at")
+    files = _feed(wh.raw_shipments, src)
     _, result = sl.stream_active_shipments(wh.spark, src, sink, ckpt, wh.dim_port_b, wh.as_of,
-                                           state_partitions=_parts(wh.spark))
+                                           state_partitions=_parts(wh.spark), files_per_batch=files)
     return result()
 
 
 def stream_unknown_ports(wh) -> DataFrame:
     """The stream's shipments whose destination the port seed does not know."""
     src, sink, ckpt = _dirs(wh.spark, "unknown_ports")
-    sl.stage_batches(wh.raw_shipments, src, "_loaded_at")
-    sl.stream_active_shipments(wh.spark, src, sink, ckpt, wh.dim_port_b, wh.as_of, state_partitions=_parts(wh.spark))
+    files = _feed(wh.raw_shipments, src)
+    sl.stream_active_shipments(wh.spark, src, sink, ckpt, wh.dim_port_b, wh.as_of, state_partitions=_parts(wh.spark), files_per_batch=files)
     return live.unknown_ports(sl.latest_shipments(wh.spark, sink))
 
 
 def stream_port_congestion(wh) -> DataFrame:
     src, sink, ckpt = _dirs(wh.spark, "port_congestion")
-    sl.stage_batches(wh.raw_vessel_calls, src, "_loaded_at")
-    _, windows = sl.stream_port_congestion(wh.spark, src, sink, ckpt, wh.dim_port_b, state_partitions=_parts(wh.spark))
+    files = _feed(wh.raw_vessel_calls, src)
+    _, windows = sl.stream_port_congestion(wh.spark, src, sink, ckpt, wh.dim_port_b, state_partitions=_parts(wh.spark), files_per_batch=files)
     return windows()
 
 
@@ -60,7 +68,7 @@ def _deliveries(raw: DataFrame) -> list[DataFrame]:
     newest = raw.agg(F.max("_loaded_at")).first()[0]
     late = F.col("teu_count") % LATE_EVERY == 0
     cuts = [newest - dt.timedelta(days=20), newest - dt.timedelta(days=10), newest]
-    first, second, third = (F.col("_loaded_at") <= F.lit(c) for c in cuts)
+    first, second, third = (F.col("_loaded_at") <= lit_ntz(c) for c in cuts)
     return [raw.filter(first & ~late), raw.filter(second & ~first & ~late), raw.filter((third & ~second) | (second & late))]
 
 
@@ -71,20 +79,21 @@ def stream_late_calls(wh) -> DataFrame:
     for delivery in _deliveries(wh.raw_vessel_calls):
         delivery.write.mode("append").parquet(src)
         sl.stream_port_congestion(wh.spark, src, sink, ckpt, wh.dim_port_b, files_per_batch=1_000_000)
-    return (sl.pane_log(wh.spark, sink).read_sums().groupBy("port_code").agg(F.sum("vessels_in_port").alias("calls"), F.sum("late_calls").alias("late_calls")))
+    return (sl.pane_log(wh.spark, sink).read_sums().groupBy("port_code")
+            .agg(F.sum("vessels_in_port").alias("calls"), F.sum("late_calls").alias("late_calls")))
 
 
 def stream_fact_upsert(wh) -> DataFrame:
     src, sink, ckpt = _dirs(wh.spark, "fct_shipment_events")
-    sl.stage_batches(wh.raw_shipments, src, "_loaded_at")
-    _, result = sl.stream_fact_upsert(wh.spark, src, sink, ckpt, wh, state_partitions=_parts(wh.spark))
+    files = _feed(wh.raw_shipments, src)
+    _, result = sl.stream_fact_upsert(wh.spark, src, sink, ckpt, wh, state_partitions=_parts(wh.spark), files_per_batch=files)
     return result()
 
 
 def stream_dedup(wh) -> DataFrame:
     src, sink, ckpt = _dirs(wh.spark, "dedup")
-    sl.stage_batches(wh.raw_shipments, src, "_loaded_at", redeliver_share=5)
-    _, result = sl.stream_dedup(wh.spark, src, sink, ckpt, state_partitions=_parts(wh.spark))
+    files = _feed(wh.raw_shipments, src, redeliver_share=5)
+    _, result = sl.stream_dedup(wh.spark, src, sink, ckpt, state_partitions=_parts(wh.spark), files_per_batch=files)
     return result()
 
 

@@ -26,7 +26,7 @@ DEFAULT_AS_OF = dt.datetime(2024, 2, 1, 0, 0, 0)
 SEED_MAX_ROWS = 100_000
 # Data-derived dimensions (carriers, vessels) are broadcast below this size;
 # above it the join falls back to a shuffle join.
-DIM_MAX_ROWS = 2_000_000
+DIM_MAX_ROWS = 500_000   # of about 100 bytes
 
 
 class Warehouse:

@@ -152,13 +152,13 @@ def stream_port_congestion(spark: SparkSession, src: str, state_path: str, check
 
 
 def stream_fact_upsert(spark: SparkSession, src: str, state_path: str, checkpoint: str, wh,
-                       trigger: dict | None = None, state_partitions: int | None = None):
+                       trigger: dict | None = None, state_partitions: int | None = None, files_per_batch: int = 2):
     """M4: ``fct_shipment_events`` maintained per micro-batch (upsert by shipment_id,
     latest ``_loaded_at`` wins); equals the batch model.  Shipment and carrier keys come
     from the micro-batch's own rows: ids first seen by the stream have theirs."""
     from ..sources import schemas
     log = ChangelogTable(spark, state_path)
-    raw = file_stream(spark, src, schemas.RAW_SHIPMENTS, 2)
+    raw = file_stream(spark, src, schemas.RAW_SHIPMENTS, files_per_batch)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         rows = facts.fct_shipment_events(staging.stg_shipments(batch), None, wh.dim_date, wh.dim_port_b, None)
@@ -170,10 +170,12 @@ def stream_fact_upsert(spark: SparkSession, src: str, state_path: str, checkpoin
 
 
 def stream_dedup(spark: SparkSession, src: str, out_path: str, checkpoint: str,
-                 trigger: dict | None = None, delay: str = "400 days", state_partitions: int | None = None):
-    """M6: duplicate deliveries dropped within the watermark; append sink."""
+                 trigger: dict | None = None, delay: str = "400 days", state_partitions: int | None = None,
+                 files_per_batch: int = 2):
+    """M6: duplicate deliveries dropped within the watermark; append sink.  Rows behind the
+    watermark are dropped too; ``RefreshLog`` counts them."""
     from ..sources import schemas
-    raw = file_stream(spark, src, schemas.RAW_SHIPMENTS, 2)
+    raw = file_stream(spark, src, schemas.RAW_SHIPMENTS, files_per_batch)
     dedup = (raw.withColumn("__event_ts", F.col("_loaded_at").cast("timestamp"))
              .withWatermark("__event_ts", delay).dropDuplicatesWithinWatermark(["shipment_id"])
              .drop("__event_ts"))
