@@ -5,12 +5,14 @@
    hashes than ``capacity`` is split by its next hash bit, and the directory
    doubles, until none is overfull.  The counts come from a histogram of hash
    cells, so a round touches only that small table.
-3. The index: texts are gathered per (bucket, hash, text).  Comparing the text
-   itself is the byte comparison; equal hashes with different bytes become
-   separate links of that hash's chain.  Spark folds copies on the map side
-   first, so a text with any number of copies costs one row per task.  The
-   entries are then dealt to owner tasks by ranges of (bucket, hash) and written.
-4. Every document looks its entry up by (hash, SHA-256, length).
+3. Copies are folded before they are dealt out, in ``SALTS`` parts of each text, so a
+   text with any number of copies reaches its owner as a few rows.
+4. The index: every folded row finds its bucket in the directory, and owner tasks take
+   ranges of (bucket, hash).  An owner gathers its keys' rows by comparing the texts
+   themselves, byte by byte; equal hashes with different bytes become separate
+   links of that hash's chain.  The index is written as the owners leave it.
+5. Every document finds its bucket in the directory, and in it its entry by (hash,
+   SHA-256, length).
 
 Result: one row per document: doc_id, keep_id (the largest doc_id with this
 text), group_size (rows with this text), kept, text_sha256, bucket, chain (link
@@ -33,6 +35,7 @@ from .tables import id_and_text, stored
 
 CAPACITY = 50_000
 SMALL_DIRECTORY = 1 << 16  # cells; 16 bytes each when broadcast
+SALTS = 8
 
 
 def _hash(hash_bits: int) -> Column:
@@ -77,18 +80,23 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id
         directory = F.broadcast(directory)
     cell = F.shiftrightunsigned("h", 64 - bits)
 
-    entries = (d.groupBy("h", "text").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-               .select(cell.alias("cell"), "h", F.sha2("text", 256).alias("text_sha256"),
-                       F.octet_length("text").alias("n_bytes"), "keep_id", "group_size")
-               .join(directory, "cell").drop("cell"))
-    chain = Window.partitionBy("h").orderBy("text_sha256", "n_bytes")
-    index = stored(spark, entries.withColumn("chain", F.row_number().over(chain) - 1)
-                   .repartitionByRange("bucket", "h").sortWithinPartitions("bucket", "h", "chain"), "index")
+    def in_bucket(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("cell", cell).join(directory, "cell").drop("cell", "depth")
+
+    folded = (d.groupBy("h", "text", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"))
+              .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).drop("salt"))
+    # the owners' ranges serve the grouping and the chains as well: no other shuffle follows
+    owned = (in_bucket(folded).repartitionByRange("bucket", "h").groupBy("bucket", "h", "text")
+             .agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size")))
+    chain = Window.partitionBy("bucket", "h").orderBy("text_sha256", "n_bytes")
+    index = stored(spark, owned.select("bucket", "h", F.sha2("text", 256).alias("text_sha256"),
+                                       F.octet_length("text").alias("n_bytes"), "keep_id", "group_size")
+                   .withColumn("chain", F.row_number().over(chain) - 1), "index")
     if not index.groupBy("h", "text_sha256", "n_bytes").count().filter("count > 1").isEmpty():
         raise ValueError("different texts share hash and SHA-256; they cannot be told apart")
 
     members = keys if every_row else keys.dropDuplicates(["doc_id", "h", "text_sha256"])
-    return (members.join(index, ["h", "text_sha256", "n_bytes"])
+    return (in_bucket(members).join(index, ["bucket", "h", "text_sha256", "n_bytes"])
             .select("doc_id", "keep_id", "group_size",
                     F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
                     "text_sha256", "bucket", "chain"))
