@@ -45,8 +45,8 @@ from .tables import id_and_text, stored
 BUCKETS = 1 << 16
 SAMPLE = 3000
 EPOCHS, RATE, DECAY = 80, 0.5, 1e-5
-ROUNDS, TOLERANCE = 40, 1e-4
-HALVINGS = 4
+ROUNDS, TOLERANCE = 20, 1e-4
+HALVINGS = 3
 DOMAINS = ("good", "low", "toxic")
 
 
