@@ -1,7 +1,9 @@
 """Words, lines and their hashes over the UTF-8 bytes of an Arrow text column.
 
 numpy over whole batches; white space is the bytes 0x09-0x0D and 0x20, which
-never occur inside another character, so splitting bytes is exact.
+never occur inside another character, so splitting bytes is exact.  Arrays of
+several bytes a byte are made for ``SLICE_BYTES`` at a time, also inside a longer text,
+and tables for more than that (one word or line of that length) are not kept.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]  # grown as needed
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -34,12 +36,18 @@ _CODES = mix(np.arange(1, 257, dtype=np.uint64))  # a number for each byte
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS[0]) < n:
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            p = np.full(n, base, np.uint64)
-            p[0] = 1
-            _POWERS[k] = np.cumprod(p, dtype=np.uint64)
-    return _POWERS[0][:n], _POWERS[1]
+    """The first ``n`` powers of the base and of its inverse."""
+    if n <= len(_POWERS[0]):
+        return _POWERS[0][:n], _POWERS[1][:n]
+    size, tables = max(n, min(2 * n, SLICE_BYTES + 1)), []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        p = np.full(size, base, np.uint64)
+        p[0] = 1
+        np.cumprod(p, out=p)
+        tables.append(p)
+    if size <= SLICE_BYTES + 1:
+        _POWERS[:] = tables
+    return tables[0][:n], tables[1][:n]
 
 
 def flat(column) -> tuple[np.ndarray, np.ndarray]:
@@ -94,11 +102,24 @@ def lines(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 
 def span_hashes(data: np.ndarray, *spans: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
-    """64-bit hashes of the spans' bytes, the same wherever a span lies."""
-    power, inverse = _powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_CODES[data] * power[:len(data)], out=sums[1:])
-    return [mix((sums[e] - sums[s]) * inverse[s]) for s, e in spans]
+    """64-bit hashes of the spans' bytes, the same wherever a span lies.  The starts
+    and the ends of a list of spans ascend."""
+    return [_span_hashes(data, starts, ends) for starts, ends in spans]
+
+
+def _span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    out, i = np.empty(len(starts), np.uint64), 0
+    while i < len(starts):
+        lo = int(starts[i])
+        j = max(i + 1, int(np.searchsorted(ends, lo + SLICE_BYTES, "right")))
+        hi = int(ends[j - 1])
+        power, inverse = _powers(hi - lo + 1)
+        sums = np.zeros(hi - lo + 1, np.uint64)
+        np.cumsum(_CODES[data[lo:hi]] * power[:hi - lo], out=sums[1:])
+        s, e = starts[i:j] - lo, ends[i:j] - lo
+        out[i:j] = mix((sums[e] - sums[s]) * inverse[s])
+        i = j
+    return out
 
 
 def sequence_hashes(values: np.ndarray, first: np.ndarray, after: np.ndarray) -> np.ndarray:
@@ -111,11 +132,18 @@ def sequence_hashes(values: np.ndarray, first: np.ndarray, after: np.ndarray) ->
 
 def counted(flags: np.ndarray, off: np.ndarray) -> np.ndarray:
     """How many flagged bytes each document has."""
+    if len(flags) > SLICE_BYTES:  # one document, as a rule
+        return np.array([np.count_nonzero(flags[i:j]) for i, j in zip(off[:-1], off[1:])], np.int64)
     sums = np.zeros(len(flags) + 1, np.int64)
     np.cumsum(flags, out=sums[1:])
     return sums[off[1:]] - sums[off[:-1]]
 
 
+def before(flagged: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """How many of the ascending places ``flagged`` lie before each of ``at``."""
+    return np.searchsorted(flagged, at)
+
+
 def windows(hashes: np.ndarray, owners: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash, document) of every run of ``n`` words within one document, with
     its first word's index as the third item."""

@@ -84,7 +84,8 @@ def op9_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op10_unit_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unit_hashing.repeated_units(spark, table(spark, sf_dir, "documents"), unit=unit_hashing.UNITS)
+    return unit_hashing.repeated_units(spark, table(spark, sf_dir, "documents"), unit=unit_hashing.UNITS,
+                                       min_words=5, min_stretch=20)
 
 
 @register

@@ -11,9 +11,13 @@ digest is two 64-bit hashes of the word sequence.  Units of at least
 first, by (doc_id, start), stays and the others are removed.  Spans may lie in one
 another: a sentence of a kept line is removed where it occurred earlier.
 
+A document that shares no more than a phrase with others is left alone: of a text's
+repeated units, those count that make up stretches, one unit touching the next, of at
+least ``min_stretch`` words.
+
 Not found: a passage that starts or ends inside a sentence, beyond the whole units
 in it; several sentences that are each shorter than ``min_words`` and are not a
-line or paragraph by themselves in both texts; units of fewer than ``min_words`` words.
+line or paragraph by themselves in both texts; stretches of fewer than ``min_stretch`` words.
 
 Result: one row per occurrence of a unit that occurs more than once: doc_id,
 start, end (character offsets in the original text), n_words, digest,
@@ -21,7 +25,9 @@ occurrences, keep_doc_id, keep_start, removed.  Documents without such a unit
 have no row.  ``cleaned`` gives the texts without the removed spans.
 
 A digest with any number of occurrences folds to one row per task before the
-shuffle; only repeated digests' occurrences are looked at again.
+shuffle.  Repeated digests are broadcast while there are at most ``BROADCAST_DIGESTS``;
+beyond that both sides are salted ``SALTS`` ways, so no digest's occurrences meet in
+one task.  Stretches are found among one text's own repeated units.
 
 Null and empty texts have no unit.  A null id ranks after all others.  Rows
 that repeat id and text are one occurrence each, and the equal ones that rank
@@ -41,17 +47,19 @@ from . import byte_text as bt
 from .tables import id_and_text, stored
 
 UNITS = ("paragraph", "line", "sentence")
+BROADCAST_DIGESTS = 1 << 20  # about 40 bytes each
+SALTS = 16
 SENTENCE_ENDS = np.zeros(256, bool)
 SENTENCE_ENDS[list(b".!?")] = True
 
 
 def units(data: np.ndarray, off: np.ndarray, kinds: tuple[str, ...], min_words: int) -> dict[str, np.ndarray]:
-    """doc, start, end (characters), n_words and the two digest halves of each unit of these kinds."""
+    """doc, start, end (characters), place of the first word, n_words and the two digest
+    halves of each unit of these kinds."""
     starts, ends, doc = bt.words(data, off)
     word, = bt.span_hashes(bt.LOWER[data], (starts, ends))
-    breaks = np.zeros(len(data) + 1, np.int64)
-    np.cumsum(data == 0x0A, out=breaks[1:])
-    between = breaks[starts[1:]] - breaks[ends[:-1]]
+    breaks = np.flatnonzero(data == 0x0A)
+    between = bt.before(breaks, starts[1:]) - bt.before(breaks, ends[:-1])
     spans = []
     for kind in kinds:
         new = np.ones(len(word), bool)
@@ -65,40 +73,58 @@ def units(data: np.ndarray, off: np.ndarray, kinds: tuple[str, ...], min_words:
     first, after = np.divmod(np.unique(np.concatenate(spans)), len(word) + 1)
     n = after - first
     digests = [bt.sequence_hashes(w, first, after) for w in (word, bt.mix(word ^ np.uint64(0xA5A5A5A5A5A5A5A5)))]
-    chars = np.zeros(len(data) + 1, np.int64)
-    np.cumsum((data & 0xC0) != 0x80, out=chars[1:])
+    inner = np.flatnonzero((data & 0xC0) == 0x80)  # bytes that start no character
     own = doc[first] if len(first) else np.zeros(0, np.int64)
-    base = chars[off[own]]
-    return {"doc": own, "start": chars[starts[first]] - base, "end": chars[ends[after - 1]] - base, "n_words": n,
-            "digest1": digests[0].view(np.int64), "digest2": digests[1].view(np.int64)}
+
+    def char(at: np.ndarray) -> np.ndarray:
+        return at - off[own] - (bt.before(inner, at) - bt.before(inner, off[own]))
+    return {"doc": own, "start": char(starts[first]), "end": char(ends[after - 1]), "n_words": n,
+            "place": first - np.searchsorted(doc, own), "digest1": digests[0].view(np.int64), "digest2": digests[1].view(np.int64)}
 
 
 def repeated_units(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   unit: str | tuple[str, ...] = "sentence", min_words: int = 10) -> DataFrame:
+                   unit: str | tuple[str, ...] = "sentence", min_words: int = 10, min_stretch: int = 0) -> DataFrame:
     """All occurrences of repeated units of one kind or several; see the module text."""
     kinds = (unit,) if isinstance(unit, str) else tuple(unit)
     if not kinds or not set(kinds) <= set(UNITS):
         raise ValueError(f"units must be of {UNITS}")
-    d = id_and_text(docs, id_col, text_col)
+    d = id_and_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
     ids = dict(d.dtypes)["doc_id"]
-    columns = ["start", "end", "n_words", "digest1", "digest2"]
+    columns = ["start", "end", "place", "n_words", "digest1", "digest2"]
 
     def run(batches):
         for b in batches:
             data, offsets = bt.flat(b.column("text"))
             for i, j, part, off in bt.slices(data, offsets):
                 u = units(part, off, kinds, min_words)
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(u["doc"] + i)),
-                                                  *[pa.array(u[c], pa.int64()) for c in columns]], ["doc_id", *columns])
+                of = pa.array(u["doc"] + i)
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(of), b.column("row").take(of),
+                                                  *[pa.array(u[c], pa.int64()) for c in columns]], ["doc_id", "row", *columns])
 
-    found = stored(spark, d.mapInArrow(run, f"doc_id {ids}, " + ", ".join(f"`{c}` long" for c in columns)), "units")
+    found = stored(spark, d.mapInArrow(run, f"doc_id {ids}, row long, " + ", ".join(f"`{c}` long" for c in columns)), "units")
     key = ["digest1", "digest2"]
-    many = found.groupBy(*key).agg(F.count(F.lit(1)).alias("occurrences"), F.min("doc_id").alias("keep_doc_id")) \
-        .filter("occurrences > 1")
-    copies = stored(spark, found.join(many, key), "repeated-units")
-    first = (copies.filter("doc_id <=> keep_doc_id").groupBy(*key).agg(F.min("start").alias("keep_start")))
+    many = stored(spark, found.groupBy(*key).agg(F.count(F.lit(1)).alias("occurrences"), F.min("doc_id").alias("keep_doc_id"))
+                  .filter("occurrences > 1"), "digests")
+    few = many.count() <= BROADCAST_DIGESTS
+
+    def with_digest(occurrences: DataFrame, digests: DataFrame) -> DataFrame:
+        if few:
+            return occurrences.join(F.broadcast(digests), key)
+        salt = F.pmod(F.xxhash64("row", "start"), F.lit(SALTS))
+        copies = digests.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        return occurrences.withColumn("salt", salt.cast("int")).join(copies, [*key, "salt"]).drop("salt")
+
+    copies = stored(spark, with_digest(found, many), "repeated-units")
+    first = copies.filter("doc_id <=> keep_doc_id").groupBy(*key).agg(F.min("start").alias("keep_start"))
+    in_text = Window.partitionBy("row").orderBy("place", "n_words")
+    so_far = in_text.rowsBetween(Window.unboundedPreceding, -1)
+    stretch = Window.partitionBy("row", "stretch")
+    long_enough = (copies.withColumn("apart", F.coalesce(F.col("place") > F.max(F.col("place") + F.col("n_words")).over(so_far), F.lit(True)))
+                   .withColumn("stretch", F.sum(F.col("apart").cast("int")).over(in_text.rowsBetween(Window.unboundedPreceding, 0)))
+                   .withColumn("words", F.max(F.col("place") + F.col("n_words")).over(stretch) - F.min("place").over(stretch))
+                   .filter(F.col("words") >= min_stretch))
     digest = F.concat(*[F.lpad(F.hex(c), 16, "0") for c in key]).cast(StringType())
-    return copies.join(first, key).select(
+    return with_digest(long_enough, first).select(
         "doc_id", "start", "end", "n_words", digest.alias("digest"), "occurrences", "keep_doc_id", "keep_start",
         (~(F.col("doc_id").eqNullSafe(F.col("keep_doc_id")) & (F.col("start") == F.col("keep_start")))).alias("removed"))
 

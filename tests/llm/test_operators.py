@@ -392,8 +392,7 @@ def test_unit_hashing(spark, docs, empty):
     assert unit_hashing.repeated_units(spark, empty).count() == 0
 
 
-def test_unit_hashing_finds_whole_lines_and_paragraphs(spark, tmp_path):
-    from harborline.llm.queries import QUERIES as llm
+def test_unit_hashing_finds_whole_lines_and_paragraphs(spark):
     line = "It rains. Who knows why? Nobody does, they say. So we wait. All of us here."  # no sentence of 10 words
     parts = "Menu of the day\nSoup and bread\nFish with rice\nTea or coffee"  # no line of 10 words
     s1 = "First sentence has just about ten words in it, honestly."
@@ -401,8 +400,7 @@ def test_unit_hashing_finds_whole_lines_and_paragraphs(spark, tmp_path):
             (3, f"Other\n\n{parts}\n\n{s1} Short one."), (4, None), (5, ""), (None, f"{line}\n{s1} Short one."),
             (6, "One. Two. Three.")]
     d = spark.createDataFrame(rows, "doc_id long, text string")
-    d.write.parquet(str(tmp_path / "documents.parquet"))
-    got = llm["op10_unit_hashing"](spark, str(tmp_path))
+    got = unit_hashing.repeated_units(spark, d, unit=unit_hashing.UNITS)
     text = dict(rows)
     found = {(r.doc_id, text[r.doc_id][r.start:r.end], r.removed) for r in got.collect()}
     assert found == {(1, line, False), (2, line.upper(), True), (None, line, True), (1, parts, False), (3, parts, True),
