@@ -11,8 +11,8 @@ them gives one probability.
 Training (Adam, binary cross-entropy with both labels weighted alike up to
 ``NEGATIVE``) runs in numpy on the driver over a bounded sample of the labelled
 rows that ``trainable`` admits: at most ``SAMPLE`` documents, the ones of smallest
-hash, and of each at most ``TRAIN_CHUNKS`` chunks spread evenly.  Scoring covers
-every chunk of every document, in tasks.
+hash, with all their chunks.  Scoring covers every chunk of every document, in tasks.
+Chunks are worked on ``BLOCK`` at a time, so memory is a few numbers a chunk.
 
 A score is a function of the text alone.  Null and empty texts score as one chunk
 of padding.  Repeated rows score alike; a label row that is null or repeated
@@ -31,25 +31,37 @@ from . import byte_text as bt
 from .tables import id_and_text
 
 CHUNK, WIDTH, FILTERS, EMBEDDING = 512, 6, 16, 8
-SAMPLE, TRAIN_CHUNKS = 3000, 6
+SAMPLE, BLOCK = 3000, 64
 EPOCHS, BATCH, RATE = 6, 32, 0.01
 SCORE_BYTES = 1 << 18
 BYTES = 257  # byte values and padding
 SYMBOLS = 256
 
 
-def chunked(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(chunks, document of each chunk): rows of CHUNK symbols, padded at a text's end."""
+def places(off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, document) of every chunk."""
     step = CHUNK - WIDTH + 1
     sizes = np.diff(off)
     n = np.maximum(1, -(-np.maximum(sizes - WIDTH + 1, 1) // step))
     doc = np.repeat(np.arange(len(sizes)), n)
     nth = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
-    start = off[:-1][doc] + nth * step
+    return off[:-1][doc] + nth * step, doc
+
+
+def chunks_at(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Rows of CHUNK symbols, padded where their text ends."""
     at = start[:, None] + np.arange(CHUNK)
-    inside = at < off[1:][doc][:, None]
-    padded = np.append(data, 0)
-    return np.where(inside, padded[np.where(inside, at, len(data))], SYMBOLS).astype(np.int16), doc
+    inside = at < end[:, None]
+    at[~inside] = 0
+    symbols = data[at].astype(np.int16) if len(data) else np.int16(0)
+    return np.where(inside, symbols, np.int16(SYMBOLS))
+
+
+def chunked(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(chunks, document of each chunk)."""
+    start, doc = places(off)
+    blocks = [chunks_at(data, start[i:i + BLOCK], off[1:][doc[i:i + BLOCK]]) for i in range(0, len(doc), BLOCK)]
+    return np.concatenate(blocks) if blocks else np.zeros((0, CHUNK), np.int16), doc
 
 
 def init(seed: int = 5) -> dict[str, np.ndarray]:
@@ -82,9 +94,10 @@ def _combine(pooled: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
 
 
 def predict(w: dict, table: np.ndarray, data: np.ndarray, off: np.ndarray) -> np.ndarray:
-    x, doc = chunked(data, off)
-    pooled = np.concatenate([np.maximum(_responses(x[i:i + 64], table).max(axis=1) + w["bias"], 0)
-                             for i in range(0, len(x), 64)])
+    start, doc = places(off)
+    pooled = np.concatenate([
+        np.maximum(_responses(chunks_at(data, start[i:i + BLOCK], off[1:][doc[i:i + BLOCK]]), table).max(axis=1) + w["bias"], 0)
+        for i in range(0, len(doc), BLOCK)])
     z = _combine(pooled, doc, len(off) - 1) @ w["out"] + w["out_bias"][0]
     return 1 / (1 + np.exp(-np.clip(z, -30, 30).astype(np.float64)))
 
@@ -95,8 +108,7 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 5) -> dict[str, np
     g = np.random.default_rng(seed)
     docs = []
     for t in texts:
-        x, _ = chunked(np.frombuffer(t, np.uint8), np.array([0, len(t)]))
-        docs.append(x[np.unique(np.linspace(0, len(x) - 1, TRAIN_CHUNKS).astype(int))])
+        docs.append(chunked(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0])
     ones = max(1, int(labels.sum()))
     zeros = max(1, len(labels) - ones)
     weight = np.where(labels == 1, len(labels) / (2 * ones), len(labels) / (2 * zeros)).astype(np.float32)
@@ -108,9 +120,12 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 5) -> dict[str, np
             pick = order[lo:lo + BATCH]
             x = np.concatenate([docs[i] for i in pick])
             doc = np.repeat(np.arange(len(pick)), [len(docs[i]) for i in pick])
-            r = _responses(x, taps(w))
-            best = r.argmax(axis=1)
-            raw = np.take_along_axis(r, best[:, None, :], axis=1)[:, 0] + w["bias"]
+            table, best, raw = taps(w), [], []
+            for i in range(0, len(x), BLOCK):
+                r = _responses(x[i:i + BLOCK], table)
+                best.append(r.argmax(axis=1))
+                raw.append(np.take_along_axis(r, best[-1][:, None, :], axis=1)[:, 0] + w["bias"])
+            best, raw = np.concatenate(best), np.concatenate(raw)
             pooled = np.maximum(raw, 0)
             features = _combine(pooled, doc, len(pick))
             p = 1 / (1 + np.exp(-np.clip(features @ w["out"] + w["out_bias"][0], -30, 30)))
@@ -148,11 +163,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, trainable: Column, id_col:
     for label in (0, 1):
         some = known.filter(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // 2)
         chosen = some if chosen is None else chosen.unionByName(some)
-    # of a long text, only as much as training looks at: an even spread of chunk-sized parts
-    step = F.greatest(F.lit(CHUNK), F.floor(F.char_length("text") / TRAIN_CHUNKS)).cast("int")
-    spread = F.concat_ws("", *[F.substring(F.col("text"), k * step + 1, F.lit(CHUNK)) for k in range(TRAIN_CHUNKS)])
     rows = (id_and_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")
-            .select("doc_id", "label", spread.alias("text")).dropDuplicates(["doc_id"]).collect())
+            .select("doc_id", "label", "text").dropDuplicates(["doc_id"]).collect())
     rows.sort(key=lambda r: r.doc_id)
     return [r.text.encode() for r in rows], np.array([r.label for r in rows], np.int64)
 

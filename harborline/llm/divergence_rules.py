@@ -64,6 +64,10 @@ CLASS_OF = _class_table()
 def class_counts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     """(documents, classes) counts of characters."""
     n, c = len(off) - 1, len(CLASSES) + 1
+    if len(data) > bt.SLICE_BYTES:  # one document, as a rule
+        return np.stack([sum(np.bincount(CLASS_OF[data[k:min(k + bt.SLICE_BYTES, j)]], minlength=c)
+                             for k in range(i, max(j, i + 1), bt.SLICE_BYTES))
+                         for i, j in zip(off[:-1].tolist(), off[1:].tolist())])[:, :-1]
     doc = np.repeat(np.arange(n) * c, np.diff(off))
     return np.bincount(doc + CLASS_OF[data], minlength=n * c).reshape(n, c)[:, :-1]
 
