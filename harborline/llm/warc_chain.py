@@ -1,7 +1,10 @@
 """WARC archives: writing, and reading by boundary-chain verification.
 
-Writing: one record per page, as files of at most ``RECORDS_PER_FILE`` records,
-written by Spark's text writer (any file system).  Of pages with equal payloads of
+Writing: one record per page, written by Spark's text writer (any file system).  Pages
+of like size share files, as many to a file as keep it below about ``FILE_BYTES``
+(``SIZES``), so a reader's task has an archive of bounded size; a larger page has a
+file of its own.  Archives from elsewhere are read whole by a task each, so they must
+fit one and stay below Spark's limit of 2 GB for a binary value.  Of pages with equal payloads of
 at least ``min_revisit_bytes`` the one with the smallest page_id is a ``response``
 with the payload, the others are ``revisit`` records that refer to it.
 
@@ -37,7 +40,9 @@ MAGIC = b"WARC/1.0\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 BREAK = b"\r\n\r\n"
 
-RECORDS_PER_FILE = 2000
+FILE_BYTES = 128 << 20
+SIZES = (60 << 10, 1 << 20, 16 << 20)   # largest page, in bytes, of each class of files but the last
+HEADER = 1 << 10                        # allowance for a record's header and url
 BROADCAST_PAYLOADS = 1 << 19  # repeated payloads, about 50 bytes each; up to so many are broadcast
 DATE = "2024-01-01T00:00:00Z"
 
@@ -77,8 +82,14 @@ def write_archives(spark: SparkSession, pages: DataFrame, path: str | None = Non
         F.lit(nl + "Content-Length: "), F.when(revisit, "0").otherwise(F.col("n_bytes").cast("string")), F.lit(nl + nl))
     block = F.when(revisit, "").otherwise(F.col("payload"))
     # a record ends with two line breaks; the writer adds the second
-    (typed.select(F.concat(header, block, F.lit(nl)).alias("value")).write
-     .option("lineSep", nl).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
+    records = typed.select(F.concat(header, block, F.lit(nl)).alias("value"), F.octet_length(F.concat(url, block)).alias("size"))
+    borders = [-1, *SIZES, None]
+    within = [(F.col("size") > lo) & (F.lit(True) if hi is None else F.col("size") <= hi) for lo, hi in zip(borders, borders[1:])]
+    counts = records.agg(*[F.count(F.when(c, 1)) for c in within]).first()
+    for k, (condition, hi) in enumerate(zip(within, borders[1:])):
+        if counts[k] or (k == 0 and not any(counts)):
+            (records.filter(condition).select("value").write.mode("append").option("lineSep", nl)
+             .option("maxRecordsPerFile", max(1, FILE_BYTES // (hi + HEADER)) if hi else 1).text(path))
     return path
 
 
