@@ -545,7 +545,7 @@ select port_code, cast(sum(date_diff('minute', arrival_ts, berth_ts)) as bigint)
   min(date_diff('minute', arrival_ts, berth_ts)) shortest, max(date_diff('minute', arrival_ts, berth_ts)) longest
 from stg_vessel_calls group by port_code""")
 
-add("optional_inputs", """
+add("skipped_inputs", """
 select 'raw_vessel_calls' table_name, count(*) row_count, 'LOADED' status from raw_vessel_calls
 union all select 'raw_shipments', count(*), 'LOADED' from raw_shipments
 union all select 'raw_customs_entries', 0, 'SKIPPED'""")

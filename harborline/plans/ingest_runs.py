@@ -134,7 +134,7 @@ def ingest_idempotent(wh) -> DataFrame:
     return bronze_csv.read_ingested(wh.spark, target)
 
 
-def optional_inputs(wh) -> DataFrame:
+def skipped_inputs(wh) -> DataFrame:
     """Of three feeds one has not been delivered; the others load, it is skipped."""
     spark, root = wh.spark, _scratch(wh.spark, "deliveries")
     feeds = {"raw_vessel_calls": wh.raw_vessel_calls, "raw_shipments": wh.raw_shipments, "raw_customs_entries": None}

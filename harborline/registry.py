@@ -161,7 +161,7 @@ def _register_runs() -> None:
     _wh_query("late_rows_lookback", ir.late_rows_lookback, full_events)
     _wh_query("csv_null_tokens", gr.csv_null_tokens, om_model("raw_vessel_calls"))
     _wh_query("incremental_full_refresh", ir.incremental_full_refresh, full_events)
-    for name in ("load_audit", "csv_rejects", "csv_rejected_lines", "csv_header_load", "optional_inputs"):
+    for name in ("load_audit", "csv_rejects", "csv_rejected_lines", "csv_header_load", "skipped_inputs"):
         _wh_query(name, getattr(gr, name), SQL[name])
     for name in ("bronze_append", "bronze_table", "lake_tables", "catchment_in_order", "berth_wait_minutes"):
         _wh_query(name, getattr(kr, name), SQL[name])

@@ -15,7 +15,7 @@ from .conftest import SF_SMALL
 # Queries that write files or run streams are covered in test_runs.py and test_streams.py.
 SLOW = {"incremental_upsert", "incremental_key_move", "throughput_incremental", "incremental_rerun_noop", "late_rows_lookback",
         "congestion_incremental", "throughput_late_rows", "carrier_performance_redelivered", "csv_null_tokens", "load_audit",
-        "csv_rejects", "csv_rejected_lines", "lake_tables", "csv_header_load", "optional_inputs", "incremental_full_refresh", "ingest_idempotent", "seed_ports", "stream_active_shipments",
+        "csv_rejects", "csv_rejected_lines", "lake_tables", "csv_header_load", "skipped_inputs", "incremental_full_refresh", "ingest_idempotent", "seed_ports", "stream_active_shipments",
         "stream_port_congestion", "stream_unknown_ports", "stream_late_calls", "stream_lag", "stream_fact_upsert", "stream_dedup"}
 NAMES = sorted(k for k in ORACLE if k not in SLOW)
 

@@ -21,7 +21,7 @@ from .test_oracle import _rows
 
 RUNS = ["incremental_upsert", "incremental_key_move", "throughput_incremental", "incremental_rerun_noop", "late_rows_lookback", "csv_null_tokens",
         "congestion_incremental", "throughput_late_rows", "carrier_performance_redelivered", "load_audit", "csv_rejects",
-        "csv_rejected_lines", "csv_header_load", "optional_inputs", "incremental_full_refresh", "lake_tables", "ingest_idempotent", "seed_ports", "stream_active_shipments", "stream_fact_upsert", "stream_dedup"]
+        "csv_rejected_lines", "csv_header_load", "skipped_inputs", "incremental_full_refresh", "lake_tables", "ingest_idempotent", "seed_ports", "stream_active_shipments", "stream_fact_upsert", "stream_dedup"]
 
 
 @pytest.mark.parametrize("name", RUNS)
