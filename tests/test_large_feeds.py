@@ -11,8 +11,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from harborline.operators import files
-from harborline.plans import ingest_runs
+from harborline.plans import ingest_runs, marts, monitoring
+from harborline.plans.warehouse import Warehouse
+from harborline.session import shared_dir
 from harborline.sources import csv_load
+from .conftest import SF_SMALL
 from harborline.sources.schemas import _ddl
 
 SCHEMA = _ddl("id string, n int, _loaded_at timestamp_ntz")
@@ -74,3 +77,26 @@ def test_a_piece_may_begin_with_a_line_like_the_header(spark):
     assert [(r.file_name, r.line_number, r.error) for r in csv_load.rejected(staged).orderBy("line_number").collect()] == \
         [("a.csv", 3, "n: 'n' is no int"), ("a.csv", 5, "n: 'x' is no int")]
     assert sorted((r.id, r.n) for r in csv_load.loaded(staged).collect()) == [("a", 1), ("b", 2)]
+
+
+def test_one_distance_is_stored_by_many_tasks(spark, few_rows_a_file):
+    rows = spark.range(1000).select(F.concat(F.lit("S"), F.col("id").cast("string")).alias("shipment_id"),
+                                    F.when(F.col("id") < 900, 12.5).otherwise(F.col("id") / 10).alias("distance_km"))
+    path = _scratch()
+    marts.by_distance(rows).write.parquet(path)
+    stored = spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("f")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("distance_km").alias("lo"), F.max("distance_km").alias("hi")).orderBy("f").collect()
+    assert sum(r.n for r in stored) == 1000 and max(r.n for r in stored) < 150
+    assert all(a.hi <= b.lo for a, b in zip(stored, stored[1:], strict=False))
+
+
+def test_only_the_staged_shipments_are_stored(spark, few_rows_a_file):
+    """Checks derive the columns they need; nothing as large as a feed is written beside the
+    staged shipments, whose buckets grow in number with the rows."""
+    wh = Warehouse(spark, SF_SMALL, store_layers=True)
+    for check in (monitoring.range_checks, monitoring.duplicate_keys, monitoring.orphans):
+        assert check(wh).count() > 0
+    assert set(os.listdir(shared_dir(spark, f"warehouse/{wh._run_id}").removeprefix("file:"))) == {"stg_shipments", "dim_vessel", "dim_carrier"}
+    n = wh.stg_shipments.count()
+    files_written = {r.f for r in wh.stg_shipments.select(F.input_file_name().alias("f")).distinct().collect()}
+    assert len(files_written) >= n // 50 // 2
