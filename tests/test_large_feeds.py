@@ -100,3 +100,13 @@ def test_only_the_staged_shipments_are_stored(spark, few_rows_a_file):
     n = wh.stg_shipments.count()
     files_written = {r.f for r in wh.stg_shipments.select(F.input_file_name().alias("f")).distinct().collect()}
     assert len(files_written) >= n // 50 // 2
+
+
+def test_a_run_joins_the_shipment_feed_once(spark):
+    wh = Warehouse(spark, SF_SMALL)
+    stored = wh.with_stored_feed()
+    assert stored.raw_shipments._jdf.queryExecution().executedPlan().toString().count("Scan parquet") == 1
+    assert "Join" in wh.raw_shipments._jdf.queryExecution().executedPlan().toString()
+    for of_run in (stored.raw_shipments, stored.stg_shipments, stored.latest_shipments):
+        assert "Join" not in of_run._jdf.queryExecution().executedPlan().toString()
+    assert stored.raw_shipments.exceptAll(wh.raw_shipments).isEmpty() and stored.raw_shipments.count() == wh.raw_shipments.count()
