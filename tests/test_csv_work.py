@@ -61,3 +61,27 @@ def test_a_line_is_parsed_and_a_field_cast_once(spark):
     plan = rows.select(*columns, reason.alias("reason"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_csv") + plan.count("CsvToStructs") == 1, plan
     assert plan.count("as int)") == plan.count("as date)") == 1, plan
+
+
+def _scans_of_lines(df) -> int:
+    """How often the plan of ``df`` scans staged lines, other than those that are no row or no good one."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scans = [x for x in plan.split("FileScan parquet ")[1:] if "_place" in x.split("ReadSchema")[0]]
+    return sum("like_header" not in x and "IsNotNull(_place.error)" not in x for x in scans)
+
+
+def test_the_audit_scans_all_lines_once(spark):
+    """Counts, files and line numbers come from one small table of the splits."""
+    path = _scratch()
+    os.makedirs(path)
+    for name, bad in (("a.csv", "x"), ("b.csv", "2")):
+        with open(f"{path}/{name}", "w", encoding="utf-8") as f:
+            f.write(f"id,n\nr1,1\nid,n\n\nr2,{bad}\n")
+    with open(f"{path}/c.csv", "w", encoding="utf-8") as f:
+        f.write("id\nid\n")
+    staged = csv_load.load_files(spark, path, SCHEMA, _scratch(), AT)
+    audit, rejected = csv_load.audit(staged, "t", AT), csv_load.rejected(staged)
+    assert _scans_of_lines(audit) == _scans_of_lines(rejected) == 0
+    got = sorted((r.file_name, r.row_parsed, r.row_count, r.first_error_line_number) for r in audit.collect())
+    assert got == [("a.csv", 3, 1, 3), ("b.csv", 3, 2, 3), ("c.csv", 1, 1, None)]
+    assert sorted((r.file_name, r.line_number) for r in rejected.collect()) == [("a.csv", 3), ("a.csv", 5), ("b.csv", 3)]
